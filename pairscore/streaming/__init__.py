@@ -1,0 +1 @@
+"""Streaming scoring of pairs with a fitted model."""
