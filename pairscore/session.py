@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,12 +49,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder, so that a
-    lost executor costs a re-read, not a recompute of tokenising, joins and
-    embeddings. Used before multi-pass estimators (random forest, CV)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back. This cuts lineage (a lost executor costs a re-read, not a
+    recompute of joins, tokenising and embeddings), and unlike an RDD
+    checkpoint the re-reads are columnar, so each later pass (one Word2Vec
+    fit per column, every tree level of a forest) reads only its columns."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/pairscore/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
