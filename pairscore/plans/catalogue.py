@@ -9,6 +9,7 @@ engines hash the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,16 @@ from pyspark.sql import functions as F
 from ..functions import (cosine, euclidean, remove_stop_words, split_space, term_length,
                          tokenize, word_match, word_match_bag)
 from ..operators import catalog
+from ..operators.embed import fit_word2vec, transform_as_array
+from ..session import ensure_checkpoint_dir
+from ..sources import csv_io
 from ..sources import fixtures as fx
 from ..sources.tables import table
+from . import evaluate as EV
+from . import features as FE
+from . import models as M
 from . import oracle_sql as S
+from . import pipeline as PL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,6 +366,108 @@ def euclid_padded(spark, sf):
         "vec_id", F.round(euclidean(F.slice("va", 1, 40), "vb"), 6).alias("euclid"))
 
 
+# ------------------------------------------------------------- scan and sink
+
+@query("csv_roundtrip", fx.with_views("pairs") + "SELECT * FROM pairs")
+def csv_roundtrip(spark, sf):
+    """S1 + S4: pairs written as Latin-1 CSV into the shared checkpoint
+    folder and scanned back with the fixed schema; must equal the input."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/pairscore/csv-{uuid.uuid4().hex}"
+    csv_io.write_csv(fx.pairs(spark, sf), path)
+    return csv_io.read_csv(spark, path, csv_io.PAIRS_SCHEMA)
+
+
+# --------------------------------------------------------- split and evaluate
+
+@query("holdout_split", fx.with_views("pairs") + """
+SELECT id, product_uid, CASE WHEN product_uid % 10 < 7 THEN 'train' ELSE 'test' END AS split
+FROM pairs""")
+def holdout_split(spark, sf):
+    """M4 (deterministic form): 70/30 split by product."""
+    return fx.pairs(spark, sf).select("id", "product_uid", M.split_label().alias("split"))
+
+
+@query("rmse_eval", fx.with_views("pairs") + f""",
+t AS (SELECT id, relevance, {S.term_length("search_term")} AS len FROM pairs),
+m AS (SELECT len, avg(relevance) AS prediction FROM t GROUP BY len)
+SELECT count(*) AS n_pairs, round(sqrt(avg(pow(t.relevance - m.prediction, 2))), 6) AS rmse
+FROM t LEFT JOIN m ON t.len IS NOT DISTINCT FROM m.len""")
+def rmse_eval(spark, sf):
+    """A5/M7/P10: RMSE of a baseline predictor (mean relevance of pairs with
+    the same search-term length). The per-length means are a tiny aggregate;
+    AQE sees its runtime size and broadcasts it into the join."""
+    t = fx.pairs(spark, sf).select("id", "relevance", term_length("search_term").alias("len"))
+    m = t.groupBy("len").agg(F.avg("relevance").alias("prediction"))
+    j = t.join(m, t["len"].eqNullSafe(m["len"]), "left")
+    return j.agg(F.count(F.lit(1)).alias("n_pairs"),
+                 F.round(EV.rmse_column(), 6).alias("rmse"))
+
+
+# ------------------------------------------------- embeddings, features, models
+# Rows-only: floating-point training results have no SQL oracle.
+
+def _inputs(spark, sf) -> PL.Inputs:
+    return PL.Inputs(fx.pairs(spark, sf), fx.descriptions(spark, sf), fx.attributes(spark, sf))
+
+
+@query("w2v_title")
+def w2v_title(spark, sf):
+    """V1/V2: Word2Vec (size 10, minCount 0) over title tokens; mean vector
+    per pair."""
+    p = fx.pairs(spark, sf).select("id", tokenize("product_title").alias("t"))
+    model = fit_word2vec(p, "t", "v")
+    return transform_as_array(model, p, "t", "title_vector").select("id", "title_vector")
+
+
+def _features_query(name):
+    def q(spark, sf):
+        i = _inputs(spark, sf)
+        feats, _ = FE.build(name, i.pairs, i.descriptions, i.attributes)
+        return feats
+    q.__doc__ = f"Feature set {name} over all pairs (Word2Vec fitted on them)."
+    return q
+
+
+for _n in ("3", "6", "7", "8"):
+    query(f"features_{_n}")(_features_query(_n))
+
+
+@query("rf_predict")
+def rf_predict(spark, sf):
+    """M1/M3/M8: 7-feature random forest, 20 trees x depth 5, fitted on the
+    70 % of products, scoring the other 30 %."""
+    tr, te = PL.split_inputs(_inputs(spark, sf))
+    return PL.train_and_score(tr, te, "7", M.random_forest(20, 5)) \
+        .predictions.select("id", "prediction")
+
+
+@query("rf_predict_8")
+def rf_predict_8(spark, sf):
+    """M1: 8-feature random forest, 200 trees x depth 10."""
+    tr, te = PL.split_inputs(_inputs(spark, sf))
+    return PL.train_and_score(tr, te, "8", M.random_forest(200, 10)) \
+        .predictions.select("id", "prediction")
+
+
+@query("lr_predict")
+def lr_predict(spark, sf):
+    """M2: 7-feature elastic-net linear regression (maxIter 100, regParam
+    0.3, elasticNetParam 0.8)."""
+    tr, te = PL.split_inputs(_inputs(spark, sf))
+    return PL.train_and_score(tr, te, "7", M.linear_regression()) \
+        .predictions.select("id", "prediction")
+
+
+@query("cv_tune")
+def cv_tune(spark, sf):
+    """M4-M7/V8: 12-map grid (depth {5,10} x trees {40,100,200} x two
+    feature lists), 2-fold CV on 70 % of the pairs, best model scores the
+    other 30 %."""
+    t = PL.tune(_inputs(spark, sf))
+    return t.predictions.select("id", "relevance", "prediction")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
