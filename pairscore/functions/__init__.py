@@ -1,9 +1,9 @@
 """Column functions. Every function returns a native Spark Column expression
 (built-ins and higher-order functions), so nothing here runs in Python."""
 
-from .match import word_match, word_match_bag
+from .match import inverse_levenshtein, min_levenshtein, word_match, word_match_bag
 from .text import split_space, term_length, tokenize, remove_stop_words
 from .vectors import cosine, euclidean
 
-__all__ = ["word_match", "word_match_bag", "split_space", "term_length", "tokenize",
-           "remove_stop_words", "cosine", "euclidean"]
+__all__ = ["word_match", "word_match_bag", "min_levenshtein", "inverse_levenshtein",
+           "split_space", "term_length", "tokenize", "remove_stop_words", "cosine", "euclidean"]

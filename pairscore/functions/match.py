@@ -40,3 +40,23 @@ def word_match_bag(q, bag) -> Column:
         ql, F.lit(0),
         lambda acc, x: acc + F.aggregate(
             _col(bag), F.lit(0), lambda a, e: a + e["n"] * _w(x, e["t"])))
+
+
+def _min_distances(q, d) -> Column:
+    """For each query token, its smallest edit distance to any document token
+    (NULL when the document has no tokens)."""
+    return F.transform(_col(q), lambda x: F.array_min(
+        F.transform(_col(d), lambda y: F.levenshtein(x, y))))
+
+
+def min_levenshtein(q, d) -> Column:
+    """Smallest edit distance between any query token and any document
+    token; NULL if either side has no tokens."""
+    return F.array_min(_min_distances(q, d))
+
+
+def inverse_levenshtein(q, d) -> Column:
+    """sum over query tokens x of 1 / (1 + min_y levenshtein(x, y)): 1 per
+    exact hit, less for near misses, 0 when the document has no tokens."""
+    return F.aggregate(_min_distances(q, d), F.lit(0.0),
+                       lambda acc, m: acc + F.coalesce(1.0 / (m + 1), F.lit(0.0)))

@@ -104,3 +104,22 @@ def token_bags(df: DataFrame, key: str, tokens: str, out_col: str) -> DataFrame:
     counts = exploded.groupBy(key, "t").agg(F.count(F.lit(1)).cast("int").alias("n"))
     return counts.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("t", "n"))).alias(out_col))
+
+
+def _snake(name: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in name.strip().lower())
+
+
+def attribute_pivot(attrs: DataFrame, names: Sequence[str], sep: str = " ") -> DataFrame:
+    """Entity-attribute-value rows to one wide row per product: one column
+    per attribute name in ``names`` (snake_case), holding that product's
+    values for the name sorted and joined by ``sep``; NULL when it has none.
+
+    The pivot values are given, so Spark plans a single aggregate (no extra
+    job to find the distinct names), partially aggregated before the shuffle
+    on ``product_uid``; rows of other names are filtered out at the scan."""
+    vals = F.array_join(F.array_sort(F.collect_list("value")), sep)
+    wide = (attrs.where(F.col("name").isin(*names))
+                 .groupBy("product_uid").pivot("name", list(names))
+                 .agg(F.when(F.count("value") > 0, vals)))
+    return wide.select("product_uid", *[F.col(f"`{n}`").alias(_snake(n)) for n in names])

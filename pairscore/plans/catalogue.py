@@ -15,9 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (cosine, euclidean, remove_stop_words, split_space, term_length,
-                         tokenize, word_match, word_match_bag)
+from ..functions import (cosine, euclidean, inverse_levenshtein, min_levenshtein,
+                         remove_stop_words, split_space, term_length, tokenize, word_match,
+                         word_match_bag)
 from ..operators import catalog
+from ..operators import spelling
 from ..operators.embed import fit_word2vec, transform_as_array
 from ..session import ensure_checkpoint_dir
 from ..sources import csv_io
@@ -329,6 +331,68 @@ def word_match_docs(spark, sf):
     return j.select("id", word_match_bag(tokenize("search_term"), bag).alias("match_score"))
 
 
+# ------------------------------------------------- edit distance and spelling
+
+@query("levenshtein_min", fx.with_views("pairs") + f"""
+SELECT id,
+       {S.min_levenshtein(S.tokenize("search_term"), S.tokenize("product_title"))} AS lev_min,
+       round({S.inverse_levenshtein(S.tokenize("search_term"), S.tokenize("product_title"))}, 6)
+         AS lev_inv
+FROM pairs""")
+def levenshtein_min(spark, sf):
+    """Smallest edit distance between any search word and any title
+    word, and the inverse-distance score summed over the search words."""
+    q, d = tokenize("search_term"), tokenize("product_title")
+    return fx.pairs(spark, sf).select(
+        "id", min_levenshtein(q, d).alias("lev_min"),
+        F.round(inverse_levenshtein(q, d), 6).alias("lev_inv"))
+
+
+@query("spell_correct", fx.with_views("pairs") + f""",
+titles AS (SELECT DISTINCT product_uid, product_title FROM pairs),
+vocab AS (SELECT w AS word, count(*) AS freq
+          FROM (SELECT unnest({S.tokenize("product_title")}) AS w FROM titles)
+          WHERE w <> '' GROUP BY w),
+qw AS (SELECT DISTINCT w AS word
+       FROM (SELECT unnest({S.tokenize("search_term")}) AS w FROM pairs)
+       WHERE length(w) >= 3 AND w NOT IN (SELECT word FROM vocab)),
+cand AS (SELECT q.word, v.word AS cand, v.freq, levenshtein(q.word, v.word) AS dist
+         FROM qw q JOIN vocab v ON abs(length(q.word) - length(v.word)) <= 2
+         WHERE levenshtein(q.word, v.word) <= 2),
+best AS (SELECT word, cand, dist,
+                row_number() OVER (PARTITION BY word ORDER BY dist, freq DESC, cand) AS rk
+         FROM cand)
+SELECT qw.word, b.cand AS correction, CAST(b.dist AS INTEGER) AS distance
+FROM qw LEFT JOIN best b ON b.word = qw.word AND b.rk = 1""")
+def spell_correct(spark, sf):
+    """D3: every distinct search word (3+ letters) missing from the title
+    vocabulary, with its closest vocabulary word within edit distance 2."""
+    p = fx.pairs(spark, sf)
+    titles = p.select("product_uid", tokenize("product_title").alias("t")) \
+        .dropDuplicates(["product_uid"])
+    vocab = spelling.vocabulary(titles, "t")
+    words = p.select(F.explode(tokenize("search_term")).alias("word"))
+    return spelling.corrections(words, vocab, max_distance=2, min_length=3)
+
+
+# The attribute names turned into columns.
+PIVOT_NAMES = ("MFG Brand Name", "Material", "Color Family", "Size")
+
+
+@query("attr_pivot", fx.with_views("attributes") + """
+SELECT product_uid,
+       string_agg(value, ' ' ORDER BY value) FILTER (WHERE name = 'MFG Brand Name') AS mfg_brand_name,
+       string_agg(value, ' ' ORDER BY value) FILTER (WHERE name = 'Material') AS material,
+       string_agg(value, ' ' ORDER BY value) FILTER (WHERE name = 'Color Family') AS color_family,
+       string_agg(value, ' ' ORDER BY value) FILTER (WHERE name = 'Size') AS size
+FROM attributes
+WHERE name IN ('MFG Brand Name', 'Material', 'Color Family', 'Size')
+GROUP BY product_uid""")
+def attr_pivot(spark, sf):
+    """Attribute rows to one wide row per product."""
+    return catalog.attribute_pivot(fx.attributes(spark, sf), PIVOT_NAMES)
+
+
 # --------------------------------------------------------------------- vectors
 
 _EMB_SQL = """

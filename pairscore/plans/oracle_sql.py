@@ -50,3 +50,12 @@ def euclidean(a: str, b: str) -> str:
     # zero-pad the shorter list, as the Spark side does with zip_with + coalesce
     return (f"sqrt(list_sum([(coalesce({a}[i], 0) - coalesce({b}[i], 0)) ** 2 "
             f"FOR i IN range(1, greatest(len({a}), len({b})) + 1)]))")
+
+
+def min_levenshtein(q: str, d: str) -> str:
+    return f"list_min([list_min([levenshtein(x, y) FOR y IN {d}]) FOR x IN {q}])"
+
+
+def inverse_levenshtein(q: str, d: str) -> str:
+    term = f"coalesce(1.0 / (1 + list_min([levenshtein(x, y) FOR y IN {d}])), 0.0)"
+    return f"coalesce(list_sum([{term} FOR x IN {q}]), 0.0)"

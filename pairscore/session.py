@@ -59,7 +59,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/pairscore/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spread(spark.read.parquet(path))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core. A small table written by few tasks
+    reads back as one or two partitions, and every later pass over it (tree
+    levels, CV folds) would run in that many tasks; on large inputs the
+    scan already yields more splits than cores and this is a no-op."""
+    n = default_parallelism(df.sparkSession)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def default_parallelism(spark: SparkSession) -> int:
