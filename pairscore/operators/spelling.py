@@ -4,15 +4,18 @@ A search word that is not in the vocabulary is replaced by the vocabulary
 word at the smallest edit distance, up to ``max_distance``; ties go to the
 more frequent word, then to the alphabetically first.
 
-Finding candidates exactly without comparing every search word with every
-vocabulary word: if ``levenshtein(a, b) <= k`` then deleting at most ``k``
-characters from ``a`` and at most ``k`` from ``b`` yields a common string (a
-substitution is a deletion on both sides, an insertion on one side is a
-deletion on the other). So both sides are expanded into their deletion
-variants, equi-joined on the variant, and every candidate found is verified
-with the real distance. The join is a hash/sort-merge join on short strings,
-shuffled by variant; no pair that is further than ``k`` apart can be lost and
-no cross product is formed.
+Candidates are found exactly without comparing every search word with every
+vocabulary word, by the pigeonhole principle: cut a vocabulary word of
+length ``l`` into ``k + 1`` fixed segments. At most ``k`` edits touch at most
+``k`` segments, so a word within distance ``k`` contains one segment
+unchanged, shifted by at most ``k`` positions (each shift needs an insertion
+or deletion before it). The vocabulary is therefore keyed by (length,
+segment number, segment text) -- ``k + 1`` rows per word -- and each search
+word probes, for every length within ``k`` of its own, every segment at
+every shift up to ``k`` -- at most ``(2k+1)^2 (k+1)`` keys, whatever the word
+length. The equi-join on these keys yields a superset of the true matches,
+each verified with the real ``levenshtein`` (bounded by ``k``). No pair of
+words further than ``k`` apart can be missed and no cross product is formed.
 """
 
 from __future__ import annotations
@@ -21,26 +24,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _deletions(words: Column) -> Column:
-    """All strings obtained by deleting exactly one character from each
-    element of an array of words."""
-    return F.flatten(F.transform(words, lambda w: F.when(
-        F.length(w) > 0,
-        F.transform(F.sequence(F.lit(1), F.length(w)),
-                    lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1))))
-        .otherwise(F.array().cast("array<string>"))))
+def _segment(length: Column, k: int, i: int) -> tuple[Column, Column]:
+    """(0-based start, length) of segment ``i`` of ``k + 1`` for a word of
+    ``length``: the first segments get ``length div (k+1)`` characters, the
+    last ``length mod (k+1)`` get one more."""
+    n = k + 1
+    base = F.floor(length / n).cast("int")
+    longer_from = n - F.pmod(length, F.lit(n))
+    start = base * i + F.greatest(F.lit(0), F.lit(i) - longer_from)
+    seg_len = base + F.when(F.lit(i) >= longer_from, 1).otherwise(0)
+    return start, seg_len
 
 
-def deletion_variants(word, max_distance: int = 2) -> Column:
-    """The word and every string reachable from it by deleting up to
-    ``max_distance`` characters (distinct)."""
+def segment_keys(word, k: int = 2) -> Column:
+    """array<struct<l, i, seg>>: the ``k + 1`` segments of the word."""
     w = F.col(word) if isinstance(word, str) else word
-    level = F.array(w)
-    out = level
-    for _ in range(max_distance):
-        level = F.array_distinct(_deletions(level))
-        out = F.concat(out, level)
-    return F.array_distinct(out)
+    length = F.length(w)
+    out = []
+    for i in range(k + 1):
+        start, seg_len = _segment(length, k, i)
+        out.append(F.struct(length.alias("l"), F.lit(i).alias("i"),
+                            F.substr(w, start + 1, seg_len).alias("seg")))
+    return F.array(*out)
+
+
+def probe_keys(word, k: int = 2) -> Column:
+    """array<struct<l, i, seg>>: every (length, segment, substring) under
+    which a vocabulary word within distance ``k`` is indexed."""
+    w = F.col(word) if isinstance(word, str) else word
+    lr = F.length(w)
+    probes = []
+    for dl in range(-k, k + 1):
+        length = lr + dl
+        for i in range(k + 1):
+            start, seg_len = _segment(length, k, i)
+            for shift in range(-k, k + 1):
+                pos = start + shift
+                valid = (length >= 1) & (pos >= 0) & (pos + seg_len <= lr)
+                probes.append(F.when(valid, F.struct(
+                    length.alias("l"), F.lit(i).alias("i"),
+                    F.substr(w, pos + 1, seg_len).alias("seg"))))
+    return F.array_distinct(F.filter(F.array(*probes), lambda x: x.isNotNull()))
 
 
 def vocabulary(tokens: DataFrame, col: str) -> DataFrame:
@@ -57,12 +81,12 @@ def corrections(words: DataFrame, vocab: DataFrame, max_distance: int = 2,
     distance are NULL when no vocabulary word is within ``max_distance``."""
     oov = (words.select("word").where(F.length("word") >= min_length).distinct()
                 .join(vocab.select("word"), "word", "left_anti"))
-    qv = oov.select("word", F.explode(deletion_variants("word", max_distance)).alias("v"))
+    k = max_distance
+    qv = oov.select("word", F.explode(probe_keys("word", k)).alias("key"))
     vv = vocab.select(F.col("word").alias("cand"), "freq",
-                      F.explode(deletion_variants("word", max_distance)).alias("v"))
-    cand = (qv.join(vv, "v")
-              .select("word", "cand", "freq",
-                      F.levenshtein("word", "cand", max_distance).alias("dist"))
+                      F.explode(segment_keys("word", k)).alias("key"))
+    cand = (qv.join(vv, "key")
+              .select("word", "cand", "freq", F.levenshtein("word", "cand", k).alias("dist"))
               .where(F.col("dist") >= 0))
     # best candidate per word: smallest (distance, -frequency, word); min of a
     # struct is a partial (map-side) aggregate, no window sort

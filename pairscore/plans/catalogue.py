@@ -19,7 +19,7 @@ from ..functions import (cosine, euclidean, inverse_levenshtein, min_levenshtein
                          remove_stop_words, split_space, term_length, tokenize, word_match,
                          word_match_bag)
 from ..operators import catalog
-from ..operators import spelling
+from ..operators import spelling, stemming
 from ..operators.embed import fit_word2vec, transform_as_array
 from ..session import ensure_checkpoint_dir
 from ..sources import csv_io
@@ -375,6 +375,18 @@ def spell_correct(spark, sf):
     return spelling.corrections(words, vocab, max_distance=2, min_length=3)
 
 
+@query("stem_tokens")
+def stem_tokens_q(spark, sf):
+    """Porter stems of the stop-word-free tokens of every English
+    document (rows-only: DuckDB has no stemmer without its fts extension;
+    tests compare with the per-word helper)."""
+    docs = (table(spark, sf, "documents").where(F.col("lang") == "en")
+            .select("doc_id", remove_stop_words(tokenize("text")).alias("tokens")))
+    out = stemming.stem_tokens(docs, "doc_id", "tokens", "stems")
+    return out.select("doc_id", F.size("stems").alias("n_tokens"),
+                      _joined("stems").alias("stems"))
+
+
 # The attribute names turned into columns.
 PIVOT_NAMES = ("MFG Brand Name", "Material", "Color Family", "Size")
 

@@ -1 +1,4 @@
-"""Streaming scoring of pairs with a fitted model."""
+"""Deliberately empty: nothing in the relevance pipeline reads or writes a
+stream (no readStream/writeStream, watermark or state), so there is no
+streaming operator to provide. Batch scoring of new pairs is
+``plans.models.score`` / ``plans.pipeline.train_and_score``."""

@@ -1,5 +1,7 @@
 """Catalog operators on hand-made rows."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pairscore.operators import catalog, spelling
@@ -64,21 +66,42 @@ def _lev(a, b):
     return prev[-1]
 
 
+def _brute_force(queries, vocab_rows, k=2, min_length=3):
+    expect = {}
+    vs = dict(vocab_rows)
+    for w in set(queries):
+        if len(w) < min_length or w in vs:
+            continue
+        cands = sorted((_lev(w, v), -f, v) for v, f in vocab_rows if _lev(w, v) <= k)
+        expect[w] = (cands[0][2], cands[0][0]) if cands else (None, None)
+    return expect
+
+
 def test_spelling_matches_brute_force(spark):
+    long_word = "x" * 300 + "abc"
     vocab_rows = [("tan", 5), ("ton", 7), ("steel", 3), ("blue", 2), ("brass", 4), ("bass", 4),
-                  ("grass", 1), ("cat", 9), ("coat", 9)]
-    queries = ["tin", "stell", "xyzzy", "tan", "bl", "brss", "crass", "cot", "blues", "abcdef"]
+                  ("grass", 1), ("cat", 9), ("coat", 9), ("a", 1), ("ab", 2), (long_word, 1)]
+    queries = ["tin", "stell", "xyzzy", "tan", "bl", "brss", "crass", "cot", "blues", "abcdef",
+               "abb", "bab", long_word[:-1] + "d", "x" * 299 + "abc", "x" * 5000]
     vocab = spark.createDataFrame(vocab_rows, "word string, freq long")
     words = spark.createDataFrame([(w,) for w in queries], "word string")
     got = {r.word: (r.correction, r.distance) for r in spelling.corrections(words, vocab).collect()}
-    expect = {}
-    vs = dict(vocab_rows)
-    for w in queries:
-        if len(w) < 3 or w in vs:
-            continue
-        cands = sorted((_lev(w, v), -f, v) for v, f in vocab_rows if _lev(w, v) <= 2)
-        expect[w] = (cands[0][2], cands[0][0]) if cands else (None, None)
-    assert got == expect
+    assert got == _brute_force(queries, vocab_rows)
+
+
+short_words = st.text(alphabet="abc", min_size=1, max_size=9)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(short_words, min_size=1, max_size=25, unique=True),
+       st.lists(short_words, min_size=1, max_size=25), st.integers(1, 3))
+def test_spelling_property_exact(spark, vocab_words, queries, k):
+    vocab_rows = [(w, i % 3 + 1) for i, w in enumerate(vocab_words)]
+    vocab = spark.createDataFrame(vocab_rows, "word string, freq long")
+    words = spark.createDataFrame([(w,) for w in queries], "word string")
+    got = {r.word: (r.correction, r.distance)
+           for r in spelling.corrections(words, vocab, max_distance=k, min_length=1).collect()}
+    assert got == _brute_force(queries, vocab_rows, k=k, min_length=1)
 
 
 def test_correct_tokens_keeps_order(spark):
@@ -95,3 +118,24 @@ def test_joins_plan_without_python(spark, sf):
         plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_stem_tokens_query_equals_per_word_stemming(spark, sf):
+    from pairscore.functions import remove_stop_words, tokenize
+    from pairscore.functions.porter import stem
+    from pairscore.plans import catalogue
+    from pairscore.sources.tables import table
+    got = {r.doc_id: r.stems for r in catalogue.QUERIES["stem_tokens"](spark, sf).collect()}
+    docs = (table(spark, sf, "documents").where(F.col("lang") == "en")
+            .select("doc_id", remove_stop_words(tokenize("text")).alias("t")).collect())
+    assert len(got) == len(docs) > 0
+    for r in docs:
+        assert got[r.doc_id] == "|".join(stem(w) for w in r.t)
+
+
+def test_stem_tokens_keeps_order_and_empties(spark):
+    from pairscore.operators.stemming import stem_tokens
+    df = spark.createDataFrame([(1, ["running", "cats", "running", ""]), (2, []), (3, None)],
+                               "k long, t array<string>")
+    got = {r.k: r.s for r in stem_tokens(df, "k", "t", "s").collect()}
+    assert got == {1: ["run", "cat", "run", ""], 2: [], 3: None}

@@ -159,3 +159,20 @@ def test_native_functions_have_no_python_udf(spark):
                     min_levenshtein("q", "d"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEval" not in plan
+
+
+def test_porter_published_examples():
+    from pairscore.functions.porter import stem
+    cases = {"caresses": "caress", "ponies": "poni", "ties": "ti", "cats": "cat", "feed": "feed",
+             "agreed": "agre", "plastered": "plaster", "bled": "bled", "motoring": "motor",
+             "sing": "sing", "conflated": "conflat", "troubled": "troubl", "sized": "size",
+             "hopping": "hop", "tanned": "tan", "falling": "fall", "hissing": "hiss",
+             "fizzed": "fizz", "failing": "fail", "filing": "file", "happy": "happi",
+             "sky": "sky", "relational": "relat", "conditional": "condit",
+             "rational": "ration", "digitizer": "digit", "generalizations": "gener",
+             "oscillators": "oscil", "triplicate": "triplic", "adjustable": "adjust",
+             "controll": "control", "roll": "roll", "cease": "ceas", "rate": "rate",
+             "adoption": "adopt", "effective": "effect", "goodness": "good",
+             "allowance": "allow", "replacement": "replac", "electrical": "electr"}
+    assert {w: stem(w) for w in cases} == cases
+    assert stem("at") == "at" and stem(None) is None and stem("café") == "café"
