@@ -14,11 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from ..functions.porter import stem
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())  # a type object: a DDL string needs a live session at import
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(stem)
 

@@ -509,6 +509,34 @@ for _n in ("3", "6", "7", "8"):
     query(f"features_{_n}")(_features_query(_n))
 
 
+@query("features_8_lexical", fx.with_views("pairs", "descriptions", "attributes") + f""",
+brands AS (SELECT product_uid, value AS brand FROM attributes WHERE name = 'MFG Brand Name'),
+j AS (SELECT p.id, p.search_term, p.product_title, coalesce(b.brand, 'empty') AS brand,
+             d.product_description
+      FROM pairs p
+      LEFT JOIN descriptions d ON p.product_uid = d.product_uid
+      LEFT JOIN brands b ON p.product_uid = b.product_uid)
+SELECT id,
+       {S.joined(S.tokenize("brand"))} AS attribute_tokens,
+       {S.word_match(S.tokenize("search_term"), S.tokenize("product_title"))} AS searchAndTitleMD,
+       {S.word_match(S.tokenize("search_term"), S.tokenize("brand"))} AS searchAndAttributesMD,
+       coalesce({S.word_match(S.tokenize("search_term"),
+                              S.remove_stop_words(S.tokenize("product_description")))}, 0)
+         AS searchAndDescriptionMD,
+       {S.term_length("search_term")} AS search_term_length
+FROM j""")
+def features_8_lexical(spark, sf):
+    """The embedding-free half of feature set 8 through the feature
+    pipeline's own token table (brand join with multiplicity, 'empty' fill,
+    description bags): the three word-match features and the term length."""
+    fs = FE.FEATURE_SETS["8"]
+    i = _inputs(spark, sf)
+    tokens = FE.token_table(fs, i.pairs, i.descriptions, i.attributes)
+    out = FE.lexical_features(fs, tokens)
+    return out.select("id", _joined(FE.TOKEN_COLS["attributes"]).alias("attribute_tokens"),
+                      *[c for c in out.columns if c not in ("id", FE.TOKEN_COLS["attributes"])])
+
+
 @query("rf_predict")
 def rf_predict(spark, sf):
     """M1/M3/M8: 7-feature random forest, 20 trees x depth 5, fitted on the

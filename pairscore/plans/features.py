@@ -191,6 +191,15 @@ def _feature_column(name: str, has_bag: bool):
     return F.coalesce(F.col("search_term_length"), F.lit(0))
 
 
+def lexical_features(fs: FeatureSet, tokens: DataFrame) -> DataFrame:
+    """The features of ``fs`` that need no embedding (word match, term
+    length) straight from a token table: id, attribute tokens, features."""
+    names = [f for f in fs.features if FEATURE_DEFS[f][0] in ("md", "len")]
+    has_bag = "desc_bag" in tokens.columns
+    return tokens.select("id", TOKEN_COLS["attributes"],
+                         *[_feature_column(f, has_bag).alias(f) for f in names])
+
+
 @dataclass
 class FittedFeatures:
     """Word2Vec models fitted on the training token table, one per column."""

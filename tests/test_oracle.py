@@ -38,3 +38,12 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "match_score"]
     assert df.count() > 0
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as e; "
+            "print(len(e.queries()))" % os.path.dirname(os.path.dirname(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
