@@ -200,6 +200,21 @@ def lexical_features(fs: FeatureSet, tokens: DataFrame) -> DataFrame:
                          *[_feature_column(f, has_bag).alias(f) for f in names])
 
 
+def with_lexical(fs: FeatureSet, tokens: DataFrame) -> DataFrame:
+    """Compute the embedding-free features on the token table and drop the
+    inputs nothing else needs: the per-pair copy of the description bag,
+    and the description tokens unless a vector feature uses them. What is
+    materialised afterwards is then a few token arrays and numbers per pair,
+    not each pair's copy of its product's description."""
+    names = [f for f in fs.features if FEATURE_DEFS[f][0] in ("md", "len")]
+    has_bag = "desc_bag" in tokens.columns
+    out = tokens.withColumns({f: _feature_column(f, has_bag) for f in names})
+    drop = ["desc_bag"]
+    if "description" not in fs.vector_inputs:
+        drop.append(TOKEN_COLS["description"])
+    return out.drop(*[c for c in drop if c in out.columns])
+
+
 @dataclass
 class FittedFeatures:
     """Word2Vec models fitted on the training token table, one per column."""
@@ -216,7 +231,9 @@ class FittedFeatures:
         for k in fs.vector_inputs:
             out = transform_as_array(models[k], out, TOKEN_COLS[k], VECTOR_COLS[k])
         has_bag = "desc_bag" in out.columns
-        feats = [_feature_column(f, has_bag).alias(f) for f in fs.features]
+        # features already computed on the token table (with_lexical) are reused
+        feats = [(F.col(f) if f in out.columns else _feature_column(f, has_bag)).alias(f)
+                 for f in fs.features]
         keep = [c for c in ("id", "product_uid", "relevance") if c in out.columns]
         return out.select(*keep, *feats)
 
@@ -238,7 +255,7 @@ def build(fs: FeatureSet | str, pairs: DataFrame, descriptions: DataFrame,
     Returns the feature table (id, product_uid, [relevance], features...) and
     the fitted vectors, to reuse on a scoring set."""
     fs = FEATURE_SETS[fs] if isinstance(fs, str) else fs
-    tokens = token_table(fs, pairs, descriptions, attributes)
+    tokens = with_lexical(fs, token_table(fs, pairs, descriptions, attributes))
     if checkpoint:
         tokens = materialize(tokens, f"tokens{fs.name}")
     fitted = fitted or fit_features(fs, tokens)
