@@ -2,22 +2,31 @@
 
 Python runs once per distinct word, not once per token occurrence: the
 tokens are exploded with their positions, the distinct vocabulary is stemmed
-by an Arrow-batched pandas UDF, the stems are joined back on the word and
-each array is re-collected in position order. The join is keyed by word; a
+by an Arrow-batched pandas UDF, the stems are joined on the word and each
+array is re-collected in position order. The join is keyed by word; a
 very frequent word makes one large join partition, which AQE's skew-join
 handling splits. Each array is rebuilt from its own tokens only.
 """
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from ..functions import porter
 from ..functions.porter import stem
 
+# Ship the stemmer with the task (pickled by value): executors need no copy
+# of this package on their Python path.
+cloudpickle.register_pickle_by_value(porter)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @pandas_udf(StringType())  # a type object: a DDL string needs a live session at import
 def porter_stem(words: pd.Series) -> pd.Series:
@@ -31,15 +40,18 @@ def stem_vocabulary(words: DataFrame, col: str = "word") -> DataFrame:
 
 
 def stem_tokens(df: DataFrame, key: str, tokens: str, out_col: str) -> DataFrame:
-    """Add ``out_col``: ``tokens`` with every word replaced by its stem,
-    order and duplicates kept. ``key`` must identify rows; rows with an
-    empty array get an empty array, NULL stays NULL."""
-    ex = df.select(key, F.posexplode(tokens).alias("pos", "word"))
-    stems = stem_vocabulary(ex)
-    back = (ex.join(stems, "word", "left")
+    """(key, out_col): ``tokens`` with every word replaced by its stem, order
+    and duplicates kept; an empty array stays empty and NULL stays NULL.
+    ``key`` must identify rows.
+
+    ``posexplode_outer`` keeps rows with empty or NULL arrays, so the regroup
+    by ``key`` is complete on its own and the input is not joined back."""
+    ex = df.select(key, F.col(tokens).isNull().alias("_null"),
+                   F.posexplode_outer(tokens).alias("pos", "word"))
+    stems = stem_vocabulary(ex.where(F.col("word").isNotNull()))
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "stem"))
+    return (ex.join(stems, "word", "left")
               .groupBy(key)
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))),
-                               lambda s: s["stem"]).alias(out_col)))
-    joined = df.join(back, key, "left")
-    return joined.withColumn(out_col, F.when(F.col(tokens).isNotNull(),
-                                             F.coalesce(F.col(out_col), F.col(tokens))))
+              .agg(F.when(~F.bool_or("_null"),
+                          F.transform(F.array_sort(F.collect_list(entry)),
+                                      lambda s: s["stem"])).alias(out_col)))

@@ -40,10 +40,22 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_entry_module_imports_without_a_session():
+def test_entry_imports_and_udf_runs_outside_the_repo():
+    """The driver may import the entry module before any session exists and
+    from another working directory; Python workers then do not have this
+    package on their path, so the stemming UDF must travel with the task."""
     import subprocess
-    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as e; "
-            "print(len(e.queries()))" % os.path.dirname(os.path.dirname(__file__)))
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".getOrCreate()\n"
+        "from pairscore.operators.stemming import stem_tokens\n"
+        "df = s.createDataFrame([(1, ['running', 'ponies'])], 'k long, t array<string>')\n"
+        "print(stem_tokens(df, 'k', 't', 'x').first().x)\n" % repo)
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
-                         timeout=120)
+                         timeout=300, cwd="/")
     assert out.returncode == 0, out.stderr[-2000:]
+    assert "['run', 'poni']" in out.stdout
