@@ -36,7 +36,7 @@ def test_query_matches_oracle(spark, sf, con, name):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["id", "match_score"]
+    assert df.columns == ["id", "prediction"]
     assert df.count() > 0
 
 
