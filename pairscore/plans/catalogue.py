@@ -537,6 +537,34 @@ def features_8_lexical(spark, sf):
                       *[c for c in out.columns if c not in ("id", FE.TOKEN_COLS["attributes"])])
 
 
+@query("features_7_lexical", fx.with_views("pairs", "descriptions", "attributes") + f""",
+txt AS (SELECT product_uid, string_agg(value, ' ' ORDER BY name, value) AS attr_text
+        FROM attributes WHERE contains(lower(name), 'brand') GROUP BY product_uid),
+j AS (SELECT p.id, p.search_term, p.product_title, t.attr_text, d.product_description
+      FROM pairs p
+      LEFT JOIN descriptions d ON p.product_uid = d.product_uid
+      LEFT JOIN txt t ON p.product_uid = t.product_uid)
+SELECT id,
+       coalesce({S.joined(S.tokenize("attr_text"))}, '') AS attribute_tokens,
+       {S.word_match(S.tokenize("search_term"), S.tokenize("product_title"))} AS searchAndTitleMD,
+       coalesce({S.word_match(S.tokenize("search_term"), S.tokenize("attr_text"))}, 0)
+         AS searchAndAttributesMD,
+       coalesce({S.word_match(S.tokenize("search_term"),
+                              S.remove_stop_words(S.tokenize("product_description")))}, 0)
+         AS searchAndDescriptionMD
+FROM j""")
+def features_7_lexical(spark, sf):
+    """The word-match half of feature set 7 through the pipeline's token
+    table: brand-only attribute text per product (missing -> no tokens),
+    description bags."""
+    fs = FE.FEATURE_SETS["7"]
+    i = _inputs(spark, sf)
+    tokens = FE.token_table(fs, i.pairs, i.descriptions, i.attributes)
+    out = FE.lexical_features(fs, tokens)
+    return out.select("id", _joined(FE.TOKEN_COLS["attributes"]).alias("attribute_tokens"),
+                      *[c for c in out.columns if c not in ("id", FE.TOKEN_COLS["attributes"])])
+
+
 @query("rf_predict")
 def rf_predict(spark, sf):
     """M1/M3/M8: 7-feature random forest, 20 trees x depth 5, fitted on the
