@@ -80,3 +80,16 @@ def test_scoring_with_training_vectors(inputs, feats8):
     out = fitted.transform(toks)
     assert "relevance" not in out.columns
     assert out.count() > 0
+
+
+def test_precomputed_lexical_features_equal_late_ones(inputs, feats8):
+    """with_lexical (before materialising) and the feature projection over the
+    raw token table give the same word-match and length columns."""
+    f, fitted = feats8
+    fs = fitted.feature_set
+    late = fitted.transform(FE.token_table(fs, inputs.pairs, inputs.descriptions,
+                                           inputs.attributes))
+    cols = [c for c in fs.features if FE.FEATURE_DEFS[c][0] in ("md", "len")]
+    a = sorted(tuple(r) for r in f.select("id", *cols).collect())
+    b = sorted(tuple(r) for r in late.select("id", *cols).collect())
+    assert a == b and len(a) > 0
