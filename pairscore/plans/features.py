@@ -126,18 +126,30 @@ def _tok(fs: FeatureSet, c):
     return split_space(c) if fs.tokenizer == "split_space" else tokenize(c)
 
 
-def product_tables(fs: FeatureSet, descriptions: DataFrame, attributes: DataFrame):
-    """Per-product inputs: (product_uid, description tokens [, bag]) and
-    (product_uid, attribute tokens) -- the latter may hold several rows per
-    product for brand rows."""
+def _description_tokens(fs: FeatureSet):
     d_tok = _tok(fs, "product_description")
-    if fs.stop_words_on_description:
-        d_tok = remove_stop_words(d_tok)
-    desc = descriptions.select("product_uid", d_tok.alias(TOKEN_COLS["description"]))
+    return remove_stop_words(d_tok) if fs.stop_words_on_description else d_tok
+
+
+def _missing_description(fs: FeatureSet):
+    return (_tok(fs, F.lit(fs.missing_token)) if fs.missing_token is not None
+            else _empty_tokens())
+
+
+def product_tables(fs: FeatureSet, descriptions: DataFrame, attributes: DataFrame,
+                   description_tokens: bool = True):
+    """Per-product inputs: description side (tokens when a vector feature
+    uses them and ``description_tokens``; the token bag when a word-match
+    feature does; None when neither) and (product_uid, attribute tokens) --
+    the latter may hold several rows per product for brand rows."""
+    desc = descriptions.select("product_uid",
+                               _description_tokens(fs).alias(TOKEN_COLS["description"]))
+    want_tokens = description_tokens and "description" in fs.vector_inputs
     if fs.needs_description_bag:
         bags = catalog.token_bags(desc, "product_uid", TOKEN_COLS["description"], "desc_bag")
-        desc = (desc.join(bags, "product_uid", "left") if "description" in fs.vector_inputs
-                else bags)
+        desc = desc.join(bags, "product_uid", "left") if want_tokens else bags
+    elif not want_tokens:
+        desc = None
     attrs = catalog.clean_attributes(attributes)
     if fs.attribute_source == "brand_rows":
         a = catalog.brand_rows(attrs)
@@ -150,24 +162,26 @@ def product_tables(fs: FeatureSet, descriptions: DataFrame, attributes: DataFram
 
 
 def token_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame,
-                attributes: DataFrame) -> DataFrame:
+                attributes: DataFrame, description_tokens: bool = True) -> DataFrame:
     """Pairs joined to their product tokens; one row per pair (per brand row
-    for feature set "8", where a product's brand rows multiply its pairs)."""
-    desc, attrs = product_tables(fs, descriptions, attributes)
+    for feature set "8", where a product's brand rows multiply its pairs).
+    ``description_tokens=False`` leaves each pair's copy of the description
+    tokens out (``description_table`` provides them per product)."""
+    desc, attrs = product_tables(fs, descriptions, attributes, description_tokens)
     keep = [c for c in ("id", "product_uid", "relevance") if c in pairs.columns]
     p = pairs.select(*keep,
                      _tok(fs, "search_term").alias(TOKEN_COLS["search"]),
                      _tok(fs, "product_title").alias(TOKEN_COLS["title"]),
                      term_length("search_term").alias("search_term_length"))
-    j = p.join(desc, "product_uid", "left").join(attrs, "product_uid", "left")
+    j = p.join(desc, "product_uid", "left") if desc is not None else p
+    j = j.join(attrs, "product_uid", "left")
     if fs.attribute_source == "brand_rows":
         missing_attr = F.array(F.lit(catalog.EMPTY_BRAND))
     elif fs.missing_token is not None:
         missing_attr = _tok(fs, F.lit(fs.missing_token))
     else:
         missing_attr = _empty_tokens()
-    missing_desc = (_tok(fs, F.lit(fs.missing_token)) if fs.missing_token is not None
-                    else _empty_tokens())
+    missing_desc = _missing_description(fs)
     out = j.withColumn(TOKEN_COLS["attributes"],
                        F.coalesce(F.col(TOKEN_COLS["attributes"]), missing_attr))
     if TOKEN_COLS["description"] in out.columns:
@@ -178,6 +192,47 @@ def token_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame,
     return out
 
 
+def description_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """(product_uid, description tokens): one row per product of ``pairs``
+    (missing description -> the missing-text tokens). Document vectors of
+    the description are computed on this table, once per product, and only
+    the vector is joined to the pairs."""
+    products = pairs.select("product_uid").distinct()
+    desc = descriptions.select(F.col("product_uid").alias("_uid"),
+                               _description_tokens(fs).alias(TOKEN_COLS["description"]))
+    col = TOKEN_COLS["description"]
+    return (products.join(desc, products["product_uid"].eqNullSafe(desc["_uid"]), "left")
+                    .select("product_uid",
+                            F.coalesce(F.col(col), _missing_description(fs)).alias(col)))
+
+
+@dataclass
+class TokenTables:
+    """Pair-level tokens (with the embedding-free features) and, when a
+    description vector is used, the per-product description tokens."""
+    pairs: DataFrame
+    products: DataFrame | None = None
+
+
+def prepare(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame, attributes: DataFrame,
+            checkpoint: bool = True) -> TokenTables:
+    tokens = with_lexical(fs, token_table(fs, pairs, descriptions, attributes,
+                                          description_tokens=False))
+    products = (description_table(fs, pairs, descriptions)
+                if "description" in fs.vector_inputs else None)
+    if checkpoint:
+        tokens = materialize(tokens, f"tokens{fs.name}")
+        if products is not None:
+            products = materialize(products, f"desc{fs.name}")
+    return TokenTables(tokens, products)
+
+
+def _by_product(tokens: DataFrame, per_product: DataFrame, how: str = "left") -> DataFrame:
+    """Attach per-product columns to pair rows (NULL-safe on the key)."""
+    r = per_product.withColumnRenamed("product_uid", "_uid")
+    return tokens.join(r, tokens["product_uid"].eqNullSafe(r["_uid"]), how).drop("_uid")
+
+
 def _feature_column(name: str, has_bag: bool):
     kind, left, right = FEATURE_DEFS[name]
     if kind == "cos":
@@ -221,15 +276,24 @@ class FittedFeatures:
     feature_set: FeatureSet
     models: dict[str, Word2VecModel]
 
-    def transform(self, tokens: DataFrame, refit: bool = False) -> DataFrame:
+    def transform(self, tokens: DataFrame, refit: bool = False,
+                  products: DataFrame | None = None) -> DataFrame:
         """Feature columns for a token table. ``refit`` fits fresh Word2Vec
         models on ``tokens`` itself (scoring as the original scripts did; the
-        vectors then live in a different space than the training ones)."""
+        vectors then live in a different space than the training ones).
+        Without per-pair description tokens, the description vectors are
+        computed on ``products`` (``description_table``) and joined."""
         fs = self.feature_set
-        models = fit_vectors(fs, tokens) if refit else self.models
+        models = fit_vectors(fs, tokens, products) if refit else self.models
         out = tokens
         for k in fs.vector_inputs:
-            out = transform_as_array(models[k], out, TOKEN_COLS[k], VECTOR_COLS[k])
+            if TOKEN_COLS[k] in out.columns:
+                out = transform_as_array(models[k], out, TOKEN_COLS[k], VECTOR_COLS[k])
+            else:
+                if products is None:
+                    raise ValueError(f"no {TOKEN_COLS[k]} tokens and no per-product table")
+                vec = transform_as_array(models[k], products, TOKEN_COLS[k], VECTOR_COLS[k])
+                out = _by_product(out, vec.select("product_uid", VECTOR_COLS[k]))
         has_bag = "desc_bag" in out.columns
         # features already computed on the token table (with_lexical) are reused
         feats = [(F.col(f) if f in out.columns else _feature_column(f, has_bag)).alias(f)
@@ -238,13 +302,23 @@ class FittedFeatures:
         return out.select(*keep, *feats)
 
 
-def fit_vectors(fs: FeatureSet, tokens: DataFrame) -> dict[str, Word2VecModel]:
-    return {k: fit_word2vec(tokens, TOKEN_COLS[k], VECTOR_COLS[k], fs.w2v)
-            for k in fs.vector_inputs}
+def fit_vectors(fs: FeatureSet, tokens: DataFrame,
+                products: DataFrame | None = None) -> dict[str, Word2VecModel]:
+    """One Word2Vec model per vector input, each trained on that column of
+    the pair table (one sentence per pair). A column held per product is
+    expanded to the pairs by a join inside the fit's input, not stored."""
+    models = {}
+    for k in fs.vector_inputs:
+        src = tokens
+        if TOKEN_COLS[k] not in tokens.columns:
+            src = _by_product(tokens.select("product_uid"), products)
+        models[k] = fit_word2vec(src, TOKEN_COLS[k], VECTOR_COLS[k], fs.w2v)
+    return models
 
 
-def fit_features(fs: FeatureSet, train_tokens: DataFrame) -> FittedFeatures:
-    return FittedFeatures(fs, fit_vectors(fs, train_tokens))
+def fit_features(fs: FeatureSet, train_tokens: DataFrame,
+                 products: DataFrame | None = None) -> FittedFeatures:
+    return FittedFeatures(fs, fit_vectors(fs, train_tokens, products))
 
 
 def build(fs: FeatureSet | str, pairs: DataFrame, descriptions: DataFrame,
@@ -255,11 +329,9 @@ def build(fs: FeatureSet | str, pairs: DataFrame, descriptions: DataFrame,
     Returns the feature table (id, product_uid, [relevance], features...) and
     the fitted vectors, to reuse on a scoring set."""
     fs = FEATURE_SETS[fs] if isinstance(fs, str) else fs
-    tokens = with_lexical(fs, token_table(fs, pairs, descriptions, attributes))
-    if checkpoint:
-        tokens = materialize(tokens, f"tokens{fs.name}")
-    fitted = fitted or fit_features(fs, tokens)
-    return fitted.transform(tokens), fitted
+    tt = prepare(fs, pairs, descriptions, attributes, checkpoint)
+    fitted = fitted or fit_features(fs, tt.pairs, tt.products)
+    return fitted.transform(tt.pairs, products=tt.products), fitted
 
 
 def assembler(features, output_col: str = "features") -> VectorAssembler:

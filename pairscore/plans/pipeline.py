@@ -40,8 +40,8 @@ def train_and_score(train: Inputs, test: Inputs, feature_set: str | FE.FeatureSe
     est = estimator if estimator is not None else M.random_forest(200, 10)
     tr, fitted = FE.build(fs, train.pairs, train.descriptions, train.attributes)
     tr = materialize(tr, f"features{fs.name}")
-    te_tokens = FE.token_table(fs, test.pairs, test.descriptions, test.attributes)
-    te = fitted.transform(te_tokens, refit=refit_vectors_on_score)
+    te_tt = FE.prepare(fs, test.pairs, test.descriptions, test.attributes, checkpoint=False)
+    te = fitted.transform(te_tt.pairs, refit=refit_vectors_on_score, products=te_tt.products)
     model = M.fit_pipeline(tr, fs.features, est)
     return Scored(model, model.transform(te), tr, fitted)
 

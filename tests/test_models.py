@@ -93,3 +93,18 @@ def test_precomputed_lexical_features_equal_late_ones(inputs, feats8):
     a = sorted(tuple(r) for r in f.select("id", *cols).collect())
     b = sorted(tuple(r) for r in late.select("id", *cols).collect())
     assert a == b and len(a) > 0
+
+
+@pytest.mark.parametrize("name", ["3", "6"])
+def test_description_vectors_per_product_equal_per_pair(inputs, name):
+    """Feature sets with a description vector compute it once per product
+    and join it; with the same models this equals the per-pair transform."""
+    fs = FE.FEATURE_SETS[name]
+    feats, fitted = FE.build(fs, inputs.pairs, inputs.descriptions, inputs.attributes)
+    per_pair = fitted.transform(FE.token_table(fs, inputs.pairs, inputs.descriptions,
+                                               inputs.attributes))
+    def rows(df):
+        return sorted((r["id"],) + tuple(round(r[c], 9) for c in fs.features)
+                      for r in df.collect())
+    a, b = rows(feats), rows(per_pair)
+    assert len(a) == inputs.pairs.count() and a == b
