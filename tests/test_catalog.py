@@ -139,3 +139,32 @@ def test_stem_tokens_keeps_order_and_empties(spark):
                                "k long, t array<string>")
     got = {r.k: r.s for r in stem_tokens(df, "k", "t", "s").collect()}
     assert got == {1: ["run", "cat", "run", ""], 2: [], 3: None}
+
+
+def test_feature_token_table_shuffles_pairs_once(spark, sf):
+    """Planned as at scale (AQE and broadcast off): the feature token table
+    adds three shuffles to the pairs fixture -- pairs by product_uid, the
+    description bags, the attribute tokens -- and two sort-merge joins; the
+    second join reuses the pairs' partitioning."""
+    import os
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                                    "tools"))
+    from plan_summary import summarise
+    from pairscore.plans import catalogue
+    from pairscore.sources import fixtures as fx
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                          "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = summarise(fx.pairs(spark, sf)._jdf.queryExecution().executedPlan().toString())
+        plan = catalogue.QUERIES["features_8_lexical"](spark, sf) \
+            ._jdf.queryExecution().executedPlan().toString()
+        s = summarise(plan)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert s["shuffles"] - base["shuffles"] == 3
+    assert s["smj"] - base["smj"] == 2
+    assert s["cartesian"] == 0 and s["python"] == 0

@@ -108,3 +108,23 @@ def test_description_vectors_per_product_equal_per_pair(inputs, name):
                       for r in df.collect())
     a, b = rows(feats), rows(per_pair)
     assert len(a) == inputs.pairs.count() and a == b
+
+
+def test_as_coded_options(inputs):
+    """Options that reproduce the original scripts' behaviour: the text 'nan'
+    for missing descriptions/attributes, one brand row per product, and
+    Word2Vec refitted on the scoring set."""
+    fs = FE.feature_set("8", missing_token="nan", dedupe_brand=True)
+    feats, fitted = FE.build(fs, inputs.pairs, inputs.descriptions, inputs.attributes)
+    assert feats.count() == inputs.pairs.count()          # dedupe: one row per pair
+    tr, te = PL.split_inputs(inputs)
+    scored = PL.train_and_score(tr, te, fs, M.random_forest(5, 3), refit_vectors_on_score=True)
+    assert scored.predictions.count() == te.pairs.count()
+    fs3 = FE.feature_set("3", missing_token="nan")
+    desc = FE.description_table(fs3, inputs.pairs, inputs.descriptions)
+    missing = desc.join(inputs.descriptions, "product_uid", "left_anti")
+    toks = {tuple(r[0]) for r in missing.select(FE.TOKEN_COLS["description"]).collect()}
+    assert toks == {("nan",)}
+    none = FE.description_table(FE.FEATURE_SETS["3"], inputs.pairs, inputs.descriptions) \
+        .join(inputs.descriptions, "product_uid", "left_anti")
+    assert {tuple(r[0]) for r in none.select(FE.TOKEN_COLS["description"]).collect()} == {()}
