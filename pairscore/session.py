@@ -45,7 +45,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="pairscore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc = spark.sparkContext
+    # RDD checkpoints (forest node ids) go to the same folder; set it once,
+    # since every setCheckpointDir call creates a new sub-folder
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
