@@ -4,8 +4,8 @@ and the left joins that attach product data to (search term, product) pairs.
 All of these are plain DataFrame plans. The joins are left outer equi-joins
 on ``product_uid`` with no hints: the optimizer broadcasts a side only when
 its estimated (or, with AQE, measured) size is under the broadcast threshold
-and falls back to a sort-merge join otherwise; AQE splits skewed partitions
-when one product holds a large share of the pairs.
+and falls back to a sort-merge join otherwise. Products holding a large share
+of the pairs are split over several tasks by ``operators.skew``.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import skew
+
 BRAND_NAME = "MFG Brand Name"
 MISSING_TOKEN = "nan"
 EMPTY_BRAND = "empty"
@@ -69,20 +71,30 @@ def attribute_text(attrs: DataFrame, names: Sequence[str] | None = None,
     return src.groupBy("product_uid").agg(text.alias(out_col))
 
 
-def attach_description(pairs: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """pairs LEFT JOIN descriptions USING (product_uid)."""
-    return pairs.join(descriptions, "product_uid", "left")
+def _join(pairs: DataFrame, right: DataFrame, split_hot: bool) -> DataFrame:
+    if not split_hot:
+        return pairs.join(right, "product_uid", "left")
+    salt_by = ["id"] if "id" in pairs.columns else None
+    return skew.split_left_join(pairs, right, "product_uid", salt_by)
+
+
+def attach_description(pairs: DataFrame, descriptions: DataFrame,
+                       split_hot: bool = True) -> DataFrame:
+    """pairs LEFT JOIN descriptions USING (product_uid); with ``split_hot`` a
+    product holding a large share of the pairs is spread over several tasks
+    (``operators.skew``), with the same result."""
+    return _join(pairs, descriptions, split_hot)
 
 
 def attach_brand(pairs: DataFrame, brands: DataFrame, fill: str | None = EMPTY_BRAND,
-                 dedupe: bool = False) -> DataFrame:
+                 dedupe: bool = False, split_hot: bool = True) -> DataFrame:
     """pairs LEFT JOIN brand rows; a pair whose product has two brand rows
     appears twice (join multiplicity kept) unless ``dedupe``, which keeps the
     smallest brand value per product. NULL brand becomes ``fill``."""
     if dedupe:
         brands = brands.groupBy("product_uid").agg(
             F.min("product_attributes").alias("product_attributes"))
-    out = pairs.join(brands, "product_uid", "left")
+    out = _join(pairs, brands, split_hot)
     if fill is not None:
         out = out.withColumn("product_attributes",
                              F.coalesce(F.col("product_attributes"), F.lit(fill)))

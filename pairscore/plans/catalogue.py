@@ -187,7 +187,7 @@ FROM pairs p LEFT JOIN txt t ON p.product_uid = t.product_uid""")
 def join_attr_text(spark, sf):
     """Pairs LEFT JOIN per-product brand text."""
     txt = catalog.attribute_text(fx.attributes(spark, sf), ["brand"])
-    return (fx.pairs(spark, sf).join(txt, "product_uid", "left")
+    return (catalog.attach_description(fx.pairs(spark, sf), txt)
               .select("id", "product_uid", "product_attributes"))
 
 
@@ -311,7 +311,7 @@ def word_match_desc(spark, sf):
     removed), scored against a per-product bag of distinct tokens; a product
     without a description scores 0."""
     bags = description_bags(fx.descriptions(spark, sf))
-    j = fx.pairs(spark, sf).join(bags, "product_uid", "left")
+    j = catalog.attach_description(fx.pairs(spark, sf), bags)
     bag = F.coalesce(F.col("desc_bag"), F.array().cast("array<struct<t:string,n:int>>"))
     return j.select("id", word_match_bag(tokenize("search_term"), bag).alias("match_score"))
 
@@ -326,7 +326,7 @@ def word_match_docs(spark, sf):
     docs = dp.select("product_uid", tokenize("product_description").alias("_tok"))
     bags = catalog.token_bags(docs.dropDuplicates(["product_uid"]), "product_uid", "_tok",
                               "doc_bag")
-    j = dp.select("id", "product_uid", "search_term").join(bags, "product_uid", "left")
+    j = catalog.attach_description(dp.select("id", "product_uid", "search_term"), bags)
     bag = F.coalesce(F.col("doc_bag"), F.array().cast("array<struct<t:string,n:int>>"))
     return j.select("id", word_match_bag(tokenize("search_term"), bag).alias("match_score"))
 

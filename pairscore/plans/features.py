@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (cosine, euclidean, remove_stop_words, split_space, term_length,
                          tokenize, word_match, word_match_bag)
-from ..operators import catalog
+from ..operators import catalog, skew
 from ..operators.embed import W2VParams, fit_word2vec, transform_as_array
 from ..session import materialize
 
@@ -94,6 +94,7 @@ class FeatureSet:
     attribute_names: tuple[str, ...] | None = None
     dedupe_brand: bool = False
     missing_token: str | None = None          # None: missing text -> no tokens
+    split_hot_products: bool = True           # salt products with a large share of pairs
     w2v: W2VParams = field(default_factory=W2VParams)
 
     @property
@@ -173,8 +174,15 @@ def token_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame,
                      _tok(fs, "search_term").alias(TOKEN_COLS["search"]),
                      _tok(fs, "product_title").alias(TOKEN_COLS["title"]),
                      term_length("search_term").alias("search_term_length"))
-    j = p.join(desc, "product_uid", "left") if desc is not None else p
-    j = j.join(attrs, "product_uid", "left")
+    # salt once; both joins are then on (product_uid, _salt), and the second
+    # reuses the first one's partitioning
+    hot = skew.hot_keys(pairs, "product_uid") if fs.split_hot_products else None
+    if hot is not None:
+        p = skew.salt(p, "product_uid", hot, ["id"] if "id" in p.columns else None)
+    j = skew.left_join(p, desc, "product_uid", hot) if desc is not None else p
+    j = skew.left_join(j, attrs, "product_uid", hot)
+    if hot is not None:
+        j = j.drop(skew.SALT)
     if fs.attribute_source == "brand_rows":
         missing_attr = F.array(F.lit(catalog.EMPTY_BRAND))
     elif fs.missing_token is not None:

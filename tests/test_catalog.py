@@ -168,3 +168,48 @@ def test_feature_token_table_shuffles_pairs_once(spark, sf):
     assert s["shuffles"] - base["shuffles"] == 3
     assert s["smj"] - base["smj"] == 2
     assert s["cartesian"] == 0 and s["python"] == 0
+
+
+def test_hot_product_is_split_and_results_unchanged(spark, sf):
+    """A product holding a third of the pairs: the split join gives the plain
+    join's rows, the product gets several buckets, and no join task holds
+    the third."""
+    from pairscore.operators import skew
+    from pairscore.sources import fixtures as fx
+    pairs = fx.pairs(spark, sf)
+    hotp = pairs.withColumn("product_uid", F.when(F.col("id") % 3 == 0, F.lit(1))
+                            .otherwise(F.col("product_uid")))
+    desc = fx.descriptions(spark, sf)
+    hot = {r[0]: r[1] for r in skew.hot_keys(hotp, "product_uid", partitions=8).collect()}
+    assert hot.get(1, 0) > 1
+    assert skew.hot_keys(pairs, "product_uid", partitions=8) is None   # no product is hot
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = catalog.attach_description(hotp, desc)
+        plain = hotp.join(desc, "product_uid", "left")
+        cols = ["id", "product_uid", "product_description"]
+        assert sorted(map(tuple, split.select(cols).collect())) == \
+            sorted(map(tuple, plain.select(cols).collect()))
+        total = hotp.count()
+        biggest = (split.groupBy(F.spark_partition_id().alias("p")).count()
+                   .agg(F.max("count")).first()[0])
+        assert biggest < total / 3
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_split_join_keeps_brand_multiplicity_and_null_keys(spark):
+    from pairscore.operators import skew
+    rows = [(i, 7 if i % 2 else (None if i % 5 == 0 else i)) for i in range(200)]
+    pairs = spark.createDataFrame(rows, "id long, product_uid long")
+    brands = spark.createDataFrame([(7, "A"), (7, "B"), (4, "C"), (None, "N")],
+                                   "product_uid long, product_attributes string")
+    split = skew.split_left_join(pairs, brands, "product_uid", ["id"], partitions=4)
+    plain = pairs.join(brands, "product_uid", "left")
+    assert sorted(map(tuple, split.select("id", "product_attributes").collect()),
+                  key=str) == sorted(map(tuple, plain.select("id", "product_attributes")
+                                         .collect()), key=str)
