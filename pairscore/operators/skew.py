@@ -9,8 +9,9 @@ land in one task. The hot products are therefore split explicitly:
 * ``hot_keys``: one counting pass, then the keys holding more than half a
   partition's fair share of rows. Their counts add up to at most the total,
   so there are fewer than ``2 * partitions`` of them: the table is broadcast
-  with a proven size bound. Each hot key gets ``ceil(count / share)`` salt
-  buckets, so its pairs spread over about as many tasks as its size needs.
+  with a proven size bound. Each hot key gets one salt bucket per eighth of
+  a partition's share, so its pairs spread evenly over as many tasks as its
+  size needs.
   Without hot keys the join stays exactly as it was.
 * ``salt``: each pair of a hot product gets a bucket from a hash of its own
   columns (deterministic, so a retried task sends rows to the same place);
@@ -52,8 +53,11 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     try:
         total = counts.agg(F.sum("_c")).first()[0] or 0
         share = max(1, total // (2 * p))
+        # buckets of about an eighth of a partition's share: hashing many
+        # small buckets onto the partitions spreads them evenly
+        bucket = max(1, total // (8 * p))
         rows = (counts.where(F.col("_c") > share)
-                      .select(key, F.ceil(F.col("_c") / F.lit(share)).cast("int"))
+                      .select(key, F.ceil(F.col("_c") / F.lit(bucket)).cast("int"))
                       .collect())
     finally:
         counts.unpersist()
