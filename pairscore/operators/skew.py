@@ -43,27 +43,33 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     or None when there are none (the joins then stay plain).
 
     One pass over ``df``: per-key counts (combined map-side), persisted for
-    the two small reads that follow -- their sum, and the keys above the
-    share -- then released. Only the hot keys reach the driver, fewer than
-    ``2 * partitions`` rows by the bound above."""
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    the two small reads of ``hot_from_counts`` and then released."""
     counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        total = counts.agg(F.sum("_c")).first()[0] or 0
-        share = max(1, total // (2 * p))
-        # buckets of about an eighth of a partition's share: hashing many
-        # small buckets onto the partitions spreads them evenly
-        bucket = max(1, total // (8 * p))
-        rows = (counts.where(F.col("_c") > share)
-                      .select(key, F.ceil(F.col("_c") / F.lit(bucket)).cast("int"))
-                      .collect())
+        return hot_from_counts(counts, key, "_c", partitions)
     finally:
         counts.unpersist()
+
+
+def hot_from_counts(counts: DataFrame, key: str, count_col: str,
+                    partitions: int | None = None) -> DataFrame | None:
+    """Hot keys from a per-key count table: their sum, then the keys above
+    half a partition's share. Only those reach the driver, fewer than
+    ``2 * partitions`` rows by the bound above."""
+    spark = counts.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(count_col)).first()[0] or 0
+    share = max(1, total // (2 * p))
+    # buckets of about an eighth of a partition's share: hashing many small
+    # buckets onto the partitions spreads them evenly
+    bucket = max(1, total // (8 * p))
+    rows = (counts.where(F.col(count_col) > share)
+                  .select(key, F.ceil(F.col(count_col) / F.lit(bucket)).cast("int"))
+                  .collect())
     if not rows:
         return None
-    schema = T.StructType([T.StructField(_K, df.schema[key].dataType),
+    schema = T.StructType([T.StructField(_K, counts.schema[key].dataType),
                            T.StructField(_N, T.IntegerType())])
     return spark.createDataFrame([tuple(r) for r in rows], schema)
 

@@ -3,9 +3,9 @@
 Python runs once per distinct word, not once per token occurrence: the
 tokens are exploded with their positions, the distinct vocabulary is stemmed
 by an Arrow-batched pandas UDF, the stems are joined on the word and each
-array is re-collected in position order. The join is keyed by word; a
-very frequent word makes one large join partition, which AQE's skew-join
-handling splits. Each array is rebuilt from its own tokens only.
+array is re-collected in position order. The join is keyed by word; very
+frequent words are split over salt buckets. Each array is rebuilt from its
+own tokens only.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql.types import StringType
 
 from ..functions import porter
 from ..functions.porter import stem
+from ..session import materialize
+from . import skew
 
 # Ship the stemmer with the task (pickled by value): executors need no copy
 # of this package on their Python path.
@@ -44,14 +46,28 @@ def stem_tokens(df: DataFrame, key: str, tokens: str, out_col: str) -> DataFrame
     and duplicates kept; an empty array stays empty and NULL stays NULL.
     ``key`` must identify rows.
 
-    ``posexplode_outer`` keeps rows with empty or NULL arrays, so the regroup
-    by ``key`` is complete on its own and the input is not joined back."""
+    The vocabulary (word, stem, occurrences) is built once and written to the
+    shared checkpoint folder, so the Python stemmer runs once per word even
+    if a task is retried downstream. Its counts also name the hot words
+    (more than half a partition's share of all tokens), which the token ->
+    stem join splits over salt buckets (``operators.skew``). ``posexplode_outer``
+    keeps rows with empty or NULL arrays, so the regroup by ``key`` is complete
+    on its own and the input is not joined back."""
     ex = df.select(key, F.col(tokens).isNull().alias("_null"),
                    F.posexplode_outer(tokens).alias("pos", "word"))
-    stems = stem_vocabulary(ex.where(F.col("word").isNotNull()))
+    vocab = materialize(
+        ex.where(F.col("word").isNotNull()).groupBy("word")
+          .agg(F.count(F.lit(1)).alias("n"))
+          .select("word", porter_stem("word").alias("stem"), "n"),
+        "stems")
+    hot = skew.hot_from_counts(vocab, "word", "n")
+    stems = vocab.select("word", "stem")
+    if hot is None:
+        joined = ex.join(stems, "word", "left")
+    else:
+        joined = skew.left_join(skew.salt(ex, "word", hot, [key, "pos"]), stems, "word", hot)
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "stem"))
-    return (ex.join(stems, "word", "left")
-              .groupBy(key)
-              .agg(F.when(~F.bool_or("_null"),
-                          F.transform(F.array_sort(F.collect_list(entry)),
-                                      lambda s: s["stem"])).alias(out_col)))
+    return (joined.groupBy(key)
+                  .agg(F.when(~F.bool_or("_null"),
+                              F.transform(F.array_sort(F.collect_list(entry)),
+                                          lambda s: s["stem"])).alias(out_col)))

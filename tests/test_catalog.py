@@ -213,3 +213,16 @@ def test_split_join_keeps_brand_multiplicity_and_null_keys(spark):
     assert sorted(map(tuple, split.select("id", "product_attributes").collect()),
                   key=str) == sorted(map(tuple, plain.select("id", "product_attributes")
                                          .collect()), key=str)
+
+
+def test_stem_tokens_with_a_hot_word(spark):
+    """One word is a third of all tokens: it is split over salt buckets and
+    every array still comes back in order."""
+    from pairscore.functions.porter import stem
+    from pairscore.operators.stemming import stem_tokens
+    words = ["cats", "ponies", "generalizations", "running", "hopping"]
+    rows = [(i, ["running" if (i + j) % 3 == 0 else words[(i * j) % 5] for j in range(6)])
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, t array<string>")
+    got = {r.k: r.s for r in stem_tokens(df, "k", "t", "s").collect()}
+    assert got == {k: [stem(w) for w in t] for k, t in rows}
