@@ -18,7 +18,8 @@ land in one task. The hot products are therefore split explicitly:
   other pairs get bucket 0.
 * ``left_join``: the right-side rows of a hot product are repeated once per
   bucket (a product has one description and a few attribute rows, so this
-  is small), and the join is on (key, bucket). Every pair still meets every
+  is small: the buckets of all hot keys add up to at most total / bucket +
+  hot keys < 10 * partitions), and the join is on (key, bucket). Every pair still meets every
   right row of its product exactly once: results are those of the plain
   join. NULL keys are treated as a key too (all NULL-key pairs would
   otherwise hash to one partition).
