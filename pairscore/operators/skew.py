@@ -95,12 +95,13 @@ def replicate(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return _with_hot(df, key, hot).withColumn(SALT, F.explode(buckets)).drop(_N)
 
 
-def left_join(salted: DataFrame, right: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
-    """``salted`` LEFT JOIN ``right`` on ``key``; with ``hot`` the left side
-    must carry ``_salt`` (see ``salt``) and keeps it."""
+def left_join(salted: DataFrame, right: DataFrame, key: str, hot: DataFrame | None,
+              how: str = "left") -> DataFrame:
+    """``salted`` LEFT (or ``how``) JOIN ``right`` on ``key``; with ``hot``
+    the left side must carry ``_salt`` (see ``salt``) and keeps it."""
     if hot is None:
-        return salted.join(right, key, "left")
-    return salted.join(replicate(right, key, hot), [key, SALT], "left")
+        return salted.join(right, key, how)
+    return salted.join(replicate(right, key, hot), [key, SALT], how)
 
 
 def split_left_join(left: DataFrame, right: DataFrame, key: str,

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import skew
+
 
 def _segment(length: Column, k: int, i: int) -> tuple[Column, Column]:
     """(0-based start, length) of segment ``i`` of ``k + 1`` for a word of
@@ -85,9 +87,14 @@ def corrections(words: DataFrame, vocab: DataFrame, max_distance: int = 2,
     qv = oov.select("word", F.explode(probe_keys("word", k)).alias("key"))
     vv = vocab.select(F.col("word").alias("cand"), "freq",
                       F.explode(segment_keys("word", k)).alias("key"))
-    cand = (qv.join(vv, "key")
-              .select("word", "cand", "freq", F.levenshtein("word", "cand", k).alias("dist"))
-              .where(F.col("dist") >= 0))
+    # a segment shared by very many probes (degenerate vocabularies) is split
+    # over salt buckets like a hot product (operators.skew)
+    hot = skew.hot_keys(qv, "key")
+    joined = (qv.join(vv, "key") if hot is None else
+              skew.left_join(skew.salt(qv, "key", hot, ["word", "key"]), vv, "key", hot, "inner"))
+    cand = (joined.select("word", "cand", "freq",
+                          F.levenshtein("word", "cand", k).alias("dist"))
+                  .where(F.col("dist") >= 0))
     # best candidate per word: smallest (distance, -frequency, word); min of a
     # struct is a partial (map-side) aggregate, no window sort
     best = cand.groupBy("word").agg(

@@ -226,3 +226,23 @@ def test_stem_tokens_with_a_hot_word(spark):
     df = spark.createDataFrame(rows, "k long, t array<string>")
     got = {r.k: r.s for r in stem_tokens(df, "k", "t", "s").collect()}
     assert got == {k: [stem(w) for w in t] for k, t in rows}
+
+
+def test_spelling_with_hot_segments_matches_brute_force(spark):
+    """Many short words sharing segments, and enough shuffle partitions that
+    the shared segment keys count as hot: the split join finds the same
+    corrections as brute force."""
+    import itertools
+    vocab_words = ["".join(t) for t in itertools.product("ab", repeat=4)] + ["abcab", "bbbbb"]
+    vocab_rows = [(w, i % 4 + 1) for i, w in enumerate(vocab_words)]
+    queries = ["".join(t) for t in itertools.product("abc", repeat=3)] + ["aaaaaa", "cccc"]
+    vocab = spark.createDataFrame(vocab_rows, "word string, freq long")
+    words = spark.createDataFrame([(w,) for w in queries], "word string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = {r.word: (r.correction, r.distance)
+               for r in spelling.corrections(words, vocab, max_distance=2, min_length=1).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == _brute_force(queries, vocab_rows, k=2, min_length=1)
