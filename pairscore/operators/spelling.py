@@ -23,18 +23,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import skew
 
 
-def _segment(length: Column, k: int, i: int) -> tuple[Column, Column]:
-    """(0-based start, length) of segment ``i`` of ``k + 1`` for a word of
-    ``length``: the first segments get ``length div (k+1)`` characters, the
-    last ``length mod (k+1)`` get one more."""
+def _segment(length: Column, k: int, i) -> tuple[Column, Column]:
+    """(0-based start, length) of segment ``i`` (int or Column) of ``k + 1``
+    for a word of ``length``: the first segments get ``length div (k+1)``
+    characters, the last ``length mod (k+1)`` get one more."""
     n = k + 1
+    i = F.lit(i) if isinstance(i, int) else i
     base = F.floor(length / n).cast("int")
     longer_from = n - F.pmod(length, F.lit(n))
-    start = base * i + F.greatest(F.lit(0), F.lit(i) - longer_from)
-    seg_len = base + F.when(F.lit(i) >= longer_from, 1).otherwise(0)
+    start = base * i + F.greatest(F.lit(0), i - longer_from)
+    seg_len = base + F.when(i >= longer_from, 1).otherwise(0)
     return start, seg_len
 
 
@@ -52,21 +54,27 @@ def segment_keys(word, k: int = 2) -> Column:
 
 def probe_keys(word, k: int = 2) -> Column:
     """array<struct<l, i, seg>>: every (length, segment, substring) under
-    which a vocabulary word within distance ``k`` is indexed."""
+    which a vocabulary word within distance ``k`` is indexed. Written as
+    nested higher-order functions over (length offset, segment, shift), so
+    the expression stays small whatever ``k``."""
     w = F.col(word) if isinstance(word, str) else word
     lr = F.length(w)
-    probes = []
-    for dl in range(-k, k + 1):
+
+    def per_length(dl):
         length = lr + dl
-        for i in range(k + 1):
+
+        def per_segment(i):
             start, seg_len = _segment(length, k, i)
-            for shift in range(-k, k + 1):
+
+            def at_shift(shift):
                 pos = start + shift
                 valid = (length >= 1) & (pos >= 0) & (pos + seg_len <= lr)
-                probes.append(F.when(valid, F.struct(
-                    length.alias("l"), F.lit(i).alias("i"),
-                    F.substr(w, pos + 1, seg_len).alias("seg"))))
-    return F.array_distinct(F.filter(F.array(*probes), lambda x: x.isNotNull()))
+                return F.when(valid, F.struct(length.alias("l"), i.alias("i"),
+                                              F.substr(w, pos + 1, seg_len).alias("seg")))
+            return F.transform(F.sequence(F.lit(-k), F.lit(k)), at_shift)
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(k)), per_segment))
+    probes = F.flatten(F.transform(F.sequence(F.lit(-k), F.lit(k)), per_length))
+    return F.array_distinct(F.filter(probes, lambda x: x.isNotNull()))
 
 
 def vocabulary(tokens: DataFrame, col: str) -> DataFrame:
@@ -81,8 +89,11 @@ def corrections(words: DataFrame, vocab: DataFrame, max_distance: int = 2,
     """(word, correction, distance) for each distinct ``word`` of ``words``
     that is at least ``min_length`` long and not in ``vocab``; correction and
     distance are NULL when no vocabulary word is within ``max_distance``."""
-    oov = (words.select("word").where(F.length("word") >= min_length).distinct()
-                .join(vocab.select("word"), "word", "left_anti"))
+    # both word lists are small (distinct words) and each is read more than
+    # once below: write them once instead of re-deriving them per read
+    vocab = materialize(vocab.select("word", "freq"), "vocab")
+    oov = materialize(words.select("word").where(F.length("word") >= min_length).distinct()
+                           .join(vocab.select("word"), "word", "left_anti"), "oov")
     k = max_distance
     qv = oov.select("word", F.explode(probe_keys("word", k)).alias("key"))
     vv = vocab.select(F.col("word").alias("cand"), "freq",
