@@ -18,11 +18,15 @@ Plan shape (what runs where):
   description is tokenised, stop words removed and reduced to a bag of
   distinct tokens; the attribute text is built and tokenised.
 * Pairs are left-joined to the product tables on ``product_uid`` (no hints:
-  broadcast only when the measured side is small, sort-merge otherwise; AQE
-  splits a hot product's partition).
-* The joined token table is written once to the shared checkpoint folder;
-  the Word2Vec fits (one per column) and the feature projection read it
-  back column-pruned.
+  broadcast only when the measured side is small, sort-merge otherwise).
+  Products holding a large share of the pairs are split over salt buckets
+  (``operators.skew``); the pairs are salted once and both joins run on
+  (product, bucket).
+* The word-match and length features are computed on the joined table,
+  which is then written once to the shared checkpoint folder without the
+  description bags; the Word2Vec fits (one per column) and the feature
+  projection read it back column-pruned. Description vectors (sets 3, 6)
+  are computed per product and joined.
 * Every feature is a native expression (``functions``); nothing runs in a
   Python worker.
 """

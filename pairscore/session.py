@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans assume. AQE re-plans joins from runtime sizes (broadcast
 # only when the measured side is below the threshold) and splits skewed join
-# partitions, which is how a hot product_uid is handled without salting.
+# partitions where both join inputs are plain shuffles; the product joins,
+# whose product side is aggregated, split hot products themselves
+# (operators.skew).
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
