@@ -176,3 +176,12 @@ def test_porter_published_examples():
              "allowance": "allow", "replacement": "replac", "electrical": "electr"}
     assert {w: stem(w) for w in cases} == cases
     assert stem("at") == "at" and stem(None) is None and stem("café") == "café"
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(words, words, words), min_size=1, max_size=30))
+def test_word_match_additive_in_query(spark, cases):
+    df = spark.createDataFrame(cases, "q1 array<string>, q2 array<string>, d array<string>")
+    rows = df.select(word_match(F.concat("q1", "q2"), "d").alias("both"),
+                     (word_match("q1", "d") + word_match("q2", "d")).alias("total")).collect()
+    assert all(r.both == r.total for r in rows)
