@@ -21,7 +21,7 @@ from ..functions import (cosine, euclidean, inverse_levenshtein, min_levenshtein
 from ..operators import catalog
 from ..operators import spelling, stemming
 from ..operators.embed import fit_word2vec, transform_as_array
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import csv_io
 from ..sources import fixtures as fx
 from ..sources.tables import table
@@ -484,7 +484,12 @@ def rmse_eval(spark, sf):
 # Rows-only: floating-point training results have no SQL oracle.
 
 def _inputs(spark, sf) -> PL.Inputs:
-    return PL.Inputs(fx.pairs(spark, sf), fx.descriptions(spark, sf), fx.attributes(spark, sf))
+    """The three inputs of the model queries. The pair view is derived
+    (lineitem aggregate and two joins) and each model query reads it several
+    times (hot-product count, training and scoring token tables), so it is
+    written once to the shared checkpoint folder, like a stored pair table."""
+    return PL.Inputs(materialize(fx.pairs(spark, sf), "pairs"), fx.descriptions(spark, sf),
+                     fx.attributes(spark, sf))
 
 
 @query("w2v_title")
