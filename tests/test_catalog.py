@@ -142,8 +142,8 @@ def test_stem_tokens_keeps_order_and_empties(spark):
 
 
 def test_feature_token_table_shuffles_pairs_once(spark, sf):
-    """Planned as at scale (AQE and broadcast off): the feature token table
-    adds three shuffles to the pairs fixture -- pairs by product_uid, the
+    """Planned as at scale (AQE and broadcast off) over a stored pair table:
+    the feature token table adds three shuffles -- pairs by product_uid, the
     description bags, the attribute tokens -- and two sort-merge joins; the
     second join reuses the pairs' partitioning."""
     import os
@@ -151,17 +151,20 @@ def test_feature_token_table_shuffles_pairs_once(spark, sf):
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                                     "tools"))
     from plan_summary import summarise
-    from pairscore.plans import catalogue
+    from pairscore.plans import features as FE
+    from pairscore.session import materialize
     from pairscore.sources import fixtures as fx
+    pairs = materialize(fx.pairs(spark, sf), "test-pairs")
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
                                           "spark.sql.autoBroadcastJoinThreshold")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        base = summarise(fx.pairs(spark, sf)._jdf.queryExecution().executedPlan().toString())
-        plan = catalogue.QUERIES["features_8_lexical"](spark, sf) \
-            ._jdf.queryExecution().executedPlan().toString()
-        s = summarise(plan)
+        base = summarise(pairs._jdf.queryExecution().executedPlan().toString())
+        fs = FE.FEATURE_SETS["8"]
+        tokens = FE.lexical_features(fs, FE.token_table(fs, pairs, fx.descriptions(spark, sf),
+                                                        fx.attributes(spark, sf)))
+        s = summarise(tokens._jdf.queryExecution().executedPlan().toString())
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
