@@ -29,3 +29,26 @@ def test_predictions_roundtrip(spark):
     back = csv_io.read_csv(spark, out, csv_io.PREDICTIONS_SCHEMA).orderBy("id").collect()
     assert [tuple(r) for r in back] == [(1, 2.25), (2, 1.5)]
     assert len([f for f in os.listdir(out) if f.endswith(".csv")]) == 1
+
+
+def test_materialize_uses_the_configured_checkpoint_dir():
+    """A cluster names the shared folder in spark.checkpoint.dir; intermediate
+    tables must go there (a scratch folder is made only when it is unset)."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shared = tempfile.mkdtemp(prefix="pairscore-shared-")
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.checkpoint.dir', %r).getOrCreate()\n"
+        "from pairscore.session import ensure_checkpoint_dir, materialize\n"
+        "print(ensure_checkpoint_dir(s))\n"
+        "print(materialize(s.range(10), 't').inputFiles()[0])\n" % (repo, shared))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=300, cwd="/")
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = out.stdout.strip().splitlines()
+    assert lines[0] == shared
+    assert shared in lines[1]
