@@ -5,15 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairscore.sources.tables import table
 
-from . import minhash
+from . import minhash, neighbours, substring, warc
+
+
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_hyperminhash": op2_hyperminhash}
+def op4_block_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op6_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50).drop("kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_salvage": op1_warc_salvage,
+    "op2_hyperminhash": op2_hyperminhash,
+    "op4_block_matrix": op4_block_matrix,
+    "op6_debruijn": op6_debruijn,
+}
 ORACLES: dict[str, str] = {}
