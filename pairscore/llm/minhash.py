@@ -1,19 +1,19 @@
 """Near-duplicate groups by HyperMinHash sketches, with links confirmed on full shingle sets.
 
-A document's shingles are hashed to 64 bits and dealt over 128 buckets by the top 7 bits. A bucket keeps, of its
-smallest hash, the count of leading zeros and the 10 bits after the leading one: a 16-bit register, 0 when empty.
+A document's shingles are hashed to 64 bits and dealt over buckets by the leading bits. A bucket keeps, of its smallest
+hash, the count of leading zeros and the 10 bits after the leading one: a 16-bit register, 0 when empty. A sketch has
+288 registers. Sets of 256 and more fill 288 buckets at once; smaller ones fill as many buckets as about half to all
+of their size, again for each of several rehashes, so that bands of short texts stay as telling as those of long ones.
 
-Candidates. Adjacent registers form bands; two documents that agree in a band that is not empty are candidates.
-A pair with Jaccard >= t and smaller size a differs in at most a * (1 / t - 1) shingles, so with more bands than that,
-one band of the two holds the same shingles and hence the same registers. Size classes choose the number of bands by
-this rule; a document writes keys for its own class and for those of the smallest size it may match. If the
-documents fill so few bands that the untouched one may be empty, each register is written as a key too. Sizes of
-128 and more use 32 bands of 4 registers: at t = 0.8 all of them differ with probability (1 - 0.8^4)^32 < 5e-8.
+Candidates. Six adjacent registers form a band; documents that agree in one of the 48 bands are candidates. At
+Jaccard 0.8 a register agrees with probability 0.8 or (where both may be empty) more, so all bands differ with
+probability (1 - 0.8^6)^48 < 5e-7 at most. Registers compare only within a size class; a document writes keys for
+its own class and, where its partners may be of the class below, for that one.
 
 Links. Copies (equal sets) are collapsed first. Each member of a band group is tested against the group's smallest
 id; components follow; then only members of one group that are still in different components are paired. So a group
 of thousands of near copies costs one test a member, and no link between different components is left untested.
-A test first compares the size ratio and, for sets of 128 and more, the collision-corrected estimate from the
+A test first compares the size ratio and, for sets of 256 and more, the collision-corrected estimate from the
 registers (cut five standard errors below the threshold), then counts the intersection of the full sets.
 """
 
@@ -29,16 +29,17 @@ from pyspark.sql import types as T
 
 from .common import (by_bytes, components, hash_ranges, lower_ascii, mix, semi_join, split_words, store, text_bytes)
 
-BUCKET_BITS, MANTISSA_BITS, BANDS = 7, 10, 32
-BUCKETS = 1 << BUCKET_BITS
-#: Collisions of registers by chance: this factor * 2^(bucket bits - mantissa bits) * 4nm / (n + m)^2.
+REGISTERS, BAND, MANTISSA_BITS = 288, 6, 10
+#: Sets of at least this size fill all registers at once.
+LARGE = 256
+#: Collisions of registers by chance: this factor * registers / 2^(mantissa bits) * 4nm / (n + m)^2.
 COLLISION = 0.169919487159739
 
 SKETCH = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
-    T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), T.StructField("sketch", T.BinaryType())])
+    T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), T.StructField("sketch", T.BinaryType()),
+    T.StructField("bands", T.ArrayType(T.LongType()))])
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.BinaryType())])
-KEYS = T.StructType([T.StructField("band", T.LongType()), T.StructField("doc_id", T.LongType())])
 
 
 def shingle_sets(column, width: int) -> Iterator[np.ndarray]:
@@ -63,80 +64,68 @@ def shingle_sets(column, width: int) -> Iterator[np.ndarray]:
             yield words[:0]
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
-    """The 128 registers of a sorted set of 64-bit hashes."""
-    out = np.zeros(BUCKETS, np.uint16)
-    bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def size_class(n: int) -> int:
+    """Buckets of a set of n: the power of two from n / 2 to n, 4 at least, or all registers."""
+    return REGISTERS if n >= LARGE else max(4, 1 << (n.bit_length() - 1))
+
+
+def registers(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The registers of a sorted set of 64-bit hashes."""
+    times = -(-REGISTERS // buckets)
+    values = hashes[None, :]
+    if times > 1:
+        salt = np.arange(times, dtype=np.uint64)[:, None] * np.uint64(0xA0761D6478BD642F)
+        values = np.sort(mix(values ^ salt), axis=1)
+    scaled = (values >> np.uint64(32)) * np.uint64(buckets)
+    bucket = (scaled >> np.uint64(32)).astype(np.int64) + np.arange(times)[:, None] * buckets
+    bucket = bucket.ravel()
     head = np.flatnonzero(np.diff(bucket, prepend=-1))  # sorted, so the first of a bucket is its smallest
-    rest = (hashes[head] << np.uint64(BUCKET_BITS)) >> np.uint64(11)  # 53 bits, exact as a double
+    rest = (((scaled & np.uint64(0xFFFFFFFF)) << np.uint64(32)) | (values & np.uint64(0xFFFFFFFF))).ravel()[head]
+    rest >>= np.uint64(11)  # 53 bits, exact as a double
     mantissa, exponent = np.frexp(rest.astype(np.float64))
     zeros = np.where(rest == 0, 53, 53 - exponent)
     bits = np.where(rest == 0, 0, (mantissa * 2 - 1) * (1 << MANTISSA_BITS)).astype(np.int64)
+    out = np.zeros(times * buckets, np.uint16)
     out[bucket[head]] = 1 + (zeros << MANTISSA_BITS) + bits
-    return out
+    return out[:REGISTERS]
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(Jaccard estimate, registers used) of rows of registers, corrected for collisions by chance."""
     used = ((a > 0) | (b > 0)).sum(1)
     same = ((a == b) & (a > 0)).sum(1)
-    chance = COLLISION * 2.0 ** (BUCKET_BITS - MANTISSA_BITS) * 4 * n * m / np.square(n + m)
+    chance = COLLISION * REGISTERS / (1 << MANTISSA_BITS) * 4 * n * m / np.square(n + m)
     return np.maximum(same - chance, 0) / np.maximum(used, 1), used
 
 
-def _differences(n: int, percent: int) -> int:
-    """Most shingles in which a set of n and one not smaller may differ: |A ^ B| <= n * (100 / percent - 1)."""
-    return n * (100 - percent) // percent
-
-
-def _classes(percent: int) -> list[tuple[int, int]]:
-    """(smallest size, bands) of each size class; the last holds all larger sizes."""
-    out, low, bands = [], 1, 1
-    while bands < BANDS:
-        high = low
-        while _differences(high, percent) < bands and high < BUCKETS:
-            high += 1
-        out.append((low, bands))
-        low, bands = high, bands * 2
-        if low >= BUCKETS:
-            break
-    return out + [(low, BANDS)]
-
-
-def band_keys(sketch: np.ndarray, n: int, percent: int, classes: list[tuple[int, int]]) -> np.ndarray:
-    lows = [low for low, _ in classes]
-    own = int(np.searchsorted(lows, n, "right")) - 1
-    least = int(np.searchsorted(lows, max(1, -(-n * percent // 100)), "right")) - 1
-    out = []
-    for c in range(least, own + 1):
-        bands = classes[c][1]
-        rows = sketch.reshape(bands, -1).astype(np.uint64)
-        filled = rows.any(1)
-        key = np.arange(bands, dtype=np.uint64) + np.uint64(1000 * (c + 1))
-        for k in range(rows.shape[1]):
-            key = mix(key * np.uint64(0xD6E8FEB86659FD93) + rows[:, k])
-        out.append(key[filled])
-        high = classes[c + 1][0] - 1 if c + 1 < len(classes) else BUCKETS - 1
-        if n < 2 * BUCKETS and filled.sum() <= _differences(high, percent):
-            at = np.flatnonzero(sketch).astype(np.uint64)
-            out.append(mix((at + np.uint64(1000 * (c + 1) + 500)) * np.uint64(0xD6E8FEB86659FD93)
-                           + sketch[sketch > 0].astype(np.uint64)))
-    return np.concatenate(out).view(np.int64)
-
-
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, sketch); d1 and d2 name the set: equal for equal sets, 128 bits together."""
+def band_keys(sketch: np.ndarray, buckets: int) -> np.ndarray:
+    """A key for each band that holds a register which is not empty."""
+    rows = sketch.reshape(-1, BAND).astype(np.uint64)
+    key = np.arange(len(rows), dtype=np.uint64) + np.uint64(1000 * buckets)
+    for k in range(BAND):
+        key = mix(key * np.uint64(0xD6E8FEB86659FD93) + rows[:, k])
+    return key[rows.any(1)].view(np.int64)
+
+
+def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, d1, d2, sketch, bands); d1 and d2 name the set: equal for equal sets, 128 bits together."""
     def work(batches):
         for batch in by_bytes(batches, "text"):
-            size, one, two, regs = [], [], [], []
+            size, one, two, regs, keys = [], [], [], [], []
             for h in shingle_sets(batch.column("text"), width):
                 size.append(len(h))
                 one.append(int(mix(h + np.uint64(0x1234567)).sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(np.bitwise_xor.reduce(mix(h ^ np.uint64(0x5BD1E995))).view(np.int64)) if len(h) else 0)
-                regs.append(registers(h).tobytes() if len(h) else b"")
+                own = size_class(len(h))
+                regs.append(registers(h, own).tobytes() if len(h) else b"")
+                keys.append(np.zeros(0, np.int64) if not len(h) else band_keys(np.frombuffer(regs[-1], np.uint16), own))
+                least = -(-len(h) * percent // 100)
+                if len(h) and size_class(least) != own:
+                    below = size_class(least)
+                    keys[-1] = np.concatenate([keys[-1], band_keys(registers(h, below), below)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), pa.array(regs, pa.binary())], [f.name for f in SKETCH])
+                 pa.array(two, pa.int64()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], [f.name for f in SKETCH])
     return docs.select("doc_id", "text").mapInArrow(work, SKETCH)
 
 
@@ -150,22 +139,6 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, SETS)
 
 
-def _band_table(sets: DataFrame, percent: int) -> DataFrame:
-    classes = _classes(percent)
-
-    def work(batches):
-        for batch in batches:
-            ids, keys = [], []
-            for doc, n, sketch in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_shingles", "sketch"))):
-                k = band_keys(np.frombuffer(sketch, np.uint16), n, percent, classes)
-                keys.append(k)
-                ids.append(np.full(len(k), doc, np.int64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))],
-                                                 ["band", "doc_id"])
-    return sets.select("doc_id", "n_shingles", "sketch").mapInArrow(work, KEYS)
-
-
 def _sketch_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that pass the size ratio and the estimate from the registers."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
@@ -178,11 +151,11 @@ def _sketch_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         for batch in batches:
             if not batch.num_rows:
                 continue
-            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in "st")
+            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in "st")
             n, m = (batch.column(c).to_numpy().astype(np.float64) for c in "nm")
             guess, used = estimate(s, t, n, m)
             j = percent / 100
-            keep = (np.minimum(n, m) < BUCKETS) | (guess >= j - 5 * np.sqrt(j * (1 - j) / np.maximum(used, 1)))
+            keep = (np.minimum(n, m) < LARGE) | (guess >= j - 5 * np.sqrt(j * (1 - j) / np.maximum(used, 1)))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
     return both.select("a", "b", "n", "m", "s", "t").mapInArrow(work, "a long, b long")
 
@@ -230,14 +203,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if not again.isEmpty():
         once = semi_join(docs, again, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
         docs = docs.join(again, "doc_id", "left_anti").unionByName(once)
-    every = store(sketches(docs, width), "minhash-sketches")
+    every = store(sketches(docs, width, percent), "minhash-sketches")
     some = every.where("n_shingles > 0")
     copies = store(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "minhash-copies")
-    sets = store(some.join(copies.select("doc_id"), "doc_id", "left_semi"), "minhash-distinct")
-
-    bands = _band_table(sets, percent)
-    groups = store(bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1"),
-                   "minhash-groups")
+    sets = some.select("doc_id", "n_shingles", "sketch")
+    # dealt by band once: the groups' smallest ids and the join with them need no further exchange
+    bands = (some.select("doc_id", "bands").join(copies.select("doc_id"), "doc_id", "left_semi")
+             .select(F.explode("bands").alias("band"), "doc_id").repartition("band"))
+    groups = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1")
     members = store(bands.join(groups, "band").select("band", "hub", "doc_id"), "minhash-members")
     first = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     links = _tested(first, sets, docs, percent, width)
