@@ -102,12 +102,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block_rows: int =
     columns = ["dim", "qb", "rb", "vec_id", "embedding"]
     left = (rows.where("is_query").withColumn("qb", deal(query_blocks)).withColumn("rb", spread(row_blocks))
             .select(columns))
-    right = rows.withColumn("rb", deal(row_blocks)).withColumn("qb", spread(query_blocks)).select(columns)
+    # other names than on the left: both sides come from one table, and cogroup tells their columns apart by name
+    right = (rows.withColumn("rb", deal(row_blocks)).withColumn("qb", spread(query_blocks))
+             .select(*[F.col(c).alias(f"r_{c}") for c in columns]))
 
     def tile(queries: pa.Table, block: pa.Table) -> pa.Table:
         q, v, s = [], [], []
         if queries.num_rows and block.num_rows:
-            sides = [(t.column("vec_id").to_numpy(), _matrix(t.column("embedding"))) for t in (queries, block)]
+            sides = [(t.column(p + "vec_id").to_numpy(), _matrix(t.column(p + "embedding")))
+                     for t, p in ((queries, ""), (block, "r_"))]
             for query, ids, scores in block_search(*sides[0], *sides[1], k):
                 q += [query] * len(ids)
                 v += ids
@@ -115,7 +118,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block_rows: int =
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()),
                          "score": pa.array(s, pa.float64())})
 
-    found = left.groupBy("dim", "qb", "rb").cogroup(right.groupBy("dim", "qb", "rb")).applyInArrow(tile, RESULT)
+    found = left.groupBy("dim", "qb", "rb").cogroup(right.groupBy("r_dim", "r_qb", "r_rb")).applyInArrow(tile, RESULT)
 
     def merge(part: pa.Table) -> pa.Table:
         rows = zip(part.column("score").to_pylist(), part.column("vec_id").to_pylist())

@@ -381,9 +381,10 @@ def masked(text: str, spans: list) -> str:
 RESULT = ", ".join(["doc_id long", *[f"n_{k} long" for k in KINDS], "base_sha256 string", "spans string"])
 
 
-def detect(docs: DataFrame, tagger: Tagger | None = None, mask: bool = False, **options) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for each row of ``docs`` (doc_id, text), and with
-    ``mask`` the text with its spans replaced, ``masked``.
+def detect(docs: DataFrame, tagger: Tagger | None = None, mask: bool = False, carry: list[str] | None = None,
+           **options) -> DataFrame:
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for each row of ``docs`` (doc_id, text), with
+    ``mask`` the text with its spans replaced, ``masked``, and the columns that ``carry`` names as they are.
 
     The counts and base_sha256 are of the base spans; spans lists these and what the model adds, as kind:start:end in
     code points, by kind and start, joined by commas. ``tagger`` is fitted on ``docs`` unless given; without a base span
@@ -391,7 +392,8 @@ def detect(docs: DataFrame, tagger: Tagger | None = None, mask: bool = False, **
 
     A null text is empty and is masked as null. Null doc_ids and repeated rows are each returned. Other columns are
     ignored; an empty table gives an empty result."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    carry = carry or []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
     tagger = tagger or fit(docs, **options)
     nothing = hashlib.sha256(b"").hexdigest()
     names = [x.split()[0] for x in RESULT.split(", ")]
@@ -415,5 +417,7 @@ def detect(docs: DataFrame, tagger: Tagger | None = None, mask: bool = False, **
                     cover[i] = masked(texts[i], every)
             columns = [batch.column("doc_id"), *[pa.array([c[k] for c in counts], pa.int64()) for k in range(len(KINDS))],
                        pa.array(sha), pa.array(spans)]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(cover, pa.string())] * mask, names + ["masked"] * mask)
-    return docs.mapInArrow(work, RESULT + ", masked string" * mask)
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(cover, pa.string())] * mask + [batch.column(c) for c in carry],
+                                             names + ["masked"] * mask + carry)
+    more = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields)
+    return docs.mapInArrow(work, RESULT + ", masked string" * mask + more)
