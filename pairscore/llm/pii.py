@@ -5,8 +5,10 @@ with variants of them that the patterns miss (phone numbers without +, grouped c
 Texts are cut into overlapping windows on a fixed grid; each is decoded by Viterbi; complete spans of all windows of a
 text are reconciled together: base spans stay, longer spans go before shorter ones, none overlap.
 
-A span must hold a digit or an at sign, as every kind of label does. A window without one cannot add a span, so it is
-not run through the network; the result is the same as with it.
+A span that the model adds must be possible for its kind: digits that pass Luhn's check for a card, parts up to 255 for
+an ip, 9 to 15 digits for a phone, and for an e-mail a name, an at (sign or spelt out), a dot and a digit or at sign.
+So every span holds a digit or an at sign, and windows without one are not run through the network: whatever it gave
+there would be dropped.
 """
 
 from __future__ import annotations
@@ -230,7 +232,7 @@ def _variant(kind: int, span: str, rng) -> str:
         return span.replace("@", [" at ", " (at) ", "[at]"][rng.integers(3)])
     if kind == 2:
         digits = re.sub(r"\D", "", span)
-        return "- "[rng.integers(2)].join(digits[i: i + 4] for i in range(0, len(digits), 4))
+        return [".", "  ", "/", "_"][rng.integers(4)].join(digits[i: i + 4] for i in range(0, len(digits), 4))
     if kind == 3:
         digits = re.sub(r"\D", "", span)[-10:]
         return [f"({digits[:3]}) {digits[3:6]}-{digits[6:]}", f"{digits[:3]}-{digits[3:6]}-{digits[6:]}",
@@ -349,16 +351,29 @@ def model_spans(tagger: Tagger, texts: list[str], gate: bool = True) -> list[lis
     return out
 
 
+def possible(kind: int, span: str) -> bool:
+    """Whether a span of the model can be of its kind; all need a digit or an at sign."""
+    digits = re.sub("[^0-9]", "", span)
+    if kind == 0:
+        return bool(re.fullmatch(r"(?is)[A-Z0-9._%+-]+\W{0,3}(@|at)\W{0,3}[A-Z0-9.-]+\.[A-Z0-9-]+", span)
+                    and re.search("[0-9@]", span))
+    if kind == 1:
+        parts = re.findall("[0-9]+", span)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == 2:
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15
+
+
 def reconcile(text: str, base: list, found: list) -> list[tuple[int, int, int]]:
-    """Base spans, and those of the model that hold a digit or an at sign and overlap no other: longer ones first,
-    then the leftmost, then by kind. By kind and start."""
+    """Base spans, and those of the model that are possible and overlap no other: longer ones first, then the leftmost,
+    then by kind. By kind and start."""
     taken = np.zeros(len(text) + 1, bool)
     for _, s, e in base:
         taken[s:e] = True
     out = list(base)
     for kind, s, e in sorted(set(found), key=lambda x: (x[1] - x[2], x[1], x[0])):
-        span = text[s:e]
-        if not taken[s:e].any() and re.search("[0-9@]", span):
+        if not taken[s:e].any() and possible(kind, text[s:e]):
             taken[s:e] = True
             out.append((kind, s, e))
     return sorted(out)

@@ -62,7 +62,10 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 300)
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w = np.zeros(x.shape[1], np.float32)
     v, before = w.copy(), w.copy()
-    rate = 4.0 / (np.square(np.linalg.norm(x, 2)) + 4 * ridge)
+    top = np.ones(x.shape[1], np.float32)
+    for _ in range(30):  # largest eigenvalue of x'x, by power iteration
+        top = x.T @ (x @ (top / np.linalg.norm(top)))
+    rate = 4.0 / (1.1 * np.linalg.norm(top) + 4 * ridge)
     for t in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
         grad = x.T @ (p - y) + ridge * np.append(v[:-1], 0)
@@ -96,18 +99,14 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
     common = (table.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
               .where(F.col("n") >= max(2, n // 200)).orderBy(F.desc("n"), "f").limit(MOST_FEATURES))
     chosen_features = np.sort(np.array([r["f"] for r in common.collect()], np.int64))
+    rows = table.orderBy("doc_id", *targets).toArrow()
+    lists = rows.column("features").combine_chunks()
+    row, own = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().astype(np.int64)
+    at = np.minimum(np.searchsorted(chosen_features, own), len(chosen_features) - 1)
+    hit = chosen_features[at] == own if len(chosen_features) else np.zeros(len(own), bool)
     x = np.zeros((n, len(chosen_features)), np.float32)
-    y = {t: np.zeros(n, np.float32) for t in targets}
-    for i, r in enumerate(table.orderBy("doc_id").toLocalIterator()):
-        if i >= n:
-            break
-        own = np.asarray(r["features"], np.int64)
-        at = np.searchsorted(chosen_features, own)
-        hit = at < len(chosen_features)
-        at, own = at[hit], own[hit]
-        x[i, at[chosen_features[at] == own]] = 1
-        for t in targets:
-            y[t][i] = float(r[t] > 0)
+    x[row[hit], at[hit]] = 1
+    y = {t: (rows.column(t).to_numpy() > 0).astype(np.float32) for t in targets}
     return DocumentModel(chosen_features, {t: logistic(x, y[t]) for t in targets})
 
 
