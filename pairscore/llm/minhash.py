@@ -2,19 +2,20 @@
 
 A document's shingles are hashed to 64 bits and dealt over buckets by the leading bits. A bucket keeps, of its smallest
 hash, the count of leading zeros and the 10 bits after the leading one: a 16-bit register, 0 when empty. A sketch has
-288 registers. Sets of 256 and more fill 288 buckets at once; smaller ones fill as many buckets as about half to all
+448 registers. Sets of 512 and more fill 448 buckets at once; smaller ones fill as many buckets as about half to all
 of their size, again for each of several rehashes, so that bands of short texts stay as telling as those of long ones.
 
-Candidates. Six adjacent registers form a band; documents that agree in one of the 48 bands are candidates. At
+Candidates. Seven adjacent registers form a band; documents that agree in one of the 64 bands are candidates. At
 Jaccard 0.8 a register agrees with probability 0.8 or (where both may be empty) more, so all bands differ with
-probability (1 - 0.8^6)^48 < 5e-7 at most. Registers compare only within a size class; a document writes keys for
+probability (1 - 0.8^7)^64 < 3e-7 at most. Registers compare only within a size class; a document writes keys for
 its own class and, where its partners may be of the class below, for that one.
 
-Links. Copies (equal sets) are collapsed first. Each member of a band group is tested against the group's smallest
-id; components follow; then only members of one group that are still in different components are paired. So a group
-of thousands of near copies costs one test a member, and no link between different components is left untested.
-A test first compares the size ratio and, for sets of 256 and more, the collision-corrected estimate from the
-registers (cut five standard errors below the threshold), then counts the intersection of the full sets.
+Links. Copies (equal sets) are collapsed first. The hub of a band group is its member with the largest groups over all
+bands, which is the most typical of a group of near copies. Each member is tested against the hub; components follow;
+then only those members that are still outside the hub's component are tested against the members of other components.
+So a group of thousands of near copies costs about one test a member, and no link between different components is left
+untested. A test first compares the size ratio and the collision-corrected estimate from the registers (cut six
+standard errors below the threshold), then counts the intersection of the full sets.
 """
 
 from __future__ import annotations
@@ -29,15 +30,18 @@ from pyspark.sql import types as T
 
 from .common import (by_bytes, components, hash_ranges, lower_ascii, mix, semi_join, split_words, store, text_bytes)
 
-REGISTERS, BAND, MANTISSA_BITS = 288, 6, 10
+REGISTERS, BAND, MANTISSA_BITS = 448, 7, 10
 #: Sets of at least this size fill all registers at once.
-LARGE = 256
+LARGE = 512
+#: Sets below this size have too few independent registers for the estimate to rule a pair out.
+ESTIMATED = 16
 #: Collisions of registers by chance: this factor * registers / 2^(mantissa bits) * 4nm / (n + m)^2.
 COLLISION = 0.169919487159739
 
 SKETCH = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
     T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), T.StructField("sketch", T.BinaryType()),
+    T.StructField("below", T.BinaryType()),
     T.StructField("bands", T.ArrayType(T.LongType()))])
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
@@ -111,21 +115,24 @@ def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, d1, d2, sketch, bands); d1 and d2 name the set: equal for equal sets, 128 bits together."""
     def work(batches):
         for batch in by_bytes(batches, "text"):
-            size, one, two, regs, keys = [], [], [], [], []
+            rows = []
             for h in shingle_sets(batch.column("text"), width):
-                size.append(len(h))
-                one.append(int(mix(h + np.uint64(0x1234567)).sum(dtype=np.uint64).view(np.int64)))
-                two.append(int(np.bitwise_xor.reduce(mix(h ^ np.uint64(0x5BD1E995))).view(np.int64)) if len(h) else 0)
-                own = size_class(len(h))
-                regs.append(registers(h, own).tobytes() if len(h) else b"")
-                keys.append(np.zeros(0, np.int64) if not len(h) else band_keys(np.frombuffer(regs[-1], np.uint16), own))
-                least = -(-len(h) * percent // 100)
-                if len(h) and size_class(least) != own:
-                    below = size_class(least)
-                    keys[-1] = np.concatenate([keys[-1], band_keys(registers(h, below), below)])
+                n = len(h)
+                if not n:
+                    rows.append((0, 0, 0, None, None, None))
+                    continue
+                own, least = size_class(n), size_class(-(-n * percent // 100))
+                regs, below = registers(h, own), None if least == own else registers(h, least)
+                keys = band_keys(regs, own)
+                if below is not None:
+                    keys = np.concatenate([keys, band_keys(below, least)])
+                rows.append((n, int(mix(h + np.uint64(0x1234567)).sum(dtype=np.uint64).view(np.int64)),
+                             int(np.bitwise_xor.reduce(mix(h ^ np.uint64(0x5BD1E995))).view(np.int64)),
+                             regs.tobytes(), None if below is None else below.tobytes(), keys))
+            number = pa.int64()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], [f.name for f in SKETCH])
+                [batch.column("doc_id")] + [pa.array(c, k) for c, k in zip(
+                    zip(*rows), [number, number, number, pa.binary(), pa.binary(), pa.list_(number)])], [f.name for f in SKETCH])
     return docs.select("doc_id", "text").mapInArrow(work, SKETCH)
 
 
@@ -140,24 +147,30 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sketch_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that pass the size ratio and the estimate from the registers."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("t"))
-    both = (pairs.join(left.select("a", "n"), "a").join(right.select("b", "m"), "b")
-            .where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-            .select("a", "b").join(left, "a").join(right, "b"))
+    """Pairs (a, b) that pass the size ratio and the estimate from the registers of the smaller one's class."""
+    sizes = sets.select("doc_id", "n_shingles")
+    side = lambda doc, n, s, t: sets.select(F.col("doc_id").alias(doc), F.col("n_shingles").alias(n),
+                                            F.col("sketch").alias(s), F.col("below").alias(t))
+    both = (pairs.join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b")
+            .where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent).select("a", "b")
+            .join(side("a", "n", "s", "s2"), "a").join(side("b", "m", "t", "t2"), "b"))
 
     def work(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in "st")
-            n, m = (batch.column(c).to_numpy().astype(np.float64) for c in "nm")
-            guess, used = estimate(s, t, n, m)
+            n, m = (batch.column(c).to_numpy() for c in "nm")
+            least = [size_class(x) for x in np.minimum(n, m).tolist()]
+
+            def side(c, sizes):
+                own, below = batch.column(c).to_pylist(), batch.column(c + "2").to_pylist()
+                rows = [o if size_class(x) == k else b for o, b, x, k in zip(own, below, sizes.tolist(), least)]
+                return np.frombuffer(b"".join(rows), np.uint16).reshape(-1, REGISTERS)
+            guess, used = estimate(side("s", n), side("t", m), n.astype(float), m.astype(float))
             j = percent / 100
-            keep = (np.minimum(n, m) < LARGE) | (guess >= j - 5 * np.sqrt(j * (1 - j) / np.maximum(used, 1)))
+            keep = (np.minimum(n, m) < ESTIMATED) | (guess >= j - 6 * np.sqrt(j * (1 - j) / np.maximum(used, 1)))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
-    return both.select("a", "b", "n", "m", "s", "t").mapInArrow(work, "a long, b long")
+    return both.select("a", "b", "n", "m", "s", "s2", "t", "t2").mapInArrow(work, "a long, b long")
 
 
 def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -206,31 +219,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     every = store(sketches(docs, width, percent), "minhash-sketches")
     some = every.where("n_shingles > 0")
     copies = store(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "minhash-copies")
-    sets = some.select("doc_id", "n_shingles", "sketch")
-    # dealt by band once: the groups' smallest ids and the join with them need no further exchange
+    sets = some.select("doc_id", "n_shingles", "sketch", "below")
+    # dealt by band once: the groups' sizes and the join with them need no further exchange
     bands = (some.select("doc_id", "bands").join(copies.select("doc_id"), "doc_id", "left_semi")
              .select(F.explode("bands").alias("band"), "doc_id").repartition("band"))
-    groups = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1")
-    members = store(bands.join(groups, "band").select("band", "hub", "doc_id"), "minhash-members")
-    first = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    groups = bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+    members = store(bands.join(groups, "band").select("band", "doc_id", "c"), "minhash-members")
+    typical = members.groupBy("doc_id").agg(F.sum("c").alias("c"))
+    hubs = (members.select("band", "doc_id").join(typical, "doc_id").groupBy("band")
+            .agg(F.max_by("doc_id", F.struct("c", -F.col("doc_id"))).alias("hub")))
+    members = store(members.select("band", "doc_id").join(hubs, "band"), "minhash-hubs")
+    first = (members.where("doc_id <> hub").select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
+             .distinct())
     links = _tested(first, sets, docs, percent, width)
 
     labels = store(components(links), "minhash-labels")
-    named = (members.select("band", "doc_id").distinct()
-             .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
-    open_ = (named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo < hi").select("band"))
-    named = store(named.join(open_, "band", "left_semi"), "minhash-open")
-    other = named.select("band", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-    second = (named.withColumnRenamed("doc_id", "a").join(other, "band").where("a > b and component <> other")
-              .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
+    named = (members.join(labels.toDF("doc_id", "component"), "doc_id", "left")
+             .join(labels.toDF("hub", "main"), "hub", "left")
+             .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("main", "hub").alias("main")))
+    named = store(named, "minhash-named")
+    outside = named.where("component <> main").select("band", F.col("doc_id").alias("a"), F.col("component").alias("one"))
+    other = named.select("band", F.col("doc_id").alias("b"), F.col("component").alias("two"), "main")
+    second = (outside.join(other, "band").where("one <> two and (two = main or a > b)")
+              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+              .join(first, ["a", "b"], "left_anti"))
     links = links.union(_tested(second, sets, docs, percent, width))
 
     found = store(components(links), "minhash-components")
     of_copy = copies.join(found, copies["doc_id"] == found["node"], "left").select(
         "d1", "d2", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    # Only sets with copies or links differ from their own id; join just those, so that no large group is dealt by key.
     return (every.join(of_copy, ["d1", "d2", "n_shingles"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
