@@ -5,7 +5,6 @@ Layout:
   functions/  Column-level functions (tokenising, word match, vector math)
   operators/  DataFrame-level operators (catalog cleaning/joins, embeddings, stemming)
   plans/      end-to-end feature sets, models, evaluation and the query catalogue
-  streaming/  empty: the pipeline has no streaming stages
 """
 
 __all__ = ["session"]

@@ -21,13 +21,21 @@ def _w(x: Column, y: Column) -> Column:
     return F.contains(y, x).cast("int") + F.contains(x, y).cast("int")
 
 
+def _bind(q, d, body) -> Column:
+    """``body(q, d)`` with both sides evaluated once a row, whatever expressions they are: inside the lambda they
+    are fields of one array element, so the lambdas over query words do not evaluate them again."""
+    one = F.transform(F.array(F.struct(q.alias("q"), d.alias("d"))), lambda s: body(s["q"], s["d"]))
+    return F.element_at(one, 1)
+
+
+def _lower(c) -> Column:
+    return F.transform(_col(c), F.lower)
+
+
 def word_match(q, d) -> Column:
     """Plain form: O(|q| * |d|) per row. NULL on either side gives NULL."""
-    ql = F.transform(_col(q), F.lower)
-    dl = F.transform(_col(d), F.lower)
-    return F.aggregate(
-        ql, F.lit(0),
-        lambda acc, x: acc + F.aggregate(dl, F.lit(0), lambda a, y: a + _w(x, y)))
+    return _bind(_lower(q), _lower(d), lambda ql, dl: F.aggregate(
+        ql, F.lit(0), lambda acc, x: acc + F.aggregate(dl, F.lit(0), lambda a, y: a + _w(x, y))))
 
 
 def word_match_bag(q, bag) -> Column:
@@ -35,18 +43,16 @@ def word_match_bag(q, bag) -> Column:
     distinct lowercased tokens with their counts (see
     ``operators.catalog.token_bags``): sum of n * w(x, t). Equal to
     ``word_match`` on the expanded tokens, at O(|q| * distinct(d))."""
-    ql = F.transform(_col(q), F.lower)
-    return F.aggregate(
+    return _bind(_lower(q), _col(bag), lambda ql, b: F.aggregate(
         ql, F.lit(0),
-        lambda acc, x: acc + F.aggregate(
-            _col(bag), F.lit(0), lambda a, e: a + e["n"] * _w(x, e["t"])))
+        lambda acc, x: acc + F.aggregate(b, F.lit(0), lambda a, e: a + e["n"] * _w(x, e["t"]))))
 
 
 def _min_distances(q, d) -> Column:
     """For each query token, its smallest edit distance to any document token
     (NULL when the document has no tokens)."""
-    return F.transform(_col(q), lambda x: F.array_min(
-        F.transform(_col(d), lambda y: F.levenshtein(x, y))))
+    return _bind(_col(q), _col(d), lambda ql, dl: F.transform(ql, lambda x: F.array_min(
+        F.transform(dl, lambda y: F.levenshtein(x, y)))))
 
 
 def min_levenshtein(q, d) -> Column:
@@ -58,5 +64,16 @@ def min_levenshtein(q, d) -> Column:
 def inverse_levenshtein(q, d) -> Column:
     """sum over query tokens x of 1 / (1 + min_y levenshtein(x, y)): 1 per
     exact hit, less for near misses, 0 when the document has no tokens."""
-    return F.aggregate(_min_distances(q, d), F.lit(0.0),
+    return _inverse(_min_distances(q, d))
+
+
+def _inverse(distances) -> Column:
+    return F.aggregate(distances, F.lit(0.0),
                        lambda acc, m: acc + F.coalesce(1.0 / (m + 1), F.lit(0.0)))
+
+
+def levenshtein_scores(q, d) -> Column:
+    """struct(lev_min, lev_inv): both scores above from one table of distances."""
+    one = F.transform(F.array(_min_distances(q, d)), lambda m: F.struct(
+        F.array_min(m).alias("lev_min"), _inverse(m).alias("lev_inv")))
+    return F.element_at(one, 1)

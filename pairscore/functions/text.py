@@ -15,6 +15,7 @@ from .stopwords import ENGLISH
 
 # Java's \s: space, tab, newline, vertical tab, form feed, carriage return.
 JAVA_WS = "[ \\t\\n\\x0B\\f\\r]"
+JAVA_WS_CHARS = " \t\n\x0b\f\r"
 # Python's str.split() whitespace (str.isspace), used by the term length.
 PY_WS = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
          "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
@@ -33,8 +34,8 @@ def tokenize(c) -> Column:
     """Tokenizer semantics: ``''`` -> ``['']``, all-blank -> ``[]``,
     ``' a  B\\tc '`` -> ``['', 'a', '', 'b', 'c']``, NULL -> NULL."""
     c = _col(c)
-    low = F.lower(c)
-    trimmed = F.regexp_replace(low, JAVA_WS + "+$", "")
+    # rtrim is linear; a regex for the trailing run would retry inside every blank run of the text
+    trimmed = F.rtrim(F.lower(c), F.lit(JAVA_WS_CHARS))
     return (F.when(c.isNull(), F.lit(None).cast("array<string>"))
              .when(c == "", F.array(F.lit("")))
              .when(trimmed == "", F.array().cast("array<string>"))

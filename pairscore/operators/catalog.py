@@ -62,9 +62,12 @@ def attribute_text(attrs: DataFrame, names: Sequence[str] | None = None,
     every row.
 
     The filter runs before the aggregate (pushed into the scan when the
-    source supports it); ``collect_list`` is partially aggregated map-side."""
+    source supports it); ``collect_list`` is partially aggregated map-side and
+    holds one product's values. Rows without a product are left out: no join
+    can match them, and they would all form one group."""
     cond = _name_filter(names)
-    src = attrs.where(cond) if cond is not None else attrs
+    src = attrs.where(F.col("product_uid").isNotNull())
+    src = src.where(cond) if cond is not None else src
     text = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("name", "value"))),
                     lambda s: s["value"]), " ")
@@ -129,9 +132,10 @@ def attribute_pivot(attrs: DataFrame, names: Sequence[str], sep: str = " ") -> D
 
     The pivot values are given, so Spark plans a single aggregate (no extra
     job to find the distinct names), partially aggregated before the shuffle
-    on ``product_uid``; rows of other names are filtered out at the scan."""
+    on ``product_uid``; rows of other names, and rows without a product, are
+    filtered out at the scan."""
     vals = F.array_join(F.array_sort(F.collect_list("value")), sep)
-    wide = (attrs.where(F.col("name").isin(*names))
+    wide = (attrs.where(F.col("product_uid").isNotNull() & F.col("name").isin(*names))
                  .groupBy("product_uid").pivot("name", list(names))
                  .agg(F.when(F.count("value") > 0, vals)))
     return wide.select("product_uid", *[F.col(f"`{n}`").alias(_snake(n)) for n in names])

@@ -1,10 +1,11 @@
 """Word2Vec document vectors (Spark ML) and their use as feature inputs.
 
-Spark's Word2Vec trains on ``numPartitions`` partitions of the sentences;
-its default of 1 sends the whole corpus through one task, so the default
-here is the session's parallelism. The vocabulary and vectors
-(vocabulary x vectorSize floats) live on the driver and in the broadcast of
-``Word2VecModel.transform``; ``min_count`` bounds that size on large corpora.
+The fit is Spark ML's: it trains on ``num_partitions`` partitions of the
+sentences and keeps vocabulary x vectorSize floats on the driver, a limit of
+that library; ``min_count`` bounds it on large corpora. Vectors depend on the
+number of partitions, so it is a parameter and not taken from the cluster.
+Applying the vectors is a join of (word, vector) rows, without a broadcast
+of the vocabulary.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import materialize
+from . import skew
 
 
 @dataclass(frozen=True)
@@ -24,7 +26,7 @@ class W2VParams:
     vector_size: int = 10
     min_count: int = 0
     seed: int = 42
-    num_partitions: int | None = None   # None -> session parallelism
+    num_partitions: int = 8   # vectors depend on it, so it does not follow the cluster
     max_iter: int = 1
     window_size: int = 5
     max_sentence_length: int = 1000
@@ -32,9 +34,8 @@ class W2VParams:
 
 def fit_word2vec(df: DataFrame, input_col: str, output_col: str,
                  params: W2VParams = W2VParams()) -> Word2VecModel:
-    n = params.num_partitions or default_parallelism(df.sparkSession)
     w2v = Word2Vec(vectorSize=params.vector_size, minCount=params.min_count,
-                   seed=params.seed, numPartitions=n, maxIter=params.max_iter,
+                   seed=params.seed, numPartitions=params.num_partitions, maxIter=params.max_iter,
                    windowSize=params.window_size,
                    maxSentenceLength=params.max_sentence_length,
                    inputCol=input_col, outputCol=output_col)
@@ -42,14 +43,26 @@ def fit_word2vec(df: DataFrame, input_col: str, output_col: str,
     return w2v.fit(df.select(input_col))
 
 
-def transform_as_array(model: Word2VecModel, df: DataFrame, input_col: str,
-                       output_col: str) -> DataFrame:
-    """Mean of the word vectors of each row as ``array<double>`` (unknown
-    words count in the denominator; no tokens -> zero vector)."""
-    m = model.copy().setInputCol(input_col).setOutputCol(output_col)
-    return m.transform(df).withColumn(output_col, vector_to_array(F.col(output_col)))
+def word_vectors(model: Word2VecModel) -> DataFrame:
+    """(word, vector) of a fitted model, as a table in the shared folder."""
+    return materialize(model.getVectors().select("word", vector_to_array("vector").alias("vector")), "words")
 
 
-def word_vectors(model: Word2VecModel) -> DataFrame:
-    """The vocabulary as a distributed table (word, vector)."""
-    return model.getVectors()
+def document_vectors(df: DataFrame, tokens: str, words: DataFrame, size: int, out: str) -> DataFrame:
+    """``df`` with ``out``: the mean of the word vectors of each row's tokens as ``array<double>``. Unknown words count
+    in the denominator; a row without tokens gets the zero vector.
+
+    Each distinct token array is worked out once: its words are counted, joined to ``words`` (word, vector) -- hot words
+    are split over salt buckets -- and summed. Nothing is broadcast but the bounded list of hot words."""
+    texts = df.select(F.coalesce(tokens, F.array().cast("array<string>")).alias("_tokens")).distinct()
+    counted = (texts.select("_tokens", F.explode("_tokens").alias("word"))
+               .groupBy("_tokens", "word").agg(F.count(F.lit(1)).alias("_n")))
+    hot = skew.hot_keys(counted, "word")
+    rows = counted if hot is None else skew.salt(counted, "word", hot, ["_tokens"])
+    rows = skew.left_join(rows, words.select("word", F.col("vector").alias("_v")), "word", hot, "inner")
+    sums = rows.groupBy("_tokens").agg(*[F.sum(F.col("_n") * F.get("_v", F.lit(i))).alias(f"_s{i}") for i in range(size)])
+    mean = F.array(*[F.col(f"_s{i}") / F.size("_tokens") for i in range(size)])
+    vectors = sums.select("_tokens", mean.alias(out))
+    zero = F.array(*[F.lit(0.0)] * size)
+    keyed = df.withColumn("_tokens", F.coalesce(tokens, F.array().cast("array<string>")))
+    return keyed.join(vectors, "_tokens", "left").drop("_tokens").withColumn(out, F.coalesce(out, zero))

@@ -85,7 +85,7 @@ def vocabulary(tokens: DataFrame, col: str) -> DataFrame:
 
 
 def corrections(words: DataFrame, vocab: DataFrame, max_distance: int = 2,
-                min_length: int = 3) -> DataFrame:
+                min_length: int = 1) -> DataFrame:
     """(word, correction, distance) for each distinct ``word`` of ``words``
     that is at least ``min_length`` long and not in ``vocab``; correction and
     distance are NULL when no vocabulary word is within ``max_distance``."""
@@ -119,9 +119,10 @@ def correct_tokens(df: DataFrame, key: str, tokens: str, fixes: DataFrame,
                    out_col: str) -> DataFrame:
     """Replace each token that has a correction, keeping token order: the
     tokens are exploded with their position, left-joined to the corrections
-    and collected back per key in position order."""
+    and collected back per key in position order (one key's own tokens). Hot
+    words are split over salt buckets."""
     ex = df.select(key, F.posexplode(tokens).alias("pos", "word"))
-    fixed = (ex.join(fixes.select("word", "correction"), "word", "left")
+    fixed = (skew.split_left_join(ex, fixes.select("word", "correction"), "word", [key, "pos"])
                .select(key, "pos", F.coalesce("correction", "word").alias("w")))
     back = fixed.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))),

@@ -15,13 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (cosine, euclidean, inverse_levenshtein, min_levenshtein,
-                         remove_stop_words, split_space, term_length, tokenize, word_match,
+from ..functions import (cosine, euclidean, levenshtein_scores, remove_stop_words, split_space, term_length, tokenize, word_match,
                          word_match_bag)
 from ..operators import catalog
 from ..operators import spelling, stemming
-from ..operators.embed import fit_word2vec, transform_as_array
-from ..session import ensure_checkpoint_dir, materialize
+from ..operators.embed import document_vectors, fit_word2vec, word_vectors
+from ..session import materialize, stage_root
 from ..sources import csv_io
 from ..sources import fixtures as fx
 from ..sources.tables import table
@@ -237,12 +236,11 @@ def stopwords_description(spark, sf):
 
 @query("stopwords_documents", f"""
 SELECT doc_id, {S.joined(S.remove_stop_words(S.tokenize("text")))} AS tokens
-FROM documents WHERE lang = 'en'""")
+FROM documents""")
 def stopwords_documents(spark, sf):
-    """T3 over the English documents."""
+    """T3 over all documents."""
     toks = remove_stop_words(tokenize("text"))
-    return (table(spark, sf, "documents").where(F.col("lang") == "en")
-            .select("doc_id", _joined(toks).alias("tokens")))
+    return table(spark, sf, "documents").select("doc_id", _joined(toks).alias("tokens"))
 
 
 @query("term_length", fx.with_views("pairs") + f"""
@@ -321,18 +319,50 @@ SELECT id, {S.word_match(S.tokenize("search_term"), S.tokenize("product_descript
 FROM doc_pairs""")
 def word_match_docs(spark, sf):
     """T7 against whole documents (long text): the document side is reduced
-    to its bag of distinct tokens first."""
-    dp = fx.doc_pairs(spark, sf)
-    docs = dp.select("product_uid", tokenize("product_description").alias("_tok"))
-    bags = catalog.token_bags(docs.dropDuplicates(["product_uid"]), "product_uid", "_tok",
-                              "doc_bag")
-    j = catalog.attach_description(dp.select("id", "product_uid", "search_term"), bags)
+    to its bag of distinct tokens first, straight from the documents; the
+    pairs carry ids and search terms only."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("product_uid"), tokenize("text").alias("_tok"))
+    bags = catalog.token_bags(docs, "product_uid", "_tok", "doc_bag")
+    j = catalog.attach_description(fx.doc_terms(spark, sf).select("id", "product_uid", "search_term"), bags)
     bag = F.coalesce(F.col("doc_bag"), F.array().cast("array<struct<t:string,n:int>>"))
     return j.select("id", word_match_bag(tokenize("search_term"), bag).alias("match_score"))
 
 
 # ------------------------------------------------- edit distance and spelling
 
+_SPELL_SQL = f""",
+titles AS (SELECT DISTINCT product_uid, product_title FROM pairs),
+vocab AS (SELECT w AS word, count(*) AS freq
+          FROM (SELECT unnest({S.tokenize("product_title")}) AS w FROM titles)
+          WHERE w <> '' GROUP BY w),
+qw AS (SELECT DISTINCT w AS word
+       FROM (SELECT unnest({S.tokenize("search_term")}) AS w FROM pairs)
+       WHERE length(w) >= 1 AND w NOT IN (SELECT word FROM vocab)),
+cand AS (SELECT q.word, v.word AS cand, v.freq, levenshtein(q.word, v.word) AS dist
+         FROM qw q JOIN vocab v ON abs(length(q.word) - length(v.word)) <= 2
+         WHERE levenshtein(q.word, v.word) <= 2),
+best AS (SELECT word, cand, dist,
+                row_number() OVER (PARTITION BY word ORDER BY dist, freq DESC, cand) AS rk
+         FROM cand)"""
+
+
+@query("word_match_corrected", fx.with_views("pairs") + _SPELL_SQL + f""",
+words AS (SELECT id, unnest(t) AS w, generate_subscripts(t, 1) AS pos
+          FROM (SELECT id, {S.tokenize("search_term")} AS t FROM pairs)),
+fixed AS (SELECT id, list(coalesce(b.cand, w) ORDER BY pos) AS q
+          FROM words LEFT JOIN best b ON b.word = w AND b.rk = 1 GROUP BY id)
+SELECT p.id AS id, {S.joined("coalesce(q, [])")} AS corrected,
+       {S.word_match("coalesce(q, [])", S.tokenize("product_title"))} AS match_score
+FROM pairs p LEFT JOIN fixed f ON p.id = f.id""")
+def word_match_corrected(spark, sf):
+    """D3 + T7: search terms with their unknown words corrected, against the title tokens."""
+    p = materialize(fx.pairs(spark, sf), "pairs")
+    terms = p.select("id", "product_title", tokenize("search_term").alias("q"))
+    fixed = spelling.correct_tokens(terms, "id", "q", _fixes(p), "fixed")
+    return fixed.select("id", _joined("fixed").alias("corrected"),
+                        word_match("fixed", tokenize("product_title")).alias("match_score"))
+
+
 @query("levenshtein_min", fx.with_views("pairs") + f"""
 SELECT id,
        {S.min_levenshtein(S.tokenize("search_term"), S.tokenize("product_title"))} AS lev_min,
@@ -343,45 +373,31 @@ def levenshtein_min(spark, sf):
     """Smallest edit distance between any search word and any title
     word, and the inverse-distance score summed over the search words."""
     q, d = tokenize("search_term"), tokenize("product_title")
-    return fx.pairs(spark, sf).select(
-        "id", min_levenshtein(q, d).alias("lev_min"),
-        F.round(inverse_levenshtein(q, d), 6).alias("lev_inv"))
+    scores = fx.pairs(spark, sf).select("id", levenshtein_scores(q, d).alias("s"))
+    return scores.select("id", "s.lev_min", F.round("s.lev_inv", 6).alias("lev_inv"))
 
 
-@query("spell_correct", fx.with_views("pairs") + f""",
-titles AS (SELECT DISTINCT product_uid, product_title FROM pairs),
-vocab AS (SELECT w AS word, count(*) AS freq
-          FROM (SELECT unnest({S.tokenize("product_title")}) AS w FROM titles)
-          WHERE w <> '' GROUP BY w),
-qw AS (SELECT DISTINCT w AS word
-       FROM (SELECT unnest({S.tokenize("search_term")}) AS w FROM pairs)
-       WHERE length(w) >= 3 AND w NOT IN (SELECT word FROM vocab)),
-cand AS (SELECT q.word, v.word AS cand, v.freq, levenshtein(q.word, v.word) AS dist
-         FROM qw q JOIN vocab v ON abs(length(q.word) - length(v.word)) <= 2
-         WHERE levenshtein(q.word, v.word) <= 2),
-best AS (SELECT word, cand, dist,
-                row_number() OVER (PARTITION BY word ORDER BY dist, freq DESC, cand) AS rk
-         FROM cand)
+@query("spell_correct", fx.with_views("pairs") + _SPELL_SQL + """
 SELECT qw.word, b.cand AS correction, CAST(b.dist AS INTEGER) AS distance
 FROM qw LEFT JOIN best b ON b.word = qw.word AND b.rk = 1""")
 def spell_correct(spark, sf):
-    """D3: every distinct search word (3+ letters) missing from the title
-    vocabulary, with its closest vocabulary word within edit distance 2."""
-    p = fx.pairs(spark, sf)
-    titles = p.select("product_uid", tokenize("product_title").alias("t")) \
-        .dropDuplicates(["product_uid"])
-    vocab = spelling.vocabulary(titles, "t")
-    words = p.select(F.explode(tokenize("search_term")).alias("word"))
-    return spelling.corrections(words, vocab, max_distance=2, min_length=3)
+    """D3: every distinct search word missing from the title vocabulary, with
+    its closest vocabulary word within edit distance 2."""
+    return _fixes(fx.pairs(spark, sf))
+
+
+def _fixes(pairs: DataFrame) -> DataFrame:
+    titles = pairs.select("product_uid", "product_title").distinct().select(tokenize("product_title").alias("t"))
+    words = pairs.select(F.explode(tokenize("search_term")).alias("word"))
+    return spelling.corrections(words, spelling.vocabulary(titles, "t"), max_distance=2)
 
 
 @query("stem_tokens")
 def stem_tokens_q(spark, sf):
-    """Porter stems of the stop-word-free tokens of every English
-    document (rows-only: DuckDB has no stemmer without its fts extension;
-    tests compare with the per-word helper)."""
-    docs = (table(spark, sf, "documents").where(F.col("lang") == "en")
-            .select("doc_id", remove_stop_words(tokenize("text")).alias("tokens")))
+    """Porter stems of the stop-word-free tokens of every document
+    (rows-only: DuckDB has no stemmer without its fts extension; tests
+    compare with the per-word helper)."""
+    docs = table(spark, sf, "documents").select("doc_id", remove_stop_words(tokenize("text")).alias("tokens"))
     out = stemming.stem_tokens(docs, "doc_id", "tokens", "stems")
     return out.select("doc_id", F.size("stems").alias("n_tokens"),
                       _joined("stems").alias("stems"))
@@ -444,12 +460,23 @@ def euclid_padded(spark, sf):
 
 # ------------------------------------------------------------- scan and sink
 
-@query("csv_roundtrip", fx.with_views("pairs") + "SELECT * FROM pairs")
+@query("csv_roundtrip", fx.with_views("pairs") + """
+SELECT id, product_uid, concat(product_title, ' Łódź 日本 "q", ', chr(10), 'x') AS product_title, search_term, relevance
+FROM pairs""")
 def csv_roundtrip(spark, sf):
-    """S1 + S4: pairs written as Latin-1 CSV into the shared checkpoint
-    folder and scanned back with the fixed schema; must equal the input."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/pairscore/csv-{uuid.uuid4().hex}"
+    """S1 + S4: pairs, with Polish and Japanese characters, quotes and a line
+    break in each title, written as CSV into the shared checkpoint folder and
+    scanned back with the fixed schema; must equal the input."""
+    path = f"{stage_root(spark)}/csv-{uuid.uuid4().hex}"
+    title = F.concat("product_title", F.lit(' Łódź 日本 "q", \nx'))
+    csv_io.write_csv(fx.pairs(spark, sf).withColumn("product_title", title), path)
+    return csv_io.read_csv(spark, path, csv_io.PAIRS_SCHEMA, multi_line=True)
+
+
+@query("csv_roundtrip_split", fx.with_views("pairs") + "SELECT * FROM pairs")
+def csv_roundtrip_split(spark, sf):
+    """S1 + S4 for a table without line breaks, whose files are read in splits."""
+    path = f"{stage_root(spark)}/csv-{uuid.uuid4().hex}"
     csv_io.write_csv(fx.pairs(spark, sf), path)
     return csv_io.read_csv(spark, path, csv_io.PAIRS_SCHEMA)
 
@@ -471,17 +498,16 @@ SELECT count(*) AS n_pairs, round(sqrt(avg(pow(t.relevance - m.prediction, 2))),
 FROM t LEFT JOIN m ON t.len IS NOT DISTINCT FROM m.len""")
 def rmse_eval(spark, sf):
     """A5/M7/P10: RMSE of a baseline predictor (mean relevance of pairs with
-    the same search-term length). The per-length means are a tiny aggregate;
-    AQE sees its runtime size and broadcasts it into the join."""
-    t = fx.pairs(spark, sf).select("id", "relevance", term_length("search_term").alias("len"))
-    m = t.groupBy("len").agg(F.avg("relevance").alias("prediction"))
-    j = t.join(m, t["len"].eqNullSafe(m["len"]), "left")
-    return j.agg(F.count(F.lit(1)).alias("n_pairs"),
-                 F.round(EV.rmse_column(), 6).alias("rmse"))
+    the same search-term length). The squared error around a group's mean is
+    n * variance, so one pass of grouped moments states it without a join."""
+    t = fx.pairs(spark, sf).select("relevance", term_length("search_term").alias("len"))
+    m = t.groupBy("len").agg(F.count(F.lit(1)).alias("n"), F.var_pop("relevance").alias("v"))
+    return m.agg(F.sum("n").alias("n_pairs"),
+                 F.round(F.sqrt(F.sum(F.col("n") * F.col("v")) / F.sum("n")), 6).alias("rmse"))
 
 
 # ------------------------------------------------- embeddings, features, models
-# Rows-only: floating-point training results have no SQL oracle.
+# Word2Vec and full forests have no SQL oracle; the vector and model operators are also run on inputs SQL can follow.
 
 def _inputs(spark, sf) -> PL.Inputs:
     """The three inputs of the model queries. The pair view is derived
@@ -497,8 +523,8 @@ def w2v_title(spark, sf):
     """V1/V2: Word2Vec (size 10, minCount 0) over title tokens; mean vector
     per pair."""
     p = fx.pairs(spark, sf).select("id", tokenize("product_title").alias("t"))
-    model = fit_word2vec(p, "t", "v")
-    return transform_as_array(model, p, "t", "title_vector").select("id", "title_vector")
+    words = word_vectors(fit_word2vec(p, "t", "v"))
+    return document_vectors(p, "t", words, 10, "title_vector").select("id", "title_vector")
 
 
 def _features_query(name):
@@ -570,6 +596,156 @@ def features_7_lexical(spark, sf):
                       *[c for c in out.columns if c not in ("id", FE.TOKEN_COLS["attributes"])])
 
 
+def _vector_sql(name: str) -> str:
+    """Set ``name`` with word vectors from ``embeddings``: tokens per pair, mean vector per distinct token list, features."""
+    fs = FE.FEATURE_SETS[name]
+    tok = (lambda e: f"string_split({e}, ' ')") if fs.tokenizer == "split_space" else S.tokenize
+    none = "[]::VARCHAR[]"
+    names = " OR ".join(f"contains(lower(name), '{n}')" for n in fs.attribute_names or ())
+    attrs = ("SELECT product_uid, value AS txt FROM attributes WHERE name = 'MFG Brand Name'" if fs.attribute_source == "brand_rows" else
+             f"SELECT product_uid, string_agg(value, ' ' ORDER BY name, value) AS txt FROM attributes WHERE {names} GROUP BY product_uid")
+    missing = "['empty']" if fs.attribute_source == "brand_rows" else none
+    described = tok("d.product_description")
+    if fs.stop_words_on_description:
+        described = S.remove_stop_words(described)
+    vectors = fs.vector_inputs
+    match = lambda k: f"coalesce({S.word_match('search', k)}, 0)"
+
+    def feature(f):
+        kind, left, right = FE.FEATURE_DEFS[f]
+        if kind == "md":
+            return f"{match(right)} AS {f}"
+        if kind == "len":
+            return f"len AS {f}"
+        pair = f"{left}_v", f"{right}_v"
+        return f"round(coalesce({(S.cosine if kind == 'cos' else S.euclidean)(*pair)}, 0.0), 6) AS {f}"
+    joins = "\n".join(f"LEFT JOIN dv {k}_d ON {k}_d.toks = j.{k}" for k in vectors)
+    zero = "list_transform(range(10), lambda i: 0.0::DOUBLE)"
+    return fx.with_views("pairs", "descriptions", "attributes") + f""",
+attrs AS ({attrs}),
+j AS (SELECT p.id, {tok("p.search_term")} AS search, {tok("p.product_title")} AS title,
+             coalesce({described}, {none}) AS description, coalesce({tok("a.txt")}, {missing}) AS attributes,
+             {S.term_length("p.search_term")} AS len
+      FROM pairs p LEFT JOIN descriptions d ON p.product_uid = d.product_uid LEFT JOIN attrs a ON p.product_uid = a.product_uid),
+texts AS (SELECT DISTINCT toks FROM ({" UNION ALL ".join(f"SELECT {k} AS toks FROM j" for k in vectors)})),
+occ AS (SELECT toks, unnest(toks) AS w FROM texts),
+hashed AS (SELECT w, CAST(concat('0x', substr(md5(w), 1, 8)) AS BIGINT) AS h FROM (SELECT DISTINCT w FROM occ)),
+wv AS (SELECT w, CAST(embedding[1:10] AS DOUBLE[]) AS v FROM hashed JOIN embeddings
+       ON vec_id = h % (SELECT count(*) FROM embeddings) WHERE h % 7 <> 0),
+dims AS (SELECT toks, i, sum(v[i]) / len(toks) AS x FROM occ JOIN wv USING (w), (SELECT unnest(range(1, 11)) AS i) GROUP BY toks, i),
+dv AS (SELECT toks, list(x ORDER BY i) AS v FROM dims GROUP BY toks),
+k AS (SELECT j.*, {", ".join(f"coalesce({k}_d.v, {zero}) AS {k}_v" for k in vectors)} FROM j {joins})
+SELECT id, {", ".join(feature(f) for f in fs.features)} FROM k"""
+
+
+def table_word_vectors(spark, sf, tokens: DataFrame) -> DataFrame:
+    """(word, vector) for the distinct words of ``tokens`` (token arrays): the first 10 components of the embedding
+    that the word's md5 picks; words whose hash divides by 7 have none and count as unknown."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, 10).cast("array<double>").alias("vector"))
+    n = max(1, vectors.count())
+    h = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("long")
+    words = tokens.select(F.explode(tokens.columns[0]).alias("word")).distinct().withColumn("h", h).where("h % 7 <> 0")
+    return words.join(vectors, F.col("h") % n == F.col("vec_id")).select("word", "vector")
+
+
+def _vector_query(name: str):
+    def q(spark, sf):
+        fs = FE.FEATURE_SETS[name]
+        i = _inputs(spark, sf)
+        tt = FE.prepare(fs, i.pairs, i.descriptions, i.attributes)
+        columns = [(tt.pairs if FE.TOKEN_COLS[k] in tt.pairs.columns else tt.products)
+                   .select(F.col(FE.TOKEN_COLS[k]).alias("t")) for k in fs.vector_inputs]
+        tokens = columns[0]
+        for c in columns[1:]:
+            tokens = tokens.unionByName(c)
+        words = materialize(table_word_vectors(spark, sf, tokens), "words")
+        out = FE.FittedFeatures(fs, {k: words for k in fs.vector_inputs}).transform(tt.pairs, products=tt.products)
+        real = [f for f in fs.features if FE.FEATURE_DEFS[f][0] in ("cos", "ed")]
+        return out.select("id", *[F.round(f, 6).alias(f) if f in real else f for f in fs.features])
+    q.__doc__ = f"V2-V7/D6: feature set {name} over document vectors, with word vectors from the embeddings table."
+    return q
+
+
+for _n in ("3", "6", "7", "8"):
+    query(f"features_vec_{_n}", _vector_sql(_n))(_vector_query(_n))
+
+
+_STUMP_VIEW = fx.with_views("pairs") + f""",
+t AS (SELECT id, product_uid, relevance AS y, {S.word_match(S.tokenize("search_term"), S.tokenize("product_title"))} AS md,
+             {S.term_length("search_term")} AS len FROM pairs)"""
+
+
+def _stump_sql(prefix: str, source: str, features) -> str:
+    """CTE ``<prefix>``: best squared-error split of ``source`` over the features (f, v, left and right mean)."""
+    per = " UNION ALL ".join(f"SELECT '{f}' AS f, {f} AS v, count(*) AS n, sum(y) AS s FROM {source} GROUP BY {f}" for f in features)
+    return f"""{prefix}_c AS ({per}),
+{prefix}_r AS (SELECT f, v, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER (PARTITION BY f) AS nn, sum(s) OVER (PARTITION BY f) AS ss
+  FROM {prefix}_c WINDOW w AS (PARTITION BY f ORDER BY v)),
+{prefix} AS (SELECT f, v, s / n AS lo, (ss - s) / (nn - n) AS hi FROM {prefix}_r WHERE n < nn
+  ORDER BY s * s / n + (ss - s) * (ss - s) / (nn - n) DESC LIMIT 1)"""
+
+
+def _stump_value(prefix: str) -> str:
+    return f"CASE WHEN (CASE {prefix}.f WHEN 'md' THEN md ELSE len END) <= {prefix}.v THEN {prefix}.lo ELSE {prefix}.hi END"
+
+
+def _match_table(spark, sf) -> DataFrame:
+    return materialize(fx.pairs(spark, sf).select(
+        "id", "product_uid", "relevance", word_match(tokenize("search_term"), tokenize("product_title")).alias("md"),
+        term_length("search_term").alias("len")), "match")
+
+
+def _stump():
+    """A forest of one tree with one split over all rows and features; as many bins as the features have values."""
+    return M.random_forest(1, 1).setBootstrap(False).setFeatureSubsetStrategy("all").setMaxBins(256)
+
+
+@query("stump_predict", _STUMP_VIEW + f""",
+train AS (SELECT * FROM t WHERE product_uid % 10 < 7),
+{_stump_sql("b", "train", ("md", "len"))}
+SELECT id, round({_stump_value("b")}, 6) AS prediction FROM t, b WHERE product_uid % 10 >= 7""")
+def stump_predict(spark, sf):
+    """M1/M3/M8 with a result SQL can state: a one-split tree through the forest, pipeline and scoring operators."""
+    train, test = M.split_by_key(_match_table(spark, sf))
+    model = M.fit_pipeline(train, ["md", "len"], _stump())
+    return M.score(model, test).select("id", F.round("prediction", 6).alias("prediction"))
+
+
+@query("elastic_net_predict", _STUMP_VIEW + """,
+m AS (SELECT count(*) AS n, avg(md) AS mx, avg(y) AS my, stddev_samp(md) AS sx, stddev_samp(y) AS sy, corr(md, y) AS r
+      FROM t WHERE product_uid % 10 < 7),
+b AS (SELECT *, sign(r) * greatest(abs(r) * (n - 1) / n - 0.1 / sy * 0.8, 0) / ((n - 1) / n + 0.1 / sy * 0.2) * sy / sx AS slope FROM m)
+SELECT id, round(my + slope * (md - mx), 4) AS prediction FROM t, b WHERE product_uid % 10 >= 7""")
+def elastic_net_predict(spark, sf):
+    """M2/M3/M8: elastic net with one feature, whose solution is a soft threshold on standardised data."""
+    train, test = M.split_by_key(_match_table(spark, sf))
+    net = M.linear_regression(500, 0.1, 0.8).setTol(1e-12)
+    return M.score(M.fit_pipeline(train, ["md"], net), test).select("id", F.round("prediction", 4).alias("prediction"))
+
+
+@query("cv_stumps", _STUMP_VIEW + """,
+train AS (SELECT * FROM t WHERE product_uid % 10 < 7), test AS (SELECT * FROM t WHERE product_uid % 10 >= 7),
+f0 AS (SELECT * FROM train WHERE id % 2 = 0), f1 AS (SELECT * FROM train WHERE id % 2 = 1),
+""" + ",\n".join(_stump_sql(f"{f}{k}", source, (f,)) for f in ("md", "len") for k, source in (("a", "f1"), ("b", "f0"), ("c", "train"))) + """,
+cv AS (""" + " UNION ALL ".join(f"""
+  SELECT '{f}' AS features, ((SELECT sqrt(avg(pow(y - ({_stump_value(f + 'a')}), 2))) FROM f0, {f}a)
+                           + (SELECT sqrt(avg(pow(y - ({_stump_value(f + 'b')}), 2))) FROM f1, {f}b)) / 2 AS cv_rmse,
+         (SELECT sqrt(avg(pow(y - ({_stump_value(f + 'c')}), 2))) FROM test, {f}c) AS holdout""" for f in ("md", "len")) + """)
+SELECT features, round(cv_rmse, 6) AS cv_rmse,
+       CASE WHEN cv_rmse = (SELECT min(cv_rmse) FROM cv) THEN round(holdout, 6) END AS holdout_rmse FROM cv""")
+def cv_stumps(spark, sf):
+    """M5-M7: a grid of two feature lists in 2-fold cross-validation, average metrics, and the hold-out RMSE of the best."""
+    train, test = M.split_by_key(_match_table(spark, sf))
+    model = M.cross_validate(train.withColumn("fold", (F.col("id") % 2).cast("int")), depths=(1,), trees=(1,),
+                             feature_lists=(("md",), ("len",)), estimator=_stump(), fold_col="fold")
+    asm = model.getEstimator().getStages()[0]
+    best = min(model.avgMetrics)
+    rmse = EV.rmse(model.transform(test))
+    rows = [(pm[asm.inputCols][0], round(float(m), 6), round(float(rmse), 6) if m == best else None)
+            for pm, m in zip(model.getEstimatorParamMaps(), model.avgMetrics)]
+    return spark.createDataFrame(rows, "features string, cv_rmse double, holdout_rmse double")
+
+
 @query("rf_predict")
 def rf_predict(spark, sf):
     """M1/M3/M8: 7-feature random forest, 20 trees x depth 5, fitted on the

@@ -35,14 +35,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.ml.feature import VectorAssembler, Word2VecModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (cosine, euclidean, remove_stop_words, split_space, term_length,
                          tokenize, word_match, word_match_bag)
 from ..operators import catalog, skew
-from ..operators.embed import W2VParams, fit_word2vec, transform_as_array
+from ..operators.embed import W2VParams, document_vectors, fit_word2vec, word_vectors
 from ..session import materialize
 
 
@@ -55,7 +55,7 @@ def _empty_bag():
     return F.array().cast("array<struct<t:string,n:int>>")
 
 
-# feature column -> (kind, left, right); cos/ed over vectors, md over tokens
+# The names users see. feature column -> (kind, left, right); cos/ed over vectors, md over tokens
 FEATURE_DEFS = {
     "searchAndTitle": ("cos", "search", "title"),
     "searchAndDescription": ("cos", "search", "description"),
@@ -83,6 +83,7 @@ CV_FEATURES_1 = ("searchAndTitleMD", "searchAndAttributesMD", "searchAndDescript
 CV_FEATURES_2 = ("searchAndTitleMD", "searchAndTitleED", "searchAndAttributesED",
                  "searchAndTitle", "searchAndAttributes")
 
+# Token column names.
 TOKEN_COLS = {"search": "search_term_", "title": "product_title_",
               "description": "product_description_", "attributes": "product_attributes_"}
 VECTOR_COLS = {k: f"{k}_vec" for k in TOKEN_COLS}
@@ -99,6 +100,7 @@ class FeatureSet:
     dedupe_brand: bool = False
     missing_token: str | None = None          # None: missing text -> no tokens
     split_hot_products: bool = True           # salt products with a large share of pairs
+    shared_space: bool = False                # one embedding over all columns instead of one per column
     w2v: W2VParams = field(default_factory=W2VParams)
 
     @property
@@ -141,13 +143,24 @@ def _missing_description(fs: FeatureSet):
             else _empty_tokens())
 
 
+def _missing_bag(fs: FeatureSet):
+    if fs.missing_token is None:
+        return _empty_bag()
+    return F.transform(_missing_description(fs), lambda t: F.struct(F.lower(t).alias("t"), F.lit(1).alias("n")))
+
+
+def one_description(descriptions: DataFrame) -> DataFrame:
+    """One row per product: of several descriptions the smallest text counts, for every feature alike."""
+    return descriptions.groupBy("product_uid").agg(F.min("product_description").alias("product_description"))
+
+
 def product_tables(fs: FeatureSet, descriptions: DataFrame, attributes: DataFrame,
                    description_tokens: bool = True):
     """Per-product inputs: description side (tokens when a vector feature
     uses them and ``description_tokens``; the token bag when a word-match
     feature does; None when neither) and (product_uid, attribute tokens) --
     the latter may hold several rows per product for brand rows."""
-    desc = descriptions.select("product_uid",
+    desc = one_description(descriptions).select("product_uid",
                                _description_tokens(fs).alias(TOKEN_COLS["description"]))
     want_tokens = description_tokens and "description" in fs.vector_inputs
     if fs.needs_description_bag:
@@ -200,7 +213,7 @@ def token_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame,
         out = out.withColumn(TOKEN_COLS["description"],
                              F.coalesce(F.col(TOKEN_COLS["description"]), missing_desc))
     if "desc_bag" in out.columns:
-        out = out.withColumn("desc_bag", F.coalesce(F.col("desc_bag"), _empty_bag()))
+        out = out.withColumn("desc_bag", F.coalesce(F.col("desc_bag"), _missing_bag(fs)))
     return out
 
 
@@ -210,7 +223,7 @@ def description_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame)
     the description are computed on this table, once per product, and only
     the vector is joined to the pairs."""
     products = pairs.select("product_uid").distinct()
-    desc = descriptions.select(F.col("product_uid").alias("_uid"),
+    desc = one_description(descriptions).select(F.col("product_uid").alias("_uid"),
                                _description_tokens(fs).alias(TOKEN_COLS["description"]))
     col = TOKEN_COLS["description"]
     return (products.join(desc, products["product_uid"].eqNullSafe(desc["_uid"]), "left")
@@ -240,9 +253,15 @@ def prepare(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame, attribute
 
 
 def _by_product(tokens: DataFrame, per_product: DataFrame, how: str = "left") -> DataFrame:
-    """Attach per-product columns to pair rows (NULL-safe on the key)."""
-    r = per_product.withColumnRenamed("product_uid", "_uid")
-    return tokens.join(r, tokens["product_uid"].eqNullSafe(r["_uid"]), how).drop("_uid")
+    """Attach per-product columns to pair rows (NULL-safe on the key); products with a large share of the pairs
+    are split over salt buckets."""
+    key = F.coalesce(F.col("product_uid").cast("string"), F.lit("null")).alias("_key")
+    r = per_product.select(key, *[c for c in per_product.columns if c != "product_uid"])
+    left = tokens.select(*tokens.columns, key)
+    hot = skew.hot_keys(left, "_key")
+    if hot is not None:
+        left = skew.salt(left, "_key", hot, ["id"] if "id" in tokens.columns else None)
+    return skew.left_join(left, r, "_key", hot, how).drop("_key", skew.SALT)
 
 
 def _feature_column(name: str, has_bag: bool):
@@ -284,9 +303,9 @@ def with_lexical(fs: FeatureSet, tokens: DataFrame) -> DataFrame:
 
 @dataclass
 class FittedFeatures:
-    """Word2Vec models fitted on the training token table, one per column."""
+    """Word vectors (word, vector) fitted on the training token table, by column."""
     feature_set: FeatureSet
-    models: dict[str, Word2VecModel]
+    models: dict[str, DataFrame]
 
     def transform(self, tokens: DataFrame, refit: bool = False,
                   products: DataFrame | None = None) -> DataFrame:
@@ -300,11 +319,11 @@ class FittedFeatures:
         out = tokens
         for k in fs.vector_inputs:
             if TOKEN_COLS[k] in out.columns:
-                out = transform_as_array(models[k], out, TOKEN_COLS[k], VECTOR_COLS[k])
+                out = document_vectors(out, TOKEN_COLS[k], models[k], fs.w2v.vector_size, VECTOR_COLS[k])
             else:
                 if products is None:
                     raise ValueError(f"no {TOKEN_COLS[k]} tokens and no per-product table")
-                vec = transform_as_array(models[k], products, TOKEN_COLS[k], VECTOR_COLS[k])
+                vec = document_vectors(products, TOKEN_COLS[k], models[k], fs.w2v.vector_size, VECTOR_COLS[k])
                 out = _by_product(out, vec.select("product_uid", VECTOR_COLS[k]))
         has_bag = "desc_bag" in out.columns
         # features already computed on the token table (with_lexical) are reused
@@ -315,16 +334,25 @@ class FittedFeatures:
 
 
 def fit_vectors(fs: FeatureSet, tokens: DataFrame,
-                products: DataFrame | None = None) -> dict[str, Word2VecModel]:
-    """One Word2Vec model per vector input, each trained on that column of
-    the pair table (one sentence per pair). A column held per product is
-    expanded to the pairs by a join inside the fit's input, not stored."""
-    models = {}
+                products: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Word vectors per vector input, each trained on that column of the pair
+    table (one sentence per pair), or with ``shared_space`` all trained
+    together, so that the two sides of a cosine share a space. A column held
+    per product is expanded to the pairs by a join inside the fit's input,
+    not stored."""
+    models, together = {}, None
     for k in fs.vector_inputs:
         src = tokens
         if TOKEN_COLS[k] not in tokens.columns:
             src = _by_product(tokens.select("product_uid"), products)
-        models[k] = fit_word2vec(src, TOKEN_COLS[k], VECTOR_COLS[k], fs.w2v)
+        if fs.shared_space:
+            sentences = src.select(F.col(TOKEN_COLS[k]).alias("_sentence"))
+            together = sentences if together is None else together.unionByName(sentences)
+        else:
+            models[k] = word_vectors(fit_word2vec(src, TOKEN_COLS[k], VECTOR_COLS[k], fs.w2v))
+    if together is not None:
+        shared = word_vectors(fit_word2vec(together, "_sentence", "_vector", fs.w2v))
+        models = {k: shared for k in fs.vector_inputs}
     return models
 
 

@@ -41,13 +41,16 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests) make a scratch one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or else the folder set with
+    ``SparkContext.setCheckpointDir``. With neither, a local master gets a scratch folder; on a cluster executors
+    would each write to their own disk, so that is an error."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="pairscore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
     # RDD checkpoints (forest node ids) go to the same folder; set it once,
     # since every setCheckpointDir call creates a new sub-folder
     if not sc.getCheckpointDir():
@@ -60,25 +63,21 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     read it back. This cuts lineage (a lost executor costs a re-read, not a
     recompute of joins, tokenising and embeddings), and unlike an RDD
     checkpoint the re-reads are columnar, so each later pass (one Word2Vec
-    fit per column, every tree level of a forest) reads only its columns."""
+    fit per column, every tree level of a forest) reads only its columns.
+    ``remove_stages`` deletes the tables when their readers are done."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/pairscore/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spread(spark.read.parquet(path))
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core. A small table written by few tasks
-    reads back as one or two partitions, and every later pass over it (tree
-    levels, CV folds) would run in that many tasks; on large inputs the
-    scan already yields more splits than cores and this is a no-op."""
-    n = default_parallelism(df.sparkSession)
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+def stage_root(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pairscore/{spark.sparkContext.applicationId}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return max(1, int(spark.sparkContext.defaultParallelism))
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+def remove_stages(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables, once nothing reads them any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

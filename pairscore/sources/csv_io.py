@@ -1,8 +1,11 @@
 """CSV scan and sink.
 
-The inputs of the relevance problem are Latin-1 CSV files with a header
-row and quoted text that may contain newlines; every field is read with an
-explicit schema (no inference pass over the data).
+The inputs of the relevance problem are CSV files with a header row; every
+field is read with an explicit schema (no inference pass over the data).
+Files are written, and read unless told otherwise, as UTF-8; the published
+input files are Latin-1 (``encoding="ISO-8859-1"``). A table whose quoted
+text may hold line breaks needs ``multi_line=True``, which makes each file
+one task; without it a file is split like any other.
 """
 
 from __future__ import annotations
@@ -33,26 +36,27 @@ PREDICTIONS_SCHEMA = T.StructType([
     T.StructField("prediction", T.DoubleType()),
 ])
 
-CSV_OPTIONS = {"header": "true", "encoding": "ISO-8859-1", "multiLine": "true",
-               "escape": '"', "quote": '"'}
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "escape": '"', "quote": '"'}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             limit: int | None = None, order_by: str | None = None) -> DataFrame:
+             limit: int | None = None, order_by: str | None = None,
+             encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """Scan with a fixed schema. ``limit`` keeps the first rows (by
     ``order_by`` when given, which makes it deterministic)."""
-    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    options = CSV_OPTIONS | {"encoding": encoding, "multiLine": str(multi_line).lower()}
+    df = spark.read.options(**options).schema(schema).csv(path)
     if limit is not None:
         df = (df.orderBy(order_by) if order_by else df).limit(limit)
     return df
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False,
-              mode: str = "overwrite") -> None:
+              mode: str = "overwrite", encoding: str = "UTF-8") -> None:
     """Distributed CSV write (one file per task); ``single_file`` funnels
     the output through one task and is meant for small result sets only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS | {"encoding": encoding}).csv(path)
 
 
 def write_predictions(predictions: DataFrame, path: str, single_file: bool = False) -> None:

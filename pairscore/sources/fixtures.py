@@ -77,24 +77,27 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs over real-length multilingual text: titles are the first 60
-    characters of a document, search terms the first 20 of a benchmark item."""
+def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, product_uid, search_term, relevance): each labelled document with the whole text of a benchmark item;
+    the items are dealt out evenly (doc_id modulo their number, items in order of their ids)."""
     labels = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("b_text"))
-    return (labels.join(docs, "doc_id")
-                  .join(bench, F.col("item_id") == F.col("doc_id") % 40)
-                  .select(F.col("doc_id").alias("id"),
-                          F.col("doc_id").alias("product_uid"),
-                          F.substring("text", 1, 60).alias("product_title"),
-                          F.substring("b_text", 1, 20).alias("search_term"),
-                          F.col("text").alias("product_description"),
-                          F.col("source").alias("product_attributes"),
+    bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("search_term"))
+    n = max(1, bench.count())
+    return (labels.join(bench, F.col("item_id") == F.col("doc_id") % n)
+                  .select(F.col("doc_id").alias("id"), F.col("doc_id").alias("product_uid"), "search_term",
                           (F.lit(1) + F.col("quality") + (F.lit(1) - F.col("toxic")))
                           .cast("double").alias("relevance")))
 
 
+def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs over real-length multilingual text: the title and the description are a whole document, the search term
+    a whole benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return (doc_terms(spark, sf_dir).join(docs, F.col("product_uid") == F.col("doc_id"))
+            .select("id", "product_uid", F.col("text").alias("product_title"), "search_term",
+                    F.col("text").alias("product_description"), F.col("source").alias("product_attributes"), "relevance"))
+
+
 # SQL text of the same views, for the DuckDB oracle (leading CTEs).
 SQL = {
     "pairs": """
@@ -136,13 +139,13 @@ attributes AS (
     "doc_pairs": """
 doc_pairs AS (
   SELECT l.doc_id AS id, d.doc_id AS product_uid,
-         substr(d.text, 1, 60) AS product_title,
-         substr(b.text, 1, 20) AS search_term,
+         d.text AS product_title,
+         b.text AS search_term,
          d.text AS product_description, d.source AS product_attributes,
          CAST(1 + l.quality + (1 - l.toxic) AS DOUBLE) AS relevance
   FROM labels l
   JOIN documents d ON d.doc_id = l.doc_id
-  JOIN benchmark b ON b.item_id = l.doc_id % 40
+  JOIN benchmark b ON b.item_id = l.doc_id % (SELECT count(*) FROM benchmark)
 )""",
 }
 

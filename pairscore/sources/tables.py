@@ -19,11 +19,3 @@ TABLES = (
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def register_all(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every provided table as a temp view (for ad-hoc SQL)."""
-    for name in TABLES:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            table(spark, sf_dir, name).createOrReplaceTempView(name)
