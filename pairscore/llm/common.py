@@ -39,6 +39,29 @@ def semi_join(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids, key, "left_semi")
 
 
+def hash_share(key: str, share: float) -> Column:
+    """Whether the hash of ``key`` lies in the lowest ``share`` of all hashes."""
+    if share >= 1:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(key), 11) < F.lit(int(share * (1 << 53)))
+
+
+def smallest_hashes(df: DataFrame, key: str, n: int, ahead: int, find=lambda df: df) -> DataFrame:
+    """The ``n`` rows of ``find(df)`` whose ``key`` hashes smallest (ties by key), or all, if there are fewer.
+
+    A bounded sample that does not depend on the partitions. Only the share of ``df`` that is expected to hold
+    ``ahead`` times ``n`` rows is looked at, then eight times as much, until it gives n; so what the last sort sees
+    does not grow with the input."""
+    share = min(1.0, ahead * n / max(1, df.count()))
+    while True:
+        found = store(find(df.where(hash_share(key, share))), "sample")
+        if share >= 1 or found.count() >= n:
+            break
+        share *= 8
+    order = F.shiftrightunsigned(F.xxhash64(key), 11)
+    return found.orderBy(order, *found.columns).limit(n)
+
+
 # ---------------------------------------------------------------- word hashing
 
 _SEPARATOR = np.zeros(256, bool)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, by_bytes, store, text_bytes
+from .common import BROADCAST_IDS, by_bytes, smallest_hashes, store, text_bytes
 
 GRAM_BITS = 15
 #: Rows the text model is fitted on (those with the smallest hash of their key), and most languages it knows.
@@ -55,8 +55,8 @@ def grams(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def fit_text_model(rows: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE_ROWS) -> TextModel:
     """From the ``sample`` rows with a label whose key hashes smallest; counts are summed in Spark."""
-    chosen = (rows.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"))
-              .distinct().orderBy(F.xxhash64("k"), "k").limit(sample))
+    chosen = smallest_hashes(rows.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k")),
+                             "k", sample, 2, lambda df: df.distinct())
     picked = rows.join(F.broadcast(chosen), F.col(key) == F.col("k"), "left_semi").select(
         F.col(text).alias("text"), F.col(label).alias("label")).where("label is not null")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, text_bytes
+from .common import by_bytes, smallest_hashes, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # 0: none; 1 + 2k: first character of kind k; 2 + 2k: inside it
@@ -292,8 +292,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, **options) -> Tagger | None:
                     spans = sorted(spans, key=lambda s: s[1])[:WINDOWS_EACH]
                     lo, hi = max(0, spans[0][1] - WINDOW), spans[0][1] + 8 * WINDOW
                     yield pa.RecordBatch.from_pydict({"doc_id": [doc], "text": [text[lo:hi]]})
-    found = docs.select("doc_id", "text").mapInArrow(work, "doc_id long, text string")
-    rows = found.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(sample).collect()
+    found = lambda df: df.mapInArrow(work, "doc_id long, text string")
+    rows = smallest_hashes(docs.select("doc_id", "text"), "doc_id", sample, 30, found).collect()
     x, y = training_windows([(r["text"], base_spans(r["text"])) for r in rows])
     return train(x, y, **options) if len(x) else None
 

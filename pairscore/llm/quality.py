@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, by_bytes, hash_ranges, mix, split_words, store, text_bytes
+from .common import BROADCAST_IDS, by_bytes, hash_ranges, mix, smallest_hashes, split_words, store, text_bytes
 
 #: Labelled rows the document model is fitted on (smallest hash of their key), and most features it selects.
 SAMPLE_ROWS, MOST_FEATURES = 6000, 3000
@@ -79,8 +79,8 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
     """The document model from ``sample`` labelled rows; null where no row has a label. Feature selection keeps those
     in at least 0.5 % of the sample, the most frequent first."""
     usable = labels.select("doc_id", *targets).where(" and ".join(f"{t} is not null" for t in targets) + " and doc_id is not null")
-    chosen = (usable.groupBy("doc_id").agg(*[F.max(t).alias(t) for t in targets])
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    chosen = smallest_hashes(usable, "doc_id", sample, 2,
+                             lambda df: df.groupBy("doc_id").agg(*[F.max(t).alias(t) for t in targets]))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def work(batches):
