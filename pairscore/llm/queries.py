@@ -14,7 +14,7 @@ from . import decontaminate, language, minhash, mixing, neighbours, pii, quality
 
 
 def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).drop("path", "offset")
 
 
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +104,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM n WHERE rank
 """
 
 ORACLES: dict[str, str] = {
+    "op1_warc_salvage": _OP1,
     "op3_poisson_mix": "WITH docs_in AS (SELECT * FROM documents)," + mixing.SQL,
     "op4_block_matrix": _OP4,
     "op7_url_lists": urlfilter.SQL,
