@@ -50,7 +50,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="pairscore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     # RDD checkpoints (forest node ids) go to the same folder; set it once,
     # since every setCheckpointDir call creates a new sub-folder
     if not sc.getCheckpointDir():
