@@ -100,7 +100,7 @@ def text_scores(rows: DataFrame, model: TextModel, text: str, keep: list[str]) -
     return rows.select(*keep, text).mapInArrow(work, schema)
 
 
-def _logs(counts: Column, prior: Column, strength: float) -> Column:
+def _shrunk(counts: Column, prior: Column, strength: float) -> Column:
     """Shares of ``counts`` shrunk towards ``prior``, both arrays over the languages."""
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
     return F.zip_with(counts, prior, lambda n, p: (n + strength * p) / (total + strength))
@@ -138,16 +138,17 @@ def identify(rows: DataFrame, key: str = "doc_id", text: str = "text", declared:
                    .withColumn("guess", F.when(F.col("letters") > 0, F.array_position("ll", F.array_max("ll")))), "language-scores")
     size = len(names)
     tally = F.array(*[F.count_if(F.col("guess") == i + 1).cast("double") for i in range(size)])
-    even = F.array_repeat(F.lit(1.0 / size), size)
-    total = scored.agg(tally.alias("n")).select(_logs(F.col("n"), even, float(size)).alias("all"))
-    # one row of global shares joins every group
-    suffixes = (scored.groupBy("suffix").agg(tally.alias("n")).join(F.broadcast(total))
-                .select("suffix", _logs(F.col("n"), F.col("all"), PSEUDO).alias("of_suffix"), F.col("n").alias("s_n"), "all"))
+    # one number a language
+    sums = scored.agg(tally).first()[0]
+    overall = F.array(*[F.lit((n + 1) / (sum(sums) + size)) for n in sums])
+    suffixes = (scored.groupBy("suffix").agg(tally.alias("n"))
+                .select("suffix", _shrunk(F.col("n"), overall, PSEUDO).alias("of_suffix")))
     hosts = _small_join(scored.groupBy("host", "suffix").agg(tally.alias("n")), suffixes, "suffix").select(
-        "host", "suffix", _logs(F.col("n"), F.col("of_suffix"), PSEUDO).alias("prior"))
+        "host", "suffix", _shrunk(F.col("n"), F.col("of_suffix"), PSEUDO).alias("prior"))
     # likelihood of a value given the language: its joint count over the language's count
-    said = (scored.groupBy("declared").agg(tally.alias("n")).join(F.broadcast(scored.agg(tally.alias("sums"))))
-            .select("declared", F.zip_with("n", "sums", lambda n, s: (n + 0.5) / (s + 5.0)).alias("of_declared")))
+    said = (scored.groupBy("declared").agg(tally.alias("n"))
+            .select("declared", F.zip_with("n", F.array(*[F.lit(n) for n in sums]), lambda n, s: (n + 0.5) / (s + 5.0))
+                    .alias("of_declared")))
     joined = _small_join(scored.where("letters > 0"), said, "declared")
     if hosts.count() <= BROADCAST_IDS // 50:
         hosts = F.broadcast(hosts)

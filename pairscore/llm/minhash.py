@@ -16,6 +16,10 @@ then only those members that are still outside the hub's component are tested ag
 So a group of thousands of near copies costs about one test a member, and no link between different components is left
 untested. A test first compares the size ratio and the collision-corrected estimate from the registers (cut six
 standard errors below the threshold), then counts the intersection of the full sets.
+
+In the second round, groups of more than 128 members are not paired row by row. The members outside a hub's component
+and all members of its large groups are dealt over blocks of bounded size, and each pair of blocks counts the
+intersections of its full sets by products of 0/1 matrices, returning only enough links to connect what is linked.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ REGISTERS, BAND, MANTISSA_BITS = 448, 7, 10
 LARGE = 512
 #: Sets below this size have too few independent registers for the estimate to rule a pair out.
 ESTIMATED = 16
+#: Band groups beyond this size are tested in blocks: of so many members outside the hub's component, and of all.
+LARGE_GROUP, OUTSIDE_BLOCK, ALL_BLOCK = 128, 256, 1024
 #: Collisions of registers by chance: this factor * registers / 2^(mantissa bits) * 4nm / (n + m)^2.
 COLLISION = 0.169919487159739
 
@@ -199,6 +205,72 @@ def _tested(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, wi
     return store(_confirm(pairs, full, percent), "minhash-links")
 
 
+def _intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products of 0/1 matrices over ``width`` shingles at a time."""
+    names, place = np.unique(np.concatenate(left + right), return_inverse=True)
+    sizes = [len(x) for x in left + right]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, len(names), width):
+        a, b = np.searchsorted(place, (lo, lo + width))
+        cells = np.zeros((len(sizes), min(width, len(names) - lo)), np.float32)
+        cells[row[a:b], place[a:b] - lo] = 1
+        out += cells[: len(left)] @ cells[len(left):].T
+    return out
+
+
+def _block_links(named: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) of the members of large groups that are outside their hub's component (doc_id, component, main):
+    all of them that connect different components, up to connectedness."""
+    roles = named.select(F.col("main").alias("cluster"), "doc_id", (F.col("component") != F.col("main")).alias("out")).distinct()
+    counts = roles.groupBy("cluster").agg(F.count_if("out").alias("n_out"), F.count("*").alias("n")).where("n_out > 0")
+    blocks = lambda n, size: F.ceil(F.col(n) / size).cast("int")
+    roles = store(roles.join(counts, "cluster").withColumns({
+        "outs": blocks("n_out", OUTSIDE_BLOCK), "alls": blocks("n", ALL_BLOCK)}), "minhash-clusters")
+    full = store(set_table(semi_join(docs.select("doc_id", "text"), roles.select("doc_id").distinct(), "doc_id"), width),
+                 "minhash-cluster-sets")
+    rows = roles.join(full, "doc_id")
+    deal = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["cluster", "i", "j", "doc_id", "out", "shingles"]
+    left = rows.where("out").withColumn("i", deal("outs")).withColumn("j", spread("alls")).select(columns)
+    # other names than on the left: cogroup tells the columns of both sides apart by name
+    right = (rows.withColumn("j", deal("alls")).withColumn("i", spread("outs"))
+             .select(*[F.col(c).alias(f"r_{c}") for c in columns]))
+
+    def link(some: pa.Table, every: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if some.num_rows and every.num_rows:
+            ids, others = some.column("doc_id").to_pylist(), every.column("r_doc_id").to_pylist()
+            outside = np.array(every.column("r_out").to_pylist(), bool)
+            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in t.column(c)]
+                    for t, c in ((some, "shingles"), (every, "r_shingles"))]
+            common = _intersections(*sets)
+            n, m = (np.array([len(x) for x in side], np.float64) for side in sets)
+            linked = 100 * common >= percent * (n[:, None] + m - common)
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+            for x, row in zip(ids, linked):
+                inside = np.flatnonzero(row & ~outside)
+                if len(inside):
+                    found.append((x, others[inside[0]]))  # the others inside are in its component
+                for y in np.flatnonzero(row & outside).tolist():
+                    a, b = top(x), top(others[y])
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        found.append((x, others[y]))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+    keys = ["cluster", "i", "j"]
+    return store(left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInArrow(link, "a long, b long"),
+                 "minhash-block-links")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): near-duplicate components of ``docs`` (doc_id, text).
 
@@ -220,30 +292,37 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     some = every.where("n_shingles > 0")
     copies = store(some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "minhash-copies")
     sets = some.select("doc_id", "n_shingles", "sketch", "below")
+    alike = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    pair = lambda x, y: [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
     # dealt by band once: the groups' sizes and the join with them need no further exchange
-    bands = (some.select("doc_id", "bands").join(copies.select("doc_id"), "doc_id", "left_semi")
-             .select(F.explode("bands").alias("band"), "doc_id").repartition("band"))
+    bands = (some.select("doc_id", F.col("n_shingles").cast("int").alias("n"), "bands")
+             .join(copies.select("doc_id"), "doc_id", "left_semi")
+             .select(F.explode("bands").alias("band"), "doc_id", "n").repartition("band"))
     groups = bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
-    members = store(bands.join(groups, "band").select("band", "doc_id", "c"), "minhash-members")
-    typical = members.groupBy("doc_id").agg(F.sum("c").alias("c"))
-    hubs = (members.select("band", "doc_id").join(typical, "doc_id").groupBy("band")
-            .agg(F.max_by("doc_id", F.struct("c", -F.col("doc_id"))).alias("hub")))
-    members = store(members.select("band", "doc_id").join(hubs, "band"), "minhash-hubs")
-    first = (members.where("doc_id <> hub").select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
-             .distinct())
+    members = store(bands.join(groups, "band").select("band", "doc_id", "n", "c"), "minhash-members")
+    typical = members.groupBy("doc_id").agg(F.sum("c").alias("total"))
+    hubs = (members.select("band", "doc_id", "n").join(typical, "doc_id").groupBy("band")
+            .agg(F.max(F.struct("total", (-F.col("doc_id")).alias("minus"), "n")).alias("top"))
+            .select("band", (-F.col("top.minus")).alias("hub"), F.col("top.n").alias("m")))
+    members = store(members.join(hubs, "band"), "minhash-hubs")
+    first = members.where((F.col("doc_id") != F.col("hub")) & alike("n", "m")).select(*pair("doc_id", "hub")).distinct()
     links = _tested(first, sets, docs, percent, width)
 
     labels = store(components(links), "minhash-labels")
     named = (members.join(labels.toDF("doc_id", "component"), "doc_id", "left")
              .join(labels.toDF("hub", "main"), "hub", "left")
-             .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("main", "hub").alias("main")))
+             .select("band", "c", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"),
+                     F.coalesce("main", "hub").alias("main")))
     named = store(named, "minhash-named")
-    outside = named.where("component <> main").select("band", F.col("doc_id").alias("a"), F.col("component").alias("one"))
-    other = named.select("band", F.col("doc_id").alias("b"), F.col("component").alias("two"), "main")
-    second = (outside.join(other, "band").where("one <> two and (two = main or a > b)")
-              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
+    few = named.where(F.col("c") <= LARGE_GROUP)
+    outside = few.where("component <> main").select("band", F.col("doc_id").alias("x"), "n", F.col("component").alias("one"))
+    other = few.select("band", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("component").alias("two"), "main")
+    second = (outside.join(other, "band").where("one <> two and (two = main or x > y)").where(alike("n", "m"))
+              .select(*pair("x", "y")).distinct().join(first, ["a", "b"], "left_anti"))
     links = links.union(_tested(second, sets, docs, percent, width))
+    large = named.where(F.col("c") > LARGE_GROUP)
+    if not large.isEmpty():
+        links = links.union(_block_links(large, docs, percent, width))
 
     found = store(components(links), "minhash-components")
     of_copy = copies.join(found, copies["doc_id"] == found["node"], "left").select(

@@ -42,11 +42,10 @@ def source_rates(docs: DataFrame, weights: DataFrame | None, total: int | None,
         w = weights.select(F.col("source").alias("_ws"), F.greatest(F.col("weight").cast("double"), F.lit(0.0)).alias("_w"))
         counts = (counts.join(w.groupBy("_ws").agg(F.sum("_w").alias("_w")), F.col("_s").eqNullSafe(F.col("_ws")), "left")
                   .select("_s", "_n", F.coalesce("_w", F.lit(0.0)).alias("_w")))
-    sums = counts.agg(F.sum("_w").alias("_sum"), F.sum("_n").alias("_all"))
-    goal = F.col("_all") if total is None else F.lit(total)
-    rate = F.when(F.col("_sum") > 0, goal * F.col("_w") / F.col("_sum") / F.col("_n")).otherwise(F.lit(0.0))
-    # one row of sums joins every source
-    return (counts.join(F.broadcast(sums)).withColumn("_rate", rate)
+    sums = counts.agg(F.sum("_w").alias("w"), F.sum("_n").alias("n")).first()
+    goal = (sums["n"] or 0) if total is None else total
+    rate = F.lit(float(goal)) * F.col("_w") / F.lit(float(sums["w"])) / F.col("_n") if sums["w"] else F.lit(0.0)
+    return (counts.withColumn("_rate", rate)
             .withColumn("_parts", F.greatest(F.lit(1), F.ceil(F.col("_rate") / RATE_PART).cast("int")))
             .withColumn("_cdf", poisson_cdf(F.col("_rate") / F.col("_parts"))).select("_s", "_rate", "_parts", "_cdf"))
 

@@ -70,11 +70,10 @@ def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id") -> Data
     # Each distinct (host, path) is matched once a day, so repeated captures do not multiply the join.
     rows = rows.withColumn("host", host).withColumn("path", F.when(F.col("host").isNotNull(), url_path(F.col("url"))))
     valid = intervals(entries)
-    bounds = rows.agg(F.min("fetched").alias("_lo"), F.max("fetched").alias("_hi"))
-    months = F.sequence(F.trunc(F.greatest("valid_from", "_lo"), "month"), F.trunc(F.least("valid_until", "_hi"), "month"),
+    lo, hi = (F.lit(d).cast("date") for d in rows.agg(F.min("fetched"), F.max("fetched")).first())
+    months = F.sequence(F.trunc(F.greatest("valid_from", lo), "month"), F.trunc(F.least("valid_until", hi), "month"),
                         F.expr("interval 1 month"))
-    # one row of bounds joins every interval
-    dated = (valid.join(F.broadcast(bounds)).where("valid_from <= _hi and valid_until > _lo")
+    dated = (valid.where((F.col("valid_from") <= hi) & (F.col("valid_until") > lo))
              .withColumn("month", F.explode(months)).select("list_name", "pattern", "valid_from", "valid_until", "month"))
     asked = rows.where("host is not null and fetched is not null").select("host", "path", "fetched").distinct()
     probes = (asked.withColumn("pattern", F.explode(patterns(F.col("host"), F.col("path"))))
