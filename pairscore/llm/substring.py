@@ -139,7 +139,9 @@ def repeated_spans(docs: DataFrame, window: int = 50, k: int = 20) -> DataFrame:
     every = store(edge_table(docs, window, k), "substring-kmers")
     shared = (every.groupBy("kmer").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
               .where("lo < hi").select("kmer"))
-    occurrences = store(every.join(shared, "kmer", "left_semi"), "substring-shared")
+    # stored, so that the join is broadcast when the k-mers are few, and else has two plain exchanges, which Spark can
+    # split at a k-mer that is a large part of all
+    occurrences = store(semi_join(every, store(shared, "substring-repeated"), "kmer"), "substring-shared")
     edges, found = paths(occurrences)
 
     spans = (occurrences.select("kmer", "edge", "doc_id", "start")
