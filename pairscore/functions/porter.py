@@ -1,12 +1,15 @@
 """Porter's suffix-stripping stemmer (M. F. Porter, "An algorithm for suffix
-stripping", Program 14(3), 1980), for one lowercase word.
+stripping", Program 14(3), 1980), for lowercase words.
 
-This is the per-word helper of ``operators.stemming``; Spark applies it once
-per distinct vocabulary word, never per token occurrence.
+``stem_column`` is the Spark form, built-in expressions only; ``stem`` is the
+same for one Python string, which the tests compare it with.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 _VOWELS = frozenset("aeiou")
 
 
@@ -141,3 +144,106 @@ def stem(word: str | None) -> str | None:
     w = _replace(w, STEP3)
     w = _step4(w)
     return _step5(w)
+
+
+# ------------------------------------------------------------- Spark expressions
+# A word is carried as (w, f): its letters and its form, a string of c (consonant) and v (vowel) of equal length.
+# Whether y is a vowel depends on the letters before it only, so cutting a word cuts its form.
+
+def _form(w):
+    letter = lambda acc, ch: F.concat(acc, F.when(
+        ch.isin(*sorted(_VOWELS)) | ((ch == "y") & F.endswith(acc, F.lit("c"))), "v").otherwise("c"))
+    return F.aggregate(F.split(w, ""), F.lit(""), letter)
+
+
+def _count(f):
+    """m of a stem from its form."""
+    return F.regexp_count(f, F.lit("vc"))
+
+
+def _letters(add: str) -> str:
+    """Form of letters that a rule adds; none of them is y."""
+    return "".join("v" if c in _VOWELS else "c" for c in add)
+
+
+class _Word:
+    """The columns w and f of a vocabulary table, and the (w, f) that come of cutting and adding letters."""
+
+    @property
+    def w(self):
+        return F.col("w")
+
+    @property
+    def f(self):
+        return F.col("f")
+
+    def head(self, n):
+        """Form without the last n letters."""
+        return F.left(self.f, F.length(self.f) - n)
+
+    def cut(self, n, add=""):
+        return F.struct(F.concat(F.left(self.w, F.length(self.w) - n), F.lit(add)).alias("w"),
+                        F.concat(self.head(n), F.lit(_letters(add))).alias("f"))
+
+    def same(self):
+        return self.cut(0)
+
+    def ends(self, *suffixes):
+        out = F.lit(False)
+        for s in suffixes:
+            out = out | F.endswith(self.w, F.lit(s))
+        return out
+
+    def longest(self, rules):
+        """(w, f, hit): the rule with the longest suffix of the word; hit is null where none fits. The rules are one
+        literal array, which keeps the generated code small."""
+        table = F.array(*[F.struct(F.lit(a).alias("suffix"), F.lit(b).alias("other"), F.lit(_letters(b)).alias("form"))
+                          for a, b in sorted(rules, key=lambda r: -len(r[0]))])
+        hit = F.get(F.filter(table, lambda r: F.endswith(F.col("w"), r["suffix"])), F.lit(0))
+        return F.struct(self.w.alias("w"), self.f.alias("f"), hit.alias("hit"))
+
+    def doubled(self):
+        return (F.length(self.w) >= 2) & self.ends_form("c") & (F.right(self.w, F.lit(1)) == F.left(F.right(self.w, F.lit(2)), F.lit(1)))
+
+    def ends_form(self, s):
+        return F.endswith(self.f, F.lit(s))
+
+
+def _steps():
+    """The steps in order; each gives the next (w, f)."""
+    x = _Word()
+    yield (F.when(x.ends("sses", "ies"), x.cut(2)).when(x.ends("ss"), x.same()).when(x.ends("s"), x.cut(1))
+           .otherwise(x.same()))
+    stripped = [x.ends(s) & F.contains(x.head(len(s)), F.lit("v")) for s in ("ed", "ing")]
+    mark = lambda to, on: to.withField("cut", F.lit(on))
+    yield (F.when(x.ends("eed"), F.when(_count(x.head(3)) > 0, mark(x.cut(1), False)).otherwise(mark(x.same(), False)))
+           .when(stripped[0], mark(x.cut(2), True)).when(stripped[1], mark(x.cut(3), True)).otherwise(mark(x.same(), False)))
+    short = x.ends_form("cvc") & ~x.ends("w", "x", "y")
+    yield (F.when(~F.col("cut"), x.same()).when(x.ends("at", "bl", "iz"), x.cut(0, "e"))
+           .when(x.doubled() & ~x.ends("l", "s", "z"), x.cut(1)).when((_count(x.f) == 1) & short, x.cut(0, "e"))
+           .otherwise(x.same()))
+    yield F.when(x.ends("y") & F.contains(x.head(1), F.lit("v")), x.cut(1, "i")).otherwise(x.same())
+    for rules, least in ((STEP2, 0), (STEP3, 0), ([(r, "") for r in STEP4], 1)):
+        yield x.longest(rules)
+        head = x.head(F.length("hit.suffix"))
+        good = (_count(head) > least) & ((F.col("hit.suffix") != "ion") | x.ends("sion", "tion"))
+        yield F.when(good, F.struct(
+            F.concat(F.left(x.w, F.length(head)), "hit.other").alias("w"), F.concat(head, "hit.form").alias("f"))).otherwise(x.same())
+    before = F.left(x.w, F.length(x.w) - 1)
+    open_ = F.endswith(x.head(1), F.lit("cvc")) & ~F.right(before, F.lit(1)).isin("w", "x", "y")
+    m = _count(x.head(1))
+    yield F.when(x.ends("e") & ((m > 1) | ((m == 1) & ~open_)), x.cut(1)).otherwise(x.same())
+    yield F.when((_count(x.f) > 1) & x.doubled() & x.ends("l"), x.cut(1)).otherwise(x.same())
+
+
+def stem_words(words: DataFrame, col: str, out_col: str) -> DataFrame:
+    """``words`` with the stem of ``col``; words of one or two letters and words with characters outside a-z stay as
+    they are, NULL stays NULL. One projection a step, so no expression is evaluated twice."""
+    keep = words.columns
+    plain = F.regexp_like(F.col(col), F.lit("^[a-z]{3,}$"))
+    out = words.withColumn("w", F.when(plain, F.col(col))).withColumn("f", _form(F.col("w")))
+    for step in _steps():
+        names = [*keep, "_s"]
+        out = out.withColumn("_s", step).select(*names)
+        out = out.select(*keep, "_s.*")
+    return out.select(*keep, F.when(plain, F.col("w")).otherwise(F.col(col)).alias(out_col))

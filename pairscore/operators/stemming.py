@@ -1,44 +1,26 @@
 """Stemming of token arrays as a Spark job.
 
-Python runs once per distinct word, not once per token occurrence: the
-tokens are exploded with their positions, the distinct vocabulary is stemmed
-by an Arrow-batched pandas UDF, the stems are joined on the word and each
-array is re-collected in position order. The join is keyed by word; very
-frequent words are split over salt buckets. Each array is rebuilt from its
-own tokens only.
+The tokens are exploded with their positions, the distinct vocabulary is
+stemmed once per word by built-in expressions (``functions.porter``), the
+stems are joined on the word and each array is re-collected in position
+order. The join is keyed by word; very frequent words are split over salt
+buckets. Each array is rebuilt from its own tokens only.
 """
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
-from ..functions import porter
-from ..functions.porter import stem
+from ..functions.porter import stem_words
 from ..session import materialize
 from . import skew
 
-# Ship the stemmer with the task (pickled by value): executors need no copy
-# of this package on their Python path.
-cloudpickle.register_pickle_by_value(porter)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@pandas_udf(StringType())  # a type object: a DDL string needs a live session at import
-def porter_stem(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
 
 def stem_vocabulary(words: DataFrame, col: str = "word") -> DataFrame:
     """(word, stem) for the distinct values of ``col``."""
     vocab = words.select(F.col(col).alias("word")).where(F.col("word").isNotNull()).distinct()
-    return vocab.select("word", porter_stem("word").alias("stem"))
+    return stem_words(vocab, "word", "stem")
 
 
 def stem_tokens(df: DataFrame, key: str, tokens: str, out_col: str) -> DataFrame:
@@ -47,8 +29,8 @@ def stem_tokens(df: DataFrame, key: str, tokens: str, out_col: str) -> DataFrame
     ``key`` must identify rows.
 
     The vocabulary (word, stem, occurrences) is built once and written to the
-    shared checkpoint folder, so the Python stemmer runs once per word even
-    if a task is retried downstream. Its counts also name the hot words
+    shared checkpoint folder, so the stemmer runs once per word even if a task
+    is retried downstream. Its counts also name the hot words
     (more than half a partition's share of all tokens), which the token ->
     stem join splits over salt buckets (``operators.skew``). ``posexplode_outer``
     keeps rows with empty or NULL arrays, so the regroup by ``key`` is complete
@@ -56,9 +38,9 @@ def stem_tokens(df: DataFrame, key: str, tokens: str, out_col: str) -> DataFrame
     ex = df.select(key, F.col(tokens).isNull().alias("_null"),
                    F.posexplode_outer(tokens).alias("pos", "word"))
     vocab = materialize(
-        ex.where(F.col("word").isNotNull()).groupBy("word")
-          .agg(F.count(F.lit(1)).alias("n"))
-          .select("word", porter_stem("word").alias("stem"), "n"),
+        stem_words(ex.where(F.col("word").isNotNull()).groupBy("word")
+                     .agg(F.count(F.lit(1)).alias("n")), "word", "stem")
+        .select("word", "stem", "n"),
         "stems")
     hot = skew.hot_from_counts(vocab, "word", "n")
     stems = vocab.select("word", "stem")

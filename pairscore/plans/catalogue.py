@@ -392,11 +392,16 @@ def _fixes(pairs: DataFrame) -> DataFrame:
     return spelling.corrections(words, spelling.vocabulary(titles, "t"), max_distance=2)
 
 
-@query("stem_tokens")
+@query("stem_tokens", f"""
+WITH toks AS (SELECT doc_id, {S.remove_stop_words(S.tokenize("text"))} AS t FROM documents),
+occ AS (SELECT doc_id, unnest(t) AS word, generate_subscripts(t, 1) AS pos FROM toks),
+vocabulary AS (SELECT DISTINCT word FROM occ),
+{S.stems("vocabulary")},
+joined AS (SELECT doc_id, string_agg(stem, '|' ORDER BY pos) AS stems FROM occ JOIN stems USING (word) GROUP BY doc_id)
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, coalesce(stems, '') AS stems
+FROM toks LEFT JOIN joined USING (doc_id)""")
 def stem_tokens_q(spark, sf):
-    """Porter stems of the stop-word-free tokens of every document
-    (rows-only: DuckDB has no stemmer without its fts extension; tests
-    compare with the per-word helper)."""
+    """Porter stems of the stop-word-free tokens of every document."""
     docs = table(spark, sf, "documents").select("doc_id", remove_stop_words(tokenize("text")).alias("tokens"))
     out = stemming.stem_tokens(docs, "doc_id", "tokens", "stems")
     return out.select("doc_id", F.size("stems").alias("n_tokens"),

@@ -40,10 +40,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_entry_imports_and_udf_runs_outside_the_repo():
+def test_entry_imports_and_stemming_runs_outside_the_repo():
     """The driver may import the entry module before any session exists and
-    from another working directory; Python workers then do not have this
-    package on their path, so the stemming UDF must travel with the task."""
+    from another working directory."""
     import subprocess
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = (
