@@ -85,3 +85,22 @@ def test_repeat_edge_cases(spark):
         (1, 0, 0), (2, 0, 0), (3, 49, 0), (4, 49, 0), (5, 120, 0), (6, 60, 60), (None, 60, 0), (7, 60_000, 0),
         (8, 60_001, 60_000), (9, 60, 0), (10, 55, 0), (10, 55, 0)], key=str)
     assert substring.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_large_groups_in_blocks_find_the_same_components(spark, monkeypatch):
+    """Near copies of one text, many of them too far from the hub: with any block size the components are those of all pairs."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for d in range(220):
+        words = list(base)
+        for _ in range(rng.randrange(0, 16)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((d, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute.near_duplicates(rows, 2)
+    assert len({c for _, c in want.values()}) > 5
+    for limits in ((128, 256, 1024), (1, 7, 30), (1, 256, 1024), (10 ** 6, 1, 1)):
+        for name, n in zip(("LARGE_GROUP", "OUTSIDE_BLOCK", "ALL_BLOCK"), limits):
+            monkeypatch.setattr(minhash, name, n)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, 2).collect()} == want
