@@ -69,7 +69,7 @@ _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ODD = 0x9E3779B97F4A7C15
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -144,7 +144,7 @@ def split_words(data: np.ndarray, bounds: np.ndarray, word: np.ndarray | None =
     return start, end, np.searchsorted(start, bounds)
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes of text (one row at least), which bounds a task's memory."""
     for batch in batches:
         if not batch.num_rows:
