@@ -28,7 +28,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and survives lost executors."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``store`` that no later step reads: their readers have been stored themselves."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def semi_join(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -177,7 +187,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        pairs = store(small.select("e.a", "e.b").where("a <> b").distinct(), name)
+        last, pairs = pairs, store(small.select("e.a", "e.b").where("a <> b").distinct(), name)
+        discard(last)
         # checksum in wrap-around arithmetic of 64-bit hashes, split in two to stay in range
         h = F.xxhash64("a", "b")
         now = pairs.agg(F.count("*"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))).first()

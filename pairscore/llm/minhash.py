@@ -17,7 +17,7 @@ So a group of thousands of near copies costs about one test a member, and no lin
 untested. A test first compares the size ratio and the collision-corrected estimate from the registers (cut six
 standard errors below the threshold), then counts the intersection of the full sets.
 
-In the second round, groups of more than 128 members are not paired row by row. The members outside a hub's component
+In the second round, groups of more than 24 members are not paired row by row. The members outside a hub's component
 and all members of its large groups are dealt over blocks of bounded size, and each pair of blocks counts the
 intersections of its full sets by products of 0/1 matrices, returning only enough links to connect what is linked.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (by_bytes, components, hash_ranges, lower_ascii, mix, semi_join, split_words, store, text_bytes)
+from .common import (by_bytes, components, discard, hash_ranges, lower_ascii, mix, semi_join, split_words, store, text_bytes)
 
 REGISTERS, BAND, MANTISSA_BITS = 448, 7, 10
 #: Sets of at least this size fill all registers at once.
@@ -40,7 +40,7 @@ LARGE = 512
 #: Sets below this size have too few independent registers for the estimate to rule a pair out.
 ESTIMATED = 16
 #: Band groups beyond this size are tested in blocks: of so many members outside the hub's component, and of all.
-LARGE_GROUP, OUTSIDE_BLOCK, ALL_BLOCK = 128, 256, 1024
+LARGE_GROUP, OUTSIDE_BLOCK, ALL_BLOCK = 24, 256, 1024
 #: Collisions of registers by chance: this factor * registers / 2^(mantissa bits) * 4nm / (n + m)^2.
 COLLISION = 0.169919487159739
 
@@ -202,7 +202,9 @@ def _tested(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, wi
     pairs = store(_sketch_filter(pairs, sets, percent), "minhash-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     full = store(set_table(semi_join(docs.select("doc_id", "text"), ids, "doc_id"), width), "minhash-sets")
-    return store(_confirm(pairs, full, percent), "minhash-links")
+    links = store(_confirm(pairs, full, percent), "minhash-links")
+    discard(pairs, full)
+    return links
 
 
 def _intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -267,8 +269,10 @@ def _block_links(named: DataFrame, docs: DataFrame, percent: int, width: int) ->
                         found.append((x, others[y]))
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
     keys = ["cluster", "i", "j"]
-    return store(left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInArrow(link, "a long, b long"),
-                 "minhash-block-links")
+    links = store(left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInArrow(link, "a long, b long"),
+                  "minhash-block-links")
+    discard(roles, full)
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -304,7 +308,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     hubs = (members.select("band", "doc_id", "n").join(typical, "doc_id").groupBy("band")
             .agg(F.max(F.struct("total", (-F.col("doc_id")).alias("minus"), "n")).alias("top"))
             .select("band", (-F.col("top.minus")).alias("hub"), F.col("top.n").alias("m")))
-    members = store(members.join(hubs, "band"), "minhash-hubs")
+    grouped, members = members, store(members.join(hubs, "band"), "minhash-hubs")
+    discard(grouped)
     first = members.where((F.col("doc_id") != F.col("hub")) & alike("n", "m")).select(*pair("doc_id", "hub")).distinct()
     links = _tested(first, sets, docs, percent, width)
 
@@ -314,6 +319,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
              .select("band", "c", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"),
                      F.coalesce("main", "hub").alias("main")))
     named = store(named, "minhash-named")
+    discard(labels)
     few = named.where(F.col("c") <= LARGE_GROUP)
     outside = few.where("component <> main").select("band", F.col("doc_id").alias("x"), "n", F.col("component").alias("one"))
     other = few.select("band", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("component").alias("two"), "main")
@@ -323,6 +329,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     large = named.where(F.col("c") > LARGE_GROUP)
     if not large.isEmpty():
         links = links.union(_block_links(large, docs, percent, width))
+    discard(members, named)
 
     found = store(components(links), "minhash-components")
     of_copy = copies.join(found, copies["doc_id"] == found["node"], "left").select(

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, by_bytes, hash_ranges, mix, smallest_hashes, split_words, store, text_bytes
 
-#: Labelled rows the document model is fitted on (smallest hash of their key), and most features it selects.
-SAMPLE_ROWS, MOST_FEATURES = 6000, 3000
+#: Labelled rows the document model is fitted on (smallest hash of their key), and most features that it
+#: selects for each target by their score.
+SAMPLE_ROWS, MOST_FEATURES, LEAST_SCORE = 20_000, 300, 8.0
 FEATURE_BITS = 18
 #: Bytes by kind, for the shape of a word: runs of a kind count once.
 _KIND = np.arange(256, dtype=np.uint8)
@@ -77,7 +78,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 300)
 
 def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SAMPLE_ROWS) -> DocumentModel | None:
     """The document model from ``sample`` labelled rows; null where no row has a label. Feature selection keeps those
-    in at least 0.5 % of the sample, the most frequent first."""
+    in at least 5 rows that tell most about each target, by a chi-square score."""
     usable = labels.select("doc_id", *targets).where(" and ".join(f"{t} is not null" for t in targets) + " and doc_id is not null")
     chosen = smallest_hashes(usable, "doc_id", sample, 2,
                              lambda df: df.groupBy("doc_id").agg(*[F.max(t).alias(t) for t in targets]))
@@ -96,9 +97,17 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
     n = table.count()
     if not n:
         return None
-    common = (table.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
-              .where(F.col("n") >= max(2, n // 200)).orderBy(F.desc("n"), "f").limit(MOST_FEATURES))
-    chosen_features = np.sort(np.array([r["f"] for r in common.collect()], np.int64))
+    totals = table.agg(*[F.sum((F.col(t) > 0).cast("long")).alias(t) for t in targets]).first()
+    counts = (table.select(*targets, F.explode("features").alias("f")).groupBy("f")
+              .agg(F.count("*").alias("n"), *[F.sum((F.col(t) > 0).cast("long")).alias(t) for t in targets]).where("n >= 5"))
+
+    def score(t):  # squared deviation of the feature's positives from the overall rate, over its variance
+        rate = totals[t] / n
+        return (F.pow(F.col(t) - F.col("n") * rate, 2) / (F.col("n") * max(rate * (1 - rate), 1e-9)))
+    chosen_features = np.zeros(0, np.int64)
+    for t in targets:
+        best = counts.withColumn("s", score(t)).where(F.col("s") > LEAST_SCORE).orderBy(F.desc("s"), "f").limit(MOST_FEATURES)
+        chosen_features = np.union1d(chosen_features, np.array([r["f"] for r in best.collect()], np.int64))
     rows = table.orderBy("doc_id", *targets).toArrow()
     lists = rows.column("features").combine_chunks()
     row, own = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().astype(np.int64)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, hash_ranges, mix, semi_join, split_words, store, text_bytes
+from .common import by_bytes, discard, hash_ranges, semi_join, split_words, store, text_bytes
 
 EDGES = "kmer long, edge long, doc_id long, start int, windows int, before long, after long"
 WINDOWS = "kmer long, hash long, doc_id long, start int"
@@ -141,7 +141,9 @@ def repeated_spans(docs: DataFrame, window: int = 50, k: int = 20) -> DataFrame:
               .where("lo < hi").select("kmer"))
     # stored, so that the join is broadcast when the k-mers are few, and else has two plain exchanges, which Spark can
     # split at a k-mer that is a large part of all
-    occurrences = store(semi_join(every, store(shared, "substring-repeated"), "kmer"), "substring-shared")
+    shared = store(shared, "substring-repeated")
+    occurrences = store(semi_join(every, shared, "kmer"), "substring-shared")
+    discard(every, shared)
     edges, found = paths(occurrences)
 
     spans = (occurrences.select("kmer", "edge", "doc_id", "start")
