@@ -159,7 +159,7 @@ def test_language_edge_cases(spark):
 
 
 def test_quality_of_held_out_labels(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     labels = labels.where("doc_id is not null").dropDuplicates(["doc_id"])
     known = labels.where("pmod(hash(doc_id), 3) > 0")
