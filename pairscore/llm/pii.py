@@ -6,9 +6,9 @@ Texts are cut into overlapping windows on a fixed grid; each is decoded by Viter
 text are reconciled together: base spans stay, longer spans go before shorter ones, none overlap.
 
 A span that the model adds must be possible for its kind: digits that pass Luhn's check for a card, parts up to 255 for
-an ip, 9 to 15 digits for a phone, and for an e-mail a name, an at (sign or spelt out), a dot and a digit or at sign.
-So every span holds a digit or an at sign, and windows without one are not run through the network: whatever it gave
-there would be dropped.
+an ip, 9 to 15 digits for a phone, and for an e-mail a name, an at (sign or spelt out) and a domain with a dot. So every
+span holds a digit, an at sign or a spelt-out at before a domain, and windows without any of these are not run through
+the network: whatever it gave there would be dropped.
 """
 
 from __future__ import annotations
@@ -40,6 +40,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = np.zeros(256, bool)
 _HINT[[*range(48, 58), 64]] = True
+_EMAIL = re.compile(r"(?is)[A-Z0-9._%+-]+\W{0,3}(@|at)\W{0,3}[A-Z0-9.-]+\.[A-Z0-9-]+")
+#: In every text that holds an e-mail with a spelt-out at.
+_SPELT = re.compile(r"(?is)[A-Z0-9._%+-]\W{0,3}at\W{0,3}[A-Z0-9.-]+\.[A-Z0-9-]")
+#: What may follow the dot of a domain: letters, digits, hyphens, and other characters, some of which fold to letters.
+_AFTER_DOT = np.zeros(256, bool)
+_AFTER_DOT[[*range(48, 58), *range(65, 91), *range(97, 123), 45, *range(128, 256)]] = True
 
 
 def luhn(digits: str) -> bool:
@@ -299,11 +305,22 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, **options) -> Tagger | None:
 
 
 def _hinted(batch: pa.RecordBatch) -> list[str | None]:
-    """The texts of a batch, null where there is no digit and no at sign."""
+    """The texts of a batch, null where there is no digit, no at sign, and no spelt-out at with a dot as in domains."""
     data, bounds = text_bytes(batch.column("text"))
-    hits = np.concatenate([[0], np.cumsum(_HINT[data])])
+    sign, at, dot = (np.concatenate([[0], np.cumsum(x)]) for x in (_HINT[data], *_spelt(data)))
+    live = np.zeros(len(bounds) - 1, bool)
+    for hits in ((sign,), (at, dot)):
+        live |= np.all([h[bounds[1:]] > h[bounds[:-1]] for h in hits], 0)
     column = batch.column("text")
-    return [column[i].as_py() if n else None for i, n in enumerate((hits[bounds[1:]] - hits[bounds[:-1]]).tolist())]
+    return [column[i].as_py() if n else None for i, n in enumerate(live.tolist())]
+
+
+def _spelt(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``data``, bytes or codes, has an at in letters, and where a dot that a domain can go on after."""
+    low, at, dot = data | 32, np.zeros(len(data), bool), np.zeros(len(data), bool)
+    at[:-1] = (low[:-1] == 97) & (low[1:] == 116)
+    dot[:-1] = (data[:-1] == 46) & _AFTER_DOT[data[1:]]
+    return at, dot
 
 
 # -------------------------------------------------------------------- decoding
@@ -335,10 +352,11 @@ def model_spans(tagger: Tagger, texts: list[str], gate: bool = True) -> list[lis
         held.clear()
     for i, text in enumerate(texts):
         own = codes(text)
-        hint = np.concatenate([[0], np.cumsum(((own >= 48) & (own <= 57)) | (own == 64))])
+        hint, at, dot = (np.concatenate([[0], np.cumsum(x)]) for x in (_HINT[own], *_spelt(own)))
         for lo in window_starts(len(own)).tolist():
             hi = min(lo + WINDOW, len(own))
-            if gate and hint[hi] == hint[lo]:
+            if gate and hint[hi] == hint[lo] and not (
+                    at[hi] > at[lo] and dot[hi] > dot[lo] and _SPELT.search(text, lo, hi)):
                 continue
             x = np.full(WINDOW, PAD, np.int16)
             x[: hi - lo] = own[lo:hi]
@@ -352,11 +370,10 @@ def model_spans(tagger: Tagger, texts: list[str], gate: bool = True) -> list[lis
 
 
 def possible(kind: int, span: str) -> bool:
-    """Whether a span of the model can be of its kind; all need a digit or an at sign."""
+    """Whether a span of the model can be of its kind; all need a digit, an at sign or a spelt-out at."""
     digits = re.sub("[^0-9]", "", span)
     if kind == 0:
-        return bool(re.fullmatch(r"(?is)[A-Z0-9._%+-]+\W{0,3}(@|at)\W{0,3}[A-Z0-9.-]+\.[A-Z0-9-]+", span)
-                    and re.search("[0-9@]", span))
+        return bool(_EMAIL.fullmatch(span))
     if kind == 1:
         parts = re.findall("[0-9]+", span)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)

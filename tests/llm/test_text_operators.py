@@ -255,6 +255,53 @@ def test_windows_without_hints_change_nothing(tagger):
     assert same == full
 
 
+def letter_mails(n, seed, at=None):
+    """(text, start, end of its e-mail): names and domains of letters only."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmno") for _ in range(rng.randrange(2, 8)))
+    out = []
+    for _ in range(n):
+        mail = f"{word()}.{word()}{rng.choice(at or ['@'])}{word()}.{rng.choice(['com', 'org', 'net'])}"
+        before = " ".join(word() for _ in range(rng.randrange(5, 30))) + " "
+        out.append((before + mail + " " + " ".join(word() for _ in range(20)), len(before), len(before) + len(mail)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def letter_tagger():
+    texts = [t for t, _, _ in letter_mails(400, 11)] + [t for _, t in corpus(100, 1)]
+    return pii.train(*pii.training_windows([(t, pii.base_spans(t)) for t in texts]))
+
+
+def test_spelt_out_mails_of_letters_are_found(spark, letter_tagger):
+    held = letter_mails(80, 12, [" at ", " (at) ", "[at]"])
+    texts = [t for t, _, _ in held]
+    assert not any(c.isdigit() or c == "@" for t in texts for c in t)
+    found = [pii.reconcile(t, [], f) for t, f in zip(texts, pii.model_spans(letter_tagger, texts))]
+    assert found == [pii.reconcile(t, [], f) for t, f in zip(texts, pii.model_spans(letter_tagger, texts, gate=False))]
+    assert sum((0, s, e) in f for (_, s, e), f in zip(held, found)) >= 0.7 * len(held)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.detect(df, letter_tagger, mask=True).collect()}
+    assert [rows[i].spans for i in range(len(texts))] == [pii.named(f) for f in found]
+    assert all(("<EMAIL>" in rows[i].masked) == bool(f) for i, f in enumerate(found))
+
+
+def test_gate_is_open_for_every_possible_mail():
+    class Held(Exception):
+        pass
+
+    class Tagger:
+        def decode(self, x):
+            raise Held
+    for mail in ("jane.doe at example.com", "info [at] firm.org", "a AT b.c", "x(at)y-z.co.uk", "%at-.-", "noatsign.here", "q (at) \u212a.\u017f"):
+        assert pii.possible(0, mail)
+        for text in (mail, "z " * 200 + mail + " z" * 200):
+            with pytest.raises(Held):
+                pii.model_spans(Tagger(), [text])
+    for text in ("look at that", "at the end. Then", "file.name that"):
+        assert pii.model_spans(Tagger(), [text]) == [[]]
+
+
 def test_personal_data_edge_cases(spark, tagger):
     import hashlib
     df = edge(spark)
