@@ -7,6 +7,8 @@ a failed attempt are never read.
 The reader walks a file member by member or, where it is not compressed, record by record. Where a check fails
 (gzip CRC or length, version line, header, Content-Length, record end, block or payload digest) it searches for the
 next gzip magic number or version line that starts a valid record, goes on there, and reports the bytes between as a gap.
+Within a member it does so in the decompressed bytes; records before an error of the member itself are kept. A stated
+length is read ahead only if the file goes on that far and has a record end there.
 """
 
 from __future__ import annotations
@@ -75,11 +77,28 @@ class Window:
 
     def __init__(self, stream):
         self.stream, self.at, self.buffer, self.ended = stream, 0, b"", False
+        self.seekable = stream.seekable()
+        self.start = stream.tell() if self.seekable else 0
+
+    def peek(self, at: int, n: int) -> bytes | None:
+        """``n`` bytes, ``at`` bytes on, without those before; null where the stream cannot seek."""
+        if at + n <= len(self.buffer) or self.ended:
+            return self.buffer[at: at + n]
+        if not self.seekable:
+            return None
+        back = self.stream.tell()
+        size = self.stream.seek(0, io.SEEK_END)
+        found = b""
+        if self.start + self.at + at < size:
+            self.stream.seek(self.start + self.at + at)
+            found = self.stream.read(n)
+        self.stream.seek(back)
+        return found
 
     def want(self, n: int) -> bytes:
         parts, have = [self.buffer], len(self.buffer)
         while have < n and not self.ended:
-            more = self.stream.read(max(CHUNK, n - have))
+            more = self.stream.read(CHUNK)
             self.ended = not more
             parts.append(more)
             have += len(more)
@@ -91,17 +110,18 @@ class Window:
         self.at += n
 
 
-def parse_record(data: bytes) -> tuple[dict, int]:
-    """(record, bytes used) of the record at the start of ``data``; EOFError where more bytes are needed."""
-    if not VERSION_LINE.match(data):
-        if len(data) < 10 and VERSION.startswith(data[:7]):
+def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
+    """(record, its end) of the record at ``at`` in ``data``; EOFError where more bytes are needed, with the end that
+    the record states, if known."""
+    if not VERSION_LINE.match(data, at):
+        if len(data) - at < 10 and VERSION.startswith(data[at: at + 7]):
             raise EOFError
         raise Damage("version line")
-    end = data.find(b"\r\n\r\n", 0, HEAD_LIMIT)
+    end = data.find(b"\r\n\r\n", at, at + HEAD_LIMIT)
     if end < 0:
-        raise EOFError if len(data) < HEAD_LIMIT else Damage("header")
+        raise EOFError if len(data) - at < HEAD_LIMIT else Damage("header")
     fields = {}
-    for line in data[:end].split(b"\r\n")[1:]:
+    for line in data[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damage("header")
@@ -136,86 +156,124 @@ def parse_record(data: bytes) -> tuple[dict, int]:
             "payload_bytes": length, "payload_digest": found, "payload": payload}, stop + 4
 
 
-def _member(w: Window) -> tuple[list[dict], int]:
-    """(records, compressed bytes) of the gzip member at the start of the window."""
+def _inflate(w: Window) -> tuple[bytes, int, str]:
+    """(decompressed bytes, compressed bytes, error or "") of the gzip member at the start of the window. Before an
+    error, the bytes that came out until then."""
     z, out, fed, size = zlib.decompressobj(31), [], 0, 1 << 16
-    head = b""
-    try:
-        while not z.eof:
-            data = w.want(fed + size)[fed: fed + size]
-            if not data:
-                raise Damage("member cut short")
-            fed += len(data)
+    while not z.eof:
+        data = w.want(fed + max(size, fed))[fed: fed + size]
+        if not data:
+            return b"".join(out), fed, "member cut short"
+        before = z.copy()
+        try:
             out.append(z.decompress(data))
-            if len(head) < 10:
-                head += out[-1][:10]
-                if len(head) >= 10 and not VERSION_LINE.match(head):
-                    raise Damage("version line")
-            size = min(size * 2, CHUNK)
-    except zlib.error as e:
-        raise Damage("gzip") from e
-    data, records = b"".join(out), []
-    while data:
+        except zlib.error:
+            at = 0
+            for step in (1 << 12, 1):  # up to the byte that fails
+                while at < len(data):
+                    z = before.copy()
+                    try:
+                        out.append(z.decompress(data[at: at + step]))
+                    except zlib.error:
+                        break
+                    before, at = z, at + step
+            return b"".join(out), fed + at, "gzip"
+        fed += len(data)
+        size = min(size * 2, CHUNK)
+    return b"".join(out), fed - len(z.unused_data), ""
+
+
+def _member(w: Window) -> tuple[list[dict], int, str]:
+    """(records and gaps, compressed bytes, error or "") of the gzip member at the start of the window. With an error
+    the bytes are those up to the end of the last record."""
+    data, used, error = _inflate(w)
+    rows, at, end, why = [], 0, 0, ""
+    while at < len(data):
         try:
-            record, used = parse_record(data)
-        except EOFError as e:
-            raise Damage("record cut short") from e
-        records.append(record)
-        data = data[used:]
-    return records, fed - len(z.unused_data)
-
-
-def _plain(w: Window) -> tuple[list[dict], int]:
+            record, at = parse_record(data, at)
+        except (Damage, EOFError) as e:
+            why = why or (str(e) if isinstance(e, Damage) else error or "record cut short")
+            more = VERSION_LINE.search(data, at + 1)
+            at = more.start() if more else len(data)
+            continue
+        if why:
+            rows.append({"error": why})
+            why = ""
+        rows.append(record)
+        end = at
+    if not end:
+        raise Damage(error or why or "version line")
+    if error:
+        z = zlib.decompressobj(31)
+        z.decompress(w.buffer[:used], end)
+        return rows, min(used - len(z.unconsumed_tail), used - 1), error
+    return rows + [{"error": why}] * bool(why), used, ""
+
+
+def _plain(w: Window) -> tuple[list[dict], int, str]:
     need = CHUNK
     while True:
         data = w.want(need)
         try:
             record, used = parse_record(data)
-            return [record], used
+            return [record], used, ""
         except EOFError as e:
             if w.ended:
                 raise Damage("record cut short") from e
-            need = max(need * 2, e.args[0] if e.args else 0)
+            need = e.args[0] if e.args else need * 2
+            last = w.peek(need - 4, 4) if e.args else None
+            if last is not None and last != b"\r\n\r\n":
+                raise Damage("record end" if len(last) == 4 else "record cut short") from e
+
+
+def _search(w: Window) -> None:
+    """To the next place that may start a member or a version line."""
+    while True:
+        data = w.want(CHUNK)
+        hits = [i for i in (data.find(MAGIC), data.find(VERSION)) if i >= 0]
+        if hits or w.ended:
+            w.skip(min(hits) if hits else len(data))
+            return
+        w.skip(len(data) - len(VERSION) + 1)
 
 
 def salvage(stream) -> Iterator[dict]:
-    """Rows of one archive: records (error null) and gaps (error set), each with offset and length in the file."""
+    """Rows of one archive: records (error null) and gaps (error set), each with offset and length in the file; those
+    of one member share them."""
     w, gap, why = Window(stream), None, ""
     while w.want(16):
         try:
-            records, used = _member(w) if w.buffer.startswith(MAGIC) else _plain(w)
+            rows, used, error = _member(w) if w.buffer.startswith(MAGIC) else _plain(w)
         except Damage as e:
             if gap is None:
                 gap, why = w.at, str(e)
             w.skip(1)
-            while True:  # to the next place that may start a member or a version line
-                data = w.want(CHUNK)
-                hits = [i for i in (data.find(MAGIC), data.find(VERSION)) if i >= 0]
-                if hits or w.ended:
-                    w.skip(min(hits) if hits else len(data))
-                    break
-                w.skip(len(data) - len(VERSION) + 1)
+            _search(w)
             continue
         if gap is not None:
             yield {"offset": gap, "length": w.at - gap, "error": why}
             gap = None
-        for record in records:
-            yield {"offset": w.at, "length": used, "error": None} | record
+        for row in rows:
+            yield {"offset": w.at, "length": used, "error": None} | row
         w.skip(used)
+        if error:
+            gap, why = w.at, error
+            _search(w)
     if gap is not None:
         yield {"offset": gap, "length": w.at - gap, "error": why}
 
 
 def open_stream(path: str, mode: str = "r"):
-    """A stream of a path that tasks share: a URI that pyarrow's file systems know, or a plain path."""
+    """A stream of a path that tasks share: a URI that pyarrow's file systems know, or a plain path. Its bytes are those
+    of the file: pyarrow would else compress and decompress a .gz itself, and end at damage."""
     from pyarrow import fs
 
     system, inner = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
         else (fs.LocalFileSystem(), path)
     if mode == "r":
-        return system.open_input_stream(inner)
+        return system.open_input_file(inner)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(inner)
+    return system.open_output_stream(inner, compression=None)
 
 
 # ------------------------------------------------------------------ DataFrames

@@ -52,6 +52,58 @@ def test_junk_between_members_and_large_records():
     assert warc.salvage_bytes(b"") == [] and warc.salvage_bytes(b"xyz" * 9)[0]["length"] == 27
 
 
+def test_wrong_lengths_are_not_read(spark, tmp_path):
+    import io
+
+    class Stream(io.BytesIO):
+        passed = 0
+
+        def read(self, n=-1):
+            assert 0 <= n <= warc.CHUNK
+            data = super().read(n)
+            Stream.passed += len(data)
+            return data
+    parts = [record(i, random.Random(i).randbytes(3 << 20)) for i in range(9)]
+    for length in (b"1" + b"0" * 17, b"9" * 18, b"20000000"):
+        bad = parts[1].replace(b"Content-Length: ", b"Content-Length: %b\r\nX: " % length, 1)
+        data = b"".join([parts[0], bad, *parts[2:]])
+        Stream.passed = 0
+        rows = warc.salvage(Stream(data))
+        assert next(rows)["record_id"] == "urn:page:0"
+        assert next(rows)["error"] and Stream.passed < 14 << 20
+        assert good(rows) == [f"urn:page:{i}" for i in range(2, 9)]
+        (tmp_path / "a.warc").write_bytes(data)
+        df = spark.createDataFrame([(str(tmp_path / "a.warc"),)], "path string")
+        ids = [r.record_id for r in warc.read_archives(df, payload=False).where("error is null").collect()]
+        assert ids == [f"urn:page:{i}" for i in range(9) if i != 1]
+
+
+def test_damage_within_a_member_costs_one_record(spark, tmp_path):
+    parts = [record(i, random.Random(i).randbytes(30_000)) for i in range(6)]
+    ids = [f"urn:page:{i}" for i in range(6)]
+    tail = warc.gzip_member(record(9))
+    for hit, right, wrong in ((0, b"WARC/1.1", b"XARC/1.1"), (2, b"Content-Length: ", b"Content-Length: 9"), (5, b"WARC-Type", b"bad\r\n")):
+        inner = b"".join(p if i != hit else p.replace(right, wrong, 1) for i, p in enumerate(parts))
+        rows = warc.salvage_bytes(warc.gzip_member(inner) + tail)
+        assert good(rows) == [x for x in ids if x != ids[hit]] + ["urn:page:9"] and sum(r["error"] is not None for r in rows) == 1
+    whole = warc.gzip_member(b"".join(parts))
+    crc = bytearray(whole)
+    crc[-6] ^= 1
+    broken = bytearray(whole)
+    broken[len(whole) // 2: len(whole) // 2 + 50] = b"\xff" * 50
+    for data, least, error in ((bytes(crc) + tail, 6, "gzip"), (whole[: len(whole) // 2], 2, "member cut short"), (bytes(broken) + tail, 2, "")):
+        rows = warc.salvage_bytes(data)
+        kept = [x for x in good(rows) if x != "urn:page:9"]
+        assert kept == ids[:len(kept)] and len(kept) >= least and (data.endswith(tail)) == ("urn:page:9" in good(rows))
+        gaps = [r for r in rows if r["error"]]
+        assert len(gaps) == 1 and error in gaps[0]["error"]
+        spans = sorted({(r["offset"], r["length"]) for r in rows})
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) == len(data)
+        (tmp_path / "a.warc.gz").write_bytes(data)
+        df = spark.createDataFrame([(str(tmp_path / "a.warc.gz"),)], "path string")
+        assert good(r.asDict() for r in warc.read_archives(df, payload=False).collect()) == good(rows)
+
+
 def test_round_trip_of_pages(spark):
     rows = [Row(page_id=1, url="http://a/", html="x"), Row(page_id=3, url=None, html="x"), Row(page_id=2, url="u\r\nv", html="x"),
             Row(page_id=4, url="", html=None), Row(page_id=5, url="http://é/", html=""), Row(page_id=None, url="n", html="x"),
