@@ -3,8 +3,8 @@
 Text: a naive Bayes model over hashed byte trigrams (case folded) gives a log likelihood for each language. Declared
 markup language and address suffix: their likelihoods given the language come from counts over all rows, against the
 language that the text alone suggests. Host: the prior of a host is shrunk towards that of its address suffix, and
-that towards the global prior, by pseudo-counts. All counts are grouped aggregations over every row; only the text
-model is fitted on a bounded sample. The sum of the logs gives the posterior.
+that towards the global prior, by pseudo-counts. All counts are grouped aggregations over every row, and so are the
+languages; only the text model is fitted on a bounded sample of each language. The sum of the logs gives the posterior.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, by_bytes, smallest_hashes, store, text_bytes
+from .common import BROADCAST_IDS, by_bytes, store, text_bytes
 
 GRAM_BITS = 15
-#: Rows the text model is fitted on (those with the smallest hash of their key), and most languages it knows.
-SAMPLE_ROWS, MOST_LANGUAGES = 4000, 200
+#: Rows the text model is fitted on (those of each language with the smallest hash of their key, as many of each), and
+#: rows of a language that there is always room for.
+SAMPLE_ROWS, LEAST_ROWS = 4000, 100
 #: Trigrams overlap; each counts this much of an independent observation.
 TEXT_WEIGHT = 0.3
 PSEUDO = 20.0
@@ -53,12 +54,42 @@ def grams(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashed[letter], row[letter], letters
 
 
+def _sample(rows: DataFrame, each: int, counts: dict[str, int]) -> DataFrame:
+    """(label, k) of the ``each`` keys of every label that hash smallest (ties by key), or all, if there are fewer;
+    ``rows`` (label, k) are counted by label in ``counts``. Like ``smallest_hashes``, for each label."""
+    spark = rows.sparkSession
+    shares = {label: min(1.0, 2 * each / n) for label, n in counts.items()}
+    order = F.shiftrightunsigned(F.xxhash64("k"), 11)
+    parts = []
+    while shares:
+        bounds = spark.createDataFrame([(x, int(share * (1 << 53))) for x, share in shares.items()], "label string, bound long")
+        found = store(rows.join(F.broadcast(bounds), "label").where(order < F.col("bound"))
+                      .select("label", "k").distinct(), "language-sample")
+        have = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
+        done = [x for x, share in shares.items() if share >= 1 or have.get(x, 0) >= each]
+        shares = {x: min(1.0, share * 8) for x, share in shares.items() if x not in set(done)}
+        if done:
+            ended = spark.createDataFrame([(x,) for x in done], "label string")
+            parts.append(found.join(F.broadcast(ended), "label", "left_semi"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    place = F.row_number().over(Window.partitionBy("label").orderBy(order, "k"))
+    return found.withColumn("place", place).where(F.col("place") <= each).select("label", "k")
+
+
 def fit_text_model(rows: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE_ROWS) -> TextModel:
-    """From the ``sample`` rows with a label whose key hashes smallest; counts are summed in Spark."""
-    chosen = smallest_hashes(rows.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k")),
-                             "k", sample, 2, lambda df: df.distinct())
-    picked = rows.join(F.broadcast(chosen), F.col(key) == F.col("k"), "left_semi").select(
-        F.col(text).alias("text"), F.col(label).alias("label")).where("label is not null")
+    """All labels, from about ``sample`` rows: of each label as many, those whose key hashes smallest, and LEAST_ROWS if
+    that is more. Counts are summed in Spark."""
+    labelled = rows.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(label).alias("label"), F.col(key).alias("k"))
+    labels = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    languages = sorted(labels)
+    if not languages:
+        return TextModel([], np.zeros((0, 1 << GRAM_BITS), np.float32))
+    chosen = _sample(labelled, max(LEAST_ROWS, -(-sample // len(languages))), labels)
+    picked = rows.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(label).alias("label")).join(
+        F.broadcast(chosen), ["label", "k"], "left_semi").select("text", "label")
 
     def work(batches):
         for batch in by_bytes(batches, "text"):
@@ -74,14 +105,12 @@ def fit_text_model(rows: DataFrame, key: str, text: str, label: str, sample: int
                 ["label", "gram", "n"])
     counts = store(picked.mapInArrow(work, "label string, gram long, n long").groupBy("label", "gram")
                    .agg(F.sum("n").alias("n")), "language-counts")
-    top = counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(MOST_LANGUAGES).collect()
-    languages = sorted(r["label"] for r in top)
     place = {name: i for i, name in enumerate(languages)}
-    table = np.full((len(languages), 1 << GRAM_BITS), 0.5)
-    for r in counts.collect():
-        if r["label"] in place:
-            table[place[r["label"]], r["gram"]] += r["n"]
-    return TextModel(languages, np.log(table / table.sum(1, keepdims=True)).astype(np.float32))
+    table = np.full((len(languages), 1 << GRAM_BITS), 0.5, np.float32)
+    got = counts.toArrow()
+    at = [place[x] for x in got.column("label").to_pylist()]
+    table[at, got.column("gram").to_numpy()] += got.column("n").to_numpy()
+    return TextModel(languages, np.log(table / table.sum(1, keepdims=True, dtype=np.float64)).astype(np.float32))
 
 
 def text_scores(rows: DataFrame, model: TextModel, text: str, keep: list[str]) -> DataFrame:
@@ -106,8 +135,8 @@ def _shrunk(counts: Column, prior: Column, strength: float) -> Column:
     return F.zip_with(counts, prior, lambda n, p: (n + strength * p) / (total + strength))
 
 
-def _small_join(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
-    if small.count() <= BROADCAST_IDS // 50:  # some hundred bytes a row
+def _small_join(rows: DataFrame, small: DataFrame, key: str | list[str], size: int) -> DataFrame:
+    if small.count() <= BROADCAST_IDS // max(50, size):  # some hundred bytes a row, or a number for each language
         small = F.broadcast(small)
     return rows.join(small, key, "left")
 
@@ -143,16 +172,14 @@ def identify(rows: DataFrame, key: str = "doc_id", text: str = "text", declared:
     overall = F.array(*[F.lit((n + 1) / (sum(sums) + size)) for n in sums])
     suffixes = (scored.groupBy("suffix").agg(tally.alias("n"))
                 .select("suffix", _shrunk(F.col("n"), overall, PSEUDO).alias("of_suffix")))
-    hosts = _small_join(scored.groupBy("host", "suffix").agg(tally.alias("n")), suffixes, "suffix").select(
+    hosts = _small_join(scored.groupBy("host", "suffix").agg(tally.alias("n")), suffixes, "suffix", size).select(
         "host", "suffix", _shrunk(F.col("n"), F.col("of_suffix"), PSEUDO).alias("prior"))
     # likelihood of a value given the language: its joint count over the language's count
     said = (scored.groupBy("declared").agg(tally.alias("n"))
             .select("declared", F.zip_with("n", F.array(*[F.lit(n) for n in sums]), lambda n, s: (n + 0.5) / (s + 5.0))
                     .alias("of_declared")))
-    joined = _small_join(scored.where("letters > 0"), said, "declared")
-    if hosts.count() <= BROADCAST_IDS // 50:
-        hosts = F.broadcast(hosts)
-    joined = joined.join(hosts, ["host", "suffix"], "left")
+    joined = _small_join(scored.where("letters > 0"), said, "declared", size)
+    joined = _small_join(joined, hosts, ["host", "suffix"], size)
     log = F.zip_with(F.zip_with("ll", "prior", lambda a, p: a + F.log(p)), "of_declared", lambda a, p: a + F.log(p))
     scores = joined.withColumn("log", log).withColumn("top", F.array_max("log"))
     scores = scores.withColumn("probability", 1 / F.aggregate(

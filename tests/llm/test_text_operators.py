@@ -149,6 +149,28 @@ def test_declared_language_and_host_decide_short_texts(spark, sf):
     assert got == {10 ** 9: "de", 10 ** 9 + 1: "fr"}
 
 
+def test_rare_and_many_languages_are_known(spark):
+    rng = random.Random(4)
+    words = {x: ["".join(rng.choice(letters) for _ in range(5)) for _ in range(40)] for x, letters in
+             [("en", "abcdefg"), ("xx", "mnopq"), ("yy", "rstuvwz")]}
+    text = lambda x: " ".join(rng.choice(words[x]) for _ in range(30))
+    rows = [(i, text("en"), "en", "h") for i in range(9000)] + [(i, text("xx"), "xx", "h") for i in (9000, 9001)]
+    rows += [(9002 + i, text("yy"), "yy", "g") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.language for r in language.identify(df).where("doc_id >= 8990").collect()}
+    assert got == {i: x for i, _, x, _ in rows if i >= 8990}
+    many = [(i, f"{chr(0x4e00 + i)} {chr(0x4e00 + i)}", f"l{i:03}", "h") for i in range(230)]
+    model = language.fit_text_model(spark.createDataFrame(many, df.schema), "doc_id", "text", "lang")
+    assert model.languages == sorted(x for _, _, x, _ in many)
+
+
+def test_sample_takes_the_smallest_hashes_of_each_label(spark):
+    df = spark.range(3000).selectExpr("if(id % 100 = 0, 'b', 'a') as label", "id as k")
+    got = {(r.label, r.k) for r in language._sample(df.union(df), 20, {"a": 5940, "b": 60}).collect()}
+    hashed = df.selectExpr("label", "k", "shiftrightunsigned(xxhash64(k), 11) as h").collect()
+    assert got == {(x, k) for x in "ab" for _, k in sorted((r.h, r.k) for r in hashed if r.label == x)[:20]}
+
+
 def test_language_edge_cases(spark):
     rows = language.identify(edge(spark)).collect()
     assert len(rows) == len(EDGE)
