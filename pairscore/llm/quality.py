@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, by_bytes, hash_ranges, mix, smallest_hashes, split_words, store, text_bytes
 
-#: Labelled rows the document model is fitted on (smallest hash of their key), and most features that it
-#: selects for each target by their score.
+#: Rows with a label of a target that its document model is fitted on (smallest hash of their key), and most features
+#: that it selects for each target by their score.
 SAMPLE_ROWS, MOST_FEATURES, LEAST_SCORE = 20_000, 300, 8.0
 FEATURE_BITS = 18
 #: Bytes by kind, for the shape of a word: runs of a kind count once.
@@ -34,7 +34,7 @@ _MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 @dataclass
 class DocumentModel:
     features: np.ndarray  # hashed features, sorted
-    weights: dict[str, np.ndarray]  # by target: a weight for each feature, then the constant
+    weights: dict[str, np.ndarray]  # by target that has labels: a weight for each feature, then the constant
 
 
 def features(column) -> tuple[np.ndarray, np.ndarray]:
@@ -77,11 +77,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 300)
 
 
 def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SAMPLE_ROWS) -> DocumentModel | None:
-    """The document model from ``sample`` labelled rows; null where no row has a label. Feature selection keeps those
-    in at least 5 rows that tell most about each target, by a chi-square score."""
-    usable = labels.select("doc_id", *targets).where(" and ".join(f"{t} is not null" for t in targets) + " and doc_id is not null")
-    chosen = smallest_hashes(usable, "doc_id", sample, 2,
-                             lambda df: df.groupBy("doc_id").agg(*[F.max(t).alias(t) for t in targets]))
+    """The document model, each target from ``sample`` rows with a label of it; null where no row has a label. Feature
+    selection keeps those in at least 5 rows of a target that tell most about it, by a chi-square score."""
+    chosen = None
+    for t in targets:
+        usable = labels.select("doc_id", t).where(F.col(t).isNotNull() & F.col("doc_id").isNotNull())
+        own = smallest_hashes(usable, "doc_id", sample, 2, lambda df, t=t: df.groupBy("doc_id").agg(F.max(t).alias(t)))
+        chosen = own if chosen is None else chosen.join(own, "doc_id", "full")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def work(batches):
@@ -94,29 +96,37 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in ["doc_id", *targets]) + ", features array<int>"
     table = store(rows.mapInArrow(work, schema), "quality-sample")
-    n = table.count()
-    if not n:
+    totals = table.agg(*[F.count(t).alias(f"n_{t}") for t in targets],
+                       *[F.sum((F.col(t) > 0).cast("long")).alias(t) for t in targets]).first()
+    targets = [t for t in targets if totals[f"n_{t}"]]
+    if not targets:
         return None
-    totals = table.agg(*[F.sum((F.col(t) > 0).cast("long")).alias(t) for t in targets]).first()
     counts = (table.select(*targets, F.explode("features").alias("f")).groupBy("f")
-              .agg(F.count("*").alias("n"), *[F.sum((F.col(t) > 0).cast("long")).alias(t) for t in targets]).where("n >= 5"))
+              .agg(*[F.count(t).alias(f"n_{t}") for t in targets],
+                   *[F.sum((F.col(t) > 0).cast("long")).alias(t) for t in targets])
+              .where(" or ".join(f"`n_{t}` >= 5" for t in targets)))
 
-    def score(t):  # squared deviation of the feature's positives from the overall rate, over its variance
-        rate = totals[t] / n
-        return (F.pow(F.col(t) - F.col("n") * rate, 2) / (F.col("n") * max(rate * (1 - rate), 1e-9)))
+    def score(t):  # squared deviation of the feature's positives from the target's rate, over its variance
+        rate, n = totals[t] / totals[f"n_{t}"], F.col(f"n_{t}")
+        return F.when(n >= 5, F.pow(F.col(t) - n * rate, 2) / (n * max(rate * (1 - rate), 1e-9)))
     chosen_features = np.zeros(0, np.int64)
     for t in targets:
         best = counts.withColumn("s", score(t)).where(F.col("s") > LEAST_SCORE).orderBy(F.desc("s"), "f").limit(MOST_FEATURES)
         chosen_features = np.union1d(chosen_features, np.array([r["f"] for r in best.collect()], np.int64))
     rows = table.orderBy("doc_id", *targets).toArrow()
+    n = len(rows)
     lists = rows.column("features").combine_chunks()
     row, own = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().astype(np.int64)
     at = np.minimum(np.searchsorted(chosen_features, own), len(chosen_features) - 1)
     hit = chosen_features[at] == own if len(chosen_features) else np.zeros(len(own), bool)
     x = np.zeros((n, len(chosen_features)), np.float32)
     x[row[hit], at[hit]] = 1
-    y = {t: (rows.column(t).to_numpy() > 0).astype(np.float32) for t in targets}
-    return DocumentModel(chosen_features, {t: logistic(x, y[t]) for t in targets})
+    weights = {}
+    for t in targets:
+        has = rows.column(t).is_valid().to_numpy()
+        y = (rows.column(t).drop_null().to_numpy() > 0).astype(np.float32)
+        weights[t] = logistic(x if has.all() else x[has], y)
+    return DocumentModel(chosen_features, weights)
 
 
 def evidence(docs: DataFrame, model: DocumentModel, keep: list[str]) -> DataFrame:
@@ -170,7 +180,8 @@ def classify(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...] = ("qu
     """(doc_id, p_<target> for each target, kept) for each row of ``docs`` (doc_id, text, host, path).
 
     ``labels`` (doc_id, targets): positive values count as 1; rows with a null label do not count for that target.
-    kept: p of ``wanted`` is at least ``least`` and p of ``unwanted`` below it.
+    kept: p of ``wanted`` is at least ``least`` and p of ``unwanted`` below it. A target without any label has p 0.5 and
+    rejects nothing.
 
     A null or empty text has no features: its evidence is the model's constant. A null host or path is a value of its
     own; a path without labels takes its host's posterior, a host without labels the global rate. Repeated label rows
@@ -188,6 +199,9 @@ def classify(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...] = ("qu
     labelled = store(labels.select(F.col("doc_id").cast("long").alias("doc_id"), *targets).join(sites, "doc_id"), "quality-labels")
     out = scored
     for t in targets:
+        if t not in model.weights:
+            out = out.withColumn(f"p_{t}", F.lit(0.5))
+            continue
         prior, rate = posteriors(labelled, t)
         by_host = prior.groupBy("host").agg(F.avg(f"{t}_prior").alias("h"))
         if prior.count() <= BROADCAST_IDS // 10:  # about 60 bytes a row
@@ -196,7 +210,7 @@ def classify(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...] = ("qu
         p = F.coalesce(f"{t}_prior", "h", F.lit(rate))
         odds = F.col(f"e_{t}") + F.log(p / (1 - p)) - F.lit(float(np.log(rate / (1 - rate))))
         out = out.withColumn(f"p_{t}", 1 / (1 + F.exp(-odds))).drop("h", f"{t}_prior")
-    kept = F.col(f"p_{wanted}") >= least
-    if unwanted is not None:
+    kept = F.col(f"p_{wanted}") >= least if wanted in model.weights else F.lit(True)
+    if unwanted in model.weights:
         kept = kept & (F.col(f"p_{unwanted}") < least)
     return out.select("doc_id", *[f"p_{t}" for t in targets], kept.alias("kept"))

@@ -198,6 +198,21 @@ def test_sparse_sites_shrink_to_the_rate_above(spark):
     assert p["a", "p"] > 0.95 and 0.45 < p["b", "p"] < 0.6 and 0.2 < p["c", "p"] < rate and p["a", "q"] > rate
 
 
+def test_targets_are_fitted_on_their_own_labels(spark):
+    rng = random.Random(6)
+    say = lambda *own: " ".join([*own, *(f"w{rng.randrange(30)}" for _ in range(10))])
+    docs = [(i, say("good" if i % 2 else "poor", "vile" if i % 4 < 2 else "kind"), "en", "h") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    truth = {i: (i % 2, int(i % 4 < 2)) for i, *_ in docs}
+    labels = spark.createDataFrame([(i, q if i % 3 else None, None if i % 3 else t) for i, (q, t) in truth.items()],
+                                   "doc_id long, quality int, toxic int")
+    rows = quality.classify(df, labels).collect()
+    assert all((r.p_quality >= 0.5, r.p_toxic >= 0.5) == (bool(truth[r.doc_id][0]), bool(truth[r.doc_id][1])) for r in rows)
+    assert all(r.kept == (truth[r.doc_id] == (1, 0)) for r in rows)
+    rows = quality.classify(df, labels.selectExpr("doc_id", "quality", "cast(null as int) as toxic")).collect()
+    assert all(r.p_toxic == 0.5 and r.kept == (r.p_quality >= 0.5) == bool(truth[r.doc_id][0]) for r in rows)
+
+
 def test_quality_edge_cases(spark):
     labels = spark.createDataFrame([(2, 1, 0), (4, 0, 1), (4, 0, 1), (5, None, 1), (None, 1, 1), (99, 1, 0)],
                                    "doc_id long, quality int, toxic int")
