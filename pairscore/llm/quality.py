@@ -161,7 +161,8 @@ def _strength(groups: DataFrame, rate: str) -> float:
 
 
 def posteriors(rows: DataFrame, target: str) -> tuple[DataFrame, float]:
-    """(host, path, <target>_prior) from labelled rows (host, path, target), and the global rate."""
+    """(host, path, <target>_prior, <target>_host: the posterior of the host) from labelled rows (host, path, target),
+    and the global rate."""
     paths = store(rows.where(F.col(target).isNotNull()).groupBy("host", "path").agg(
         F.count("*").alias("n"), F.sum((F.col(target) > 0).cast("double")).alias("k")), "quality-paths")
     total = paths.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
@@ -171,7 +172,8 @@ def posteriors(rows: DataFrame, target: str) -> tuple[DataFrame, float]:
     hosts = hosts.select("host", ((F.col("k") + a * rate) / (F.col("n") + a)).alias("m"))
     joined = store(paths.join(hosts, "host"), "quality-hosts")
     b = _strength(joined, "m")
-    return joined.select("host", "path", ((F.col("k") + b * F.col("m")) / (F.col("n") + b)).alias(f"{target}_prior")), rate
+    return joined.select("host", "path", ((F.col("k") + b * F.col("m")) / (F.col("n") + b)).alias(f"{target}_prior"),
+                         F.col("m").alias(f"{target}_host")), rate
 
 
 def classify(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...] = ("quality", "toxic"), wanted: str = "quality",
@@ -203,7 +205,8 @@ def classify(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...] = ("qu
             out = out.withColumn(f"p_{t}", F.lit(0.5))
             continue
         prior, rate = posteriors(labelled, t)
-        by_host = prior.groupBy("host").agg(F.avg(f"{t}_prior").alias("h"))
+        by_host = prior.groupBy("host").agg(F.max(f"{t}_host").alias("h"))  # the same on all paths
+        prior = prior.drop(f"{t}_host")
         if prior.count() <= BROADCAST_IDS // 10:  # about 60 bytes a row
             prior, by_host = F.broadcast(prior), F.broadcast(by_host)
         out = out.join(prior, ["host", "path"], "left").join(by_host, "host", "left")

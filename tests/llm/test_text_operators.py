@@ -213,6 +213,21 @@ def test_targets_are_fitted_on_their_own_labels(spark):
     assert all(r.p_toxic == 0.5 and r.kept == (r.p_quality >= 0.5) == bool(truth[r.doc_id][0]) for r in rows)
 
 
+def test_paths_without_labels_take_their_hosts_posterior(spark):
+    rows = [("a", "p", 1)] * 1000 + [("a", f"q{i}", 0) for i in range(5)] + [("b", "p", 0)] * 900 + [("c", "p", 1)] * 20
+    docs = [(i, "x", path, host) for i, (host, path, _) in enumerate(rows)] + [(5000, "x", "new", "a")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, y) for i, (_, _, y) in enumerate(rows)], "doc_id long, quality int")
+    model = quality.DocumentModel(np.zeros(0, np.int64), {"quality": np.zeros(1, np.float32)})
+    got = quality.classify(df, labels, ("quality",), unwanted=None, model=model).where("doc_id = 5000").first()
+    prior, rate = quality.posteriors(spark.createDataFrame(rows, "host string, path string, y int"), "y")
+    host = {r.y_host for r in prior.where("host = 'a'").collect()}
+    assert len(host) == 1 and min(host) > 0.98
+    p = min(host)
+    odds = p / (1 - p) * (1 - rate) / rate
+    assert got.p_quality == pytest.approx(odds / (1 + odds), rel=1e-6)
+
+
 def test_quality_edge_cases(spark):
     labels = spark.createDataFrame([(2, 1, 0), (4, 0, 1), (4, 0, 1), (5, None, 1), (None, 1, 1), (99, 1, 0)],
                                    "doc_id long, quality int, toxic int")
