@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, by_bytes, hash_ranges, mix, smallest_hashes, split_words, store, text_bytes
 
-#: Rows with a label of a target that its document model is fitted on (smallest hash of their key), and most features
-#: that it selects for each target by their score.
-SAMPLE_ROWS, MOST_FEATURES, LEAST_SCORE = 20_000, 300, 8.0
+#: Rows with a label of a target that its document model is fitted on (smallest hash of their key), and the score above
+#: which it selects features.
+SAMPLE_ROWS, LEAST_SCORE = 20_000, 8.0
 FEATURE_BITS = 18
 #: Bytes by kind, for the shape of a word: runs of a kind count once.
 _KIND = np.arange(256, dtype=np.uint8)
@@ -58,18 +58,23 @@ def features(column) -> tuple[np.ndarray, np.ndarray]:
     return code >> FEATURE_BITS, code & ((1 << FEATURE_BITS) - 1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 300) -> np.ndarray:
-    """Weights and constant of a ridge logistic regression, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w = np.zeros(x.shape[1], np.float32)
+def logistic(row: np.ndarray, feature: np.ndarray, size: int, y: np.ndarray, ridge: float = 1.0, steps: int = 300) -> np.ndarray:
+    """Weights and constant of a ridge logistic regression by accelerated gradient steps, over the 0/1 matrix of
+    len(y) rows and ``size`` features that is 1 at each (row, feature)."""
+    def times(w):
+        return np.bincount(row, w[feature], len(y)) + w[-1]
+
+    def back(r):
+        return np.append(np.bincount(feature, r[row], size), r.sum())
+    w = np.zeros(size + 1)
     v, before = w.copy(), w.copy()
-    top = np.ones(x.shape[1], np.float32)
+    top = np.ones(size + 1)
     for _ in range(30):  # largest eigenvalue of x'x, by power iteration
-        top = x.T @ (x @ (top / np.linalg.norm(top)))
+        top = back(times(top / np.linalg.norm(top)))
     rate = 4.0 / (1.1 * np.linalg.norm(top) + 4 * ridge)
     for t in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        grad = x.T @ (p - y) + ridge * np.append(v[:-1], 0)
+        p = 1 / (1 + np.exp(-np.clip(times(v), -30, 30)))
+        grad = back(p - y) + ridge * np.append(v[:-1], 0)
         w = v - rate * grad
         v = w + t / (t + 3) * (w - before)
         before = w
@@ -78,7 +83,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 300)
 
 def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SAMPLE_ROWS) -> DocumentModel | None:
     """The document model, each target from ``sample`` rows with a label of it; null where no row has a label. Feature
-    selection keeps those in at least 5 rows of a target that tell most about it, by a chi-square score."""
+    selection keeps all in at least 5 rows of a target that tell about it, by a chi-square score."""
     chosen = None
     for t in targets:
         usable = labels.select("doc_id", t).where(F.col(t).isNotNull() & F.col("doc_id").isNotNull())
@@ -111,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
         return F.when(n >= 5, F.pow(F.col(t) - n * rate, 2) / (n * max(rate * (1 - rate), 1e-9)))
     chosen_features = np.zeros(0, np.int64)
     for t in targets:
-        best = counts.withColumn("s", score(t)).where(F.col("s") > LEAST_SCORE).orderBy(F.desc("s"), "f").limit(MOST_FEATURES)
+        best = counts.where(score(t) > LEAST_SCORE).select("f")
         chosen_features = np.union1d(chosen_features, np.array([r["f"] for r in best.collect()], np.int64))
     rows = table.orderBy("doc_id", *targets).toArrow()
     n = len(rows)
@@ -119,13 +124,13 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
     row, own = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().astype(np.int64)
     at = np.minimum(np.searchsorted(chosen_features, own), len(chosen_features) - 1)
     hit = chosen_features[at] == own if len(chosen_features) else np.zeros(len(own), bool)
-    x = np.zeros((n, len(chosen_features)), np.float32)
-    x[row[hit], at[hit]] = 1
+    row, at = row[hit], at[hit]
     weights = {}
     for t in targets:
         has = rows.column(t).is_valid().to_numpy()
-        y = (rows.column(t).drop_null().to_numpy() > 0).astype(np.float32)
-        weights[t] = logistic(x if has.all() else x[has], y)
+        y = (rows.column(t).drop_null().to_numpy() > 0).astype(np.float64)
+        place, mine = np.cumsum(has) - 1, has[row]
+        weights[t] = logistic(place[row[mine]], at[mine], len(chosen_features), y)
     return DocumentModel(chosen_features, weights)
 
 

@@ -228,6 +228,17 @@ def test_paths_without_labels_take_their_hosts_posterior(spark):
     assert got.p_quality == pytest.approx(odds / (1 + odds), rel=1e-6)
 
 
+def test_telling_words_of_a_long_tail_count(spark):
+    rng = random.Random(7)
+    say = lambda i: f"{'bad' if i % 2 else 'fine'}{'abcdefghijklmnopqrst'[i // 2 % 20]}{'abcdefghijklmnopqrst'[i // 40 % 20]}"
+    docs = [(i, " ".join([say(i), *(f"w{rng.randrange(30)}" for _ in range(8))]), "en", "h") for i in range(9600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i, *_ in docs], "doc_id long, toxic int")
+    assert len(quality.fit(df, labels, ["toxic"]).features) >= 750
+    rows = quality.classify(df, labels, ("toxic",), wanted="toxic", unwanted=None).collect()
+    assert sum((r.p_toxic >= 0.5) == bool(r.doc_id % 2) for r in rows) >= 0.98 * len(rows)
+
+
 def test_quality_edge_cases(spark):
     labels = spark.createDataFrame([(2, 1, 0), (4, 0, 1), (4, 0, 1), (5, None, 1), (None, 1, 1), (99, 1, 0)],
                                    "doc_id long, quality int, toxic int")
