@@ -1,8 +1,8 @@
 """Language identification by Bayesian evidence fusion.
 
 Text: a naive Bayes model over hashed byte trigrams (case folded) gives a log likelihood for each language. Declared
-markup language and address suffix: their likelihoods given the language come from counts over all rows, against the
-language that the text alone suggests. Host: the prior of a host is shrunk towards that of its address suffix, and
+markup language: its likelihood given the language comes from counts over all rows, against the language that the
+text alone suggests. The address suffix has no likelihood of its own, and ``documents`` have no address. Host: the prior of a host is shrunk towards that of its address suffix, and
 that towards the global prior, by pseudo-counts. All counts are grouped aggregations over every row, and so are the
 languages; only the text model is fitted on a bounded sample of each language. The sum of the logs gives the posterior.
 """

@@ -110,16 +110,16 @@ class Window:
         self.at += n
 
 
-def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
+def parse_record(data: bytes, at: int = 0, limit: int = HEAD_LIMIT) -> tuple[dict, int]:
     """(record, its end) of the record at ``at`` in ``data``; EOFError where more bytes are needed, with the end that
-    the record states, if known."""
+    the record states, if known. A header above ``limit`` is damage."""
     if not VERSION_LINE.match(data, at):
         if len(data) - at < 10 and VERSION.startswith(data[at: at + 7]):
             raise EOFError
         raise Damage("version line")
-    end = data.find(b"\r\n\r\n", at, at + HEAD_LIMIT)
+    end = data.find(b"\r\n\r\n", at, at + limit)
     if end < 0:
-        raise EOFError if len(data) - at < HEAD_LIMIT else Damage("header")
+        raise EOFError if len(data) - at < limit else Damage("header")
     fields = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
@@ -190,7 +190,7 @@ def _member(w: Window) -> tuple[list[dict], int, str]:
     rows, at, end, why = [], 0, 0, ""
     while at < len(data):
         try:
-            record, at = parse_record(data, at)
+            record, at = parse_record(data, at, len(data) + 1)  # all there is
         except (Damage, EOFError) as e:
             why = why or (str(e) if isinstance(e, Damage) else error or "record cut short")
             more = VERSION_LINE.search(data, at + 1)

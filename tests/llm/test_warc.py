@@ -78,6 +78,12 @@ def test_wrong_lengths_are_not_read(spark, tmp_path):
         assert ids == [f"urn:page:{i}" for i in range(9) if i != 1]
 
 
+def test_long_headers_within_a_member_are_read():
+    uri = "http://h/" + "x" * (2 << 20)
+    rows = warc.salvage_bytes(warc.gzip_member(warc.record_bytes("response", "urn:page:1", uri, b"p", None)) + warc.gzip_member(record(2)))
+    assert good(rows) == ["urn:page:1", "urn:page:2"] and rows[0]["target_uri"] == uri and len(rows) == 2
+
+
 def test_damage_within_a_member_costs_one_record(spark, tmp_path):
     parts = [record(i, random.Random(i).randbytes(30_000)) for i in range(6)]
     ids = [f"urn:page:{i}" for i in range(6)]
