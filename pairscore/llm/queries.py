@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pairscore.sources.tables import table
 
-from . import decontaminate, language, minhash, mixing, neighbours, pii, quality, substring, urlfilter, warc
+from . import decontaminate, language, minhash, mixing, negatives, neighbours, pii, prefixes, quality, substring, urlfilter, warc
 
 
 def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,16 @@ def op10_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.node_table(prefixes.prefix_trie(table(spark, sf_dir, "conversations")))
+
+
+def op13_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec, label = F.col("vec_id"), F.col("label")
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), vec % 100 == 0,
+                                    F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 def page_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator over ``pages``: markup language from the html tag, address suffix and host from the url."""
     url, html = F.col("url"), F.col("html")
@@ -77,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_bayes": op8_quality_bayes,
     "op9_bilstm_crf": op9_bilstm_crf,
     "op10_language_fusion": op10_language_fusion,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_gnat_negatives": op13_gnat_negatives,
     "page_language_fusion": page_language_fusion,
     "pipeline": corpus_pipeline.run,
 }
@@ -108,4 +120,6 @@ ORACLES: dict[str, str] = {
     "op3_poisson_mix": "WITH docs_in AS (SELECT * FROM documents)," + mixing.SQL,
     "op4_block_matrix": _OP4,
     "op7_url_lists": urlfilter.SQL,
+    "op12_prefix_trie": prefixes.SQL,
+    "op13_gnat_negatives": negatives.SQL,
 }
