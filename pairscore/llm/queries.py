@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from pairscore.sources.tables import table
 
-from . import decontaminate, language, minhash, mixing, negatives, neighbours, pii, prefixes, quality, substring, urlfilter, warc
+from . import (bilinear, decontaminate, language, minhash, mixing, negatives, neighbours, pii, prefixes, quality, substring,
+               urlfilter, warc)
 
 
 def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +55,10 @@ def op10_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear.score(table(spark, sf_dir, "documents"), bilinear.held_out_by_id())
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.node_table(prefixes.prefix_trie(table(spark, sf_dir, "conversations")))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_bayes": op8_quality_bayes,
     "op9_bilstm_crf": op9_bilstm_crf,
     "op10_language_fusion": op10_language_fusion,
+    "op11_log_bilinear": op11_log_bilinear,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_gnat_negatives": op13_gnat_negatives,
     "page_language_fusion": page_language_fusion,
