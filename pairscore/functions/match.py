@@ -48,6 +48,47 @@ def word_match_bag(q, bag) -> Column:
         lambda acc, x: acc + F.aggregate(b, F.lit(0), lambda a, e: a + e["n"] * _w(x, e["t"]))))
 
 
+#: Query words up to this many characters find their own parts among the text's words by one pattern.
+PATTERN_LENGTH = 24
+
+
+def token_text(tokens) -> Column:
+    """Tokens, lowercased, as one string: a space before the first and after each. Tokens hold no spaces themselves."""
+    return F.concat(F.lit(" "), F.array_join(F.transform(_col(tokens), lambda t: F.concat(F.lower(t), F.lit(" "))), ""))
+
+
+def _quoted(c: Column) -> Column:
+    """Pattern text that matches ``c`` literally."""
+    return F.regexp_replace(c, r"([^\p{L}\p{N}])", r"\\$1")
+
+
+def _part_pattern(x: Column) -> Column:
+    """Pattern of a whole word of the text that is a part of ``x``: from each of its characters on, the next ones may follow."""
+    chars = F.transform(F.split(x, ""), _quoted)
+    suffix = lambda i: F.aggregate(F.reverse(F.slice(chars, i, F.size(chars))), F.lit(""),
+                                   lambda rest, c: F.concat(c, F.when(rest == "", "").otherwise(F.concat(F.lit("(?:"), rest, F.lit(")?")))))
+    ways = F.transform(F.sequence(F.lit(1), F.size(chars)), suffix)
+    return F.concat(F.lit(" (?:"), F.array_join(F.array_distinct(ways), "|"), F.lit(")(?= )"))
+
+
+def word_match_text(q, text) -> Column:
+    """Same score against a long text given as ``token_text``, without a loop over its words: for each query word one pass
+    over the text counts the words that hold it, and one the words that it holds. Long query words, whose parts make no
+    short pattern, are compared word by word for the second count. NULL on either side gives NULL."""
+    def score(ql, d):
+        words = F.length(d) - F.length(F.replace(d, F.lit(" "))) - 1
+        empty = F.regexp_count(d, F.lit(" (?= )"))
+        split = lambda: F.split(F.substr(d, F.lit(2), F.length(d) - 2), " ")
+
+        def one(x):
+            holding = F.regexp_count(d, F.concat(_quoted(x), F.lit("[^ ]*")))
+            held = F.when(F.length(x) <= PATTERN_LENGTH, F.regexp_count(d, _part_pattern(x))).otherwise(
+                F.size(F.filter(split(), lambda y: (y != "") & F.contains(x, y))))
+            return empty + F.when(x == "", words).otherwise(holding + held)
+        return F.aggregate(ql, F.lit(0), lambda acc, x: acc + one(x))
+    return _bind(_lower(q), _col(text), score)
+
+
 def _min_distances(q, d) -> Column:
     """For each query token, its smallest edit distance to any document token
     (NULL when the document has no tokens)."""

@@ -54,9 +54,10 @@ def _name_filter(names: Sequence[str] | None):
 
 
 def attribute_text(attrs: DataFrame, names: Sequence[str] | None = None,
-                   out_col: str = "product_attributes") -> DataFrame:
+                   out_col: str = "product_attributes", order_by: str | None = None) -> DataFrame:
     """One row per product: its attribute values joined by single spaces,
-    ordered by (name, value). ``names`` keeps only rows whose name contains
+    ordered by (name, value), or by the column ``order_by``, such as the place
+    in the source files (``tables.table_in_file_order``). ``names`` keeps only rows whose name contains
     one of the given words (case-insensitive): ``["brand"]`` is the brand-only
     text, ``["brand", "color", "material"]`` the documented three; None keeps
     every row.
@@ -69,7 +70,7 @@ def attribute_text(attrs: DataFrame, names: Sequence[str] | None = None,
     src = attrs.where(F.col("product_uid").isNotNull())
     src = src.where(cond) if cond is not None else src
     text = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("name", "value"))),
+        F.transform(F.array_sort(F.collect_list(F.struct(*([order_by] if order_by else []), "name", "value"))),
                     lambda s: s["value"]), " ")
     return src.groupBy("product_uid").agg(text.alias(out_col))
 

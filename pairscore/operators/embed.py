@@ -4,8 +4,8 @@ The fit is Spark ML's: it trains on ``num_partitions`` partitions of the
 sentences and keeps vocabulary x vectorSize floats on the driver, a limit of
 that library; ``min_count`` bounds it on large corpora. Vectors depend on the
 number of partitions, so it is a parameter and not taken from the cluster.
-Applying the vectors is a join of (word, vector) rows, without a broadcast
-of the vocabulary.
+Applying the vectors is a join of (word, vector) rows on hash keys, without a
+broadcast of the vocabulary and without moving a token array.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import skew
+from .encode import text_key, word_key
 
 
 @dataclass(frozen=True)
@@ -52,17 +52,17 @@ def document_vectors(df: DataFrame, tokens: str, words: DataFrame, size: int, ou
     """``df`` with ``out``: the mean of the word vectors of each row's tokens as ``array<double>``. Unknown words count
     in the denominator; a row without tokens gets the zero vector.
 
-    Each distinct token array is worked out once: its words are counted, joined to ``words`` (word, vector) -- hot words
-    are split over salt buckets -- and summed. Nothing is broadcast but the bounded list of hot words."""
-    texts = df.select(F.coalesce(tokens, F.array().cast("array<string>")).alias("_tokens")).distinct()
-    counted = (texts.select("_tokens", F.explode("_tokens").alias("word"))
-               .groupBy("_tokens", "word").agg(F.count(F.lit(1)).alias("_n")))
-    hot = skew.hot_keys(counted, "word")
-    rows = counted if hot is None else skew.salt(counted, "word", hot, ["_tokens"])
-    rows = skew.left_join(rows, words.select("word", F.col("vector").alias("_v")), "word", hot, "inner")
-    sums = rows.groupBy("_tokens").agg(*[F.sum(F.col("_n") * F.get("_v", F.lit(i))).alias(f"_s{i}") for i in range(size)])
-    mean = F.array(*[F.col(f"_s{i}") / F.size("_tokens") for i in range(size)])
-    vectors = sums.select("_tokens", mean.alias(out))
+    Texts and words travel as hash keys (``encode``): one row of two keys and a count for each distinct word of a text,
+    combined before the shuffle, so the bytes shuffled are linear in the tokens however long a text is. Rows with equal
+    tokens share a key, and their counts add up in numerator and denominator alike. Nothing is broadcast by hand. The means
+    are written, so that both sides of each join are plain shuffles, which AQE splits where a word or a text is hot."""
+    keyed = df.withColumn("_text", text_key(F.col(tokens)))
+    counted = (keyed.select("_text", F.explode(F.transform(tokens, word_key)).alias("_word"))
+               .groupBy("_text", "_word").agg(F.count(F.lit(1)).alias("_n")))
+    vectors = words.select(word_key(F.col("word")).alias("_word"), F.col("vector").alias("_v"))
+    rows = counted.join(vectors, "_word", "left")
+    sums = rows.groupBy("_text").agg(*[F.sum(F.col("_n") * F.coalesce(F.get("_v", F.lit(i)), F.lit(0.0))).alias(f"_s{i}")
+                                       for i in range(size)], F.sum("_n").alias("_all"))
+    means = materialize(sums.select("_text", F.array(*[F.col(f"_s{i}") / F.col("_all") for i in range(size)]).alias(out)), "means")
     zero = F.array(*[F.lit(0.0)] * size)
-    keyed = df.withColumn("_tokens", F.coalesce(tokens, F.array().cast("array<string>")))
-    return keyed.join(vectors, "_tokens", "left").drop("_tokens").withColumn(out, F.coalesce(out, zero))
+    return keyed.drop(out).join(means, "_text", "left").drop("_text").withColumn(out, F.coalesce(out, zero))

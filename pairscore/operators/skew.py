@@ -6,12 +6,14 @@ stages; the product side here is aggregated (token bags, attribute text)
 above its shuffle, so a product with a third of all pairs would otherwise
 land in one task. The hot products are therefore split explicitly:
 
-* ``hot_keys``: one counting pass, then the keys holding more than half a
-  partition's fair share of rows. Their counts add up to at most the total,
-  so there are fewer than ``2 * partitions`` of them: the table is broadcast
-  with a proven size bound. Each hot key gets one salt bucket per eighth of
-  a partition's share, so its pairs spread evenly over as many tasks as its
-  size needs.
+* ``hot_keys``: the keys holding more than half a partition's fair share of
+  rows. One pass builds a mergeable heavy-hitter sketch of the key hashes and
+  the row count; its size follows the number of partitions, not of keys. Only
+  the candidates it names, if any, are counted exactly in a second pass. The
+  hot keys' counts add up to at most the total, so there are fewer than
+  ``2 * partitions`` of them: the table is broadcast with a proven size bound.
+  Each hot key gets one salt bucket per eighth of a partition's share, so its
+  pairs spread evenly over as many tasks as its size needs.
   Without hot keys the join stays exactly as it was.
 * ``salt``: each pair of a hot product gets a bucket from a hash of its own
   columns (deterministic, so a retried task sends rows to the same place);
@@ -29,7 +31,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,28 +40,47 @@ _N = "_n_salts"
 _K = "_hot_key"
 
 
+#: Keys that ``approx_top_k`` tracks at most; its error is 3.5 / tracked of all rows.
+MOST_TRACKED = 1 << 19
+
+
+def _candidates(df: DataFrame, key: str, p: int) -> tuple[int, list[int] | None]:
+    """(rows, hashes of keys that can hold more than half a partition's share), from one pass; None where there are
+    more partitions than the sketch can serve.
+
+    The sketch names every key that holds more than twice its error of all rows, and its estimates are not too small. It
+    tracks 32 p keys or more, so that is any key above 7 / (32 p) of the rows, and the share asked for is 1 / (2 p)."""
+    tracked = max(1024, 1 << (32 * p - 1).bit_length())
+    if tracked > MOST_TRACKED:
+        return df.count(), None
+    seen = df.agg(F.expr(f"approx_top_k(xxhash64(`{key}`), {min(4 * p, tracked)}, {tracked})"), F.count(F.lit(1))).first()
+    share = max(1, seen[1] // (2 * p))
+    return seen[1], [r["item"] for r in seen[0] or () if r["count"] > share]
+
+
 def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame | None:
     """(key, n_salts) for the keys of ``df`` above half a partition's share,
-    or None when there are none (the joins then stay plain).
-
-    One pass over ``df``: per-key counts (combined map-side), persisted for
-    the two small reads of ``hot_from_counts`` and then released."""
-    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        return hot_from_counts(counts, key, "_c", partitions)
-    finally:
-        counts.unpersist()
+    or None when there are none (the joins then stay plain)."""
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total, hashes = _candidates(df, key, p)
+    if hashes is not None and not hashes:
+        return None
+    rows = df if hashes is None else df.where(F.xxhash64(key).isin(hashes))
+    return _hot(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_c")), key, "_c", total, p)
 
 
 def hot_from_counts(counts: DataFrame, key: str, count_col: str,
                     partitions: int | None = None) -> DataFrame | None:
     """Hot keys from a per-key count table: their sum, then the keys above
-    half a partition's share. Only those reach the driver, fewer than
-    ``2 * partitions`` rows by the bound above."""
-    spark = counts.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    half a partition's share."""
+    p = partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = counts.agg(F.sum(count_col)).first()[0] or 0
+    return _hot(counts, key, count_col, total, p)
+
+
+def _hot(counts: DataFrame, key: str, count_col: str, total: int, p: int) -> DataFrame | None:
+    """The keys of ``counts`` above half a partition's share of ``total``, with their buckets; only those reach the
+    driver, fewer than ``2 * p`` rows by the bound above."""
     share = max(1, total // (2 * p))
     # buckets of about an eighth of a partition's share: hashing many small
     # buckets onto the partitions spreads them evenly
@@ -72,7 +92,7 @@ def hot_from_counts(counts: DataFrame, key: str, count_col: str,
         return None
     schema = T.StructType([T.StructField(_K, counts.schema[key].dataType),
                            T.StructField(_N, T.IntegerType())])
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    return counts.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 
 def _with_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -106,9 +126,9 @@ def left_join(salted: DataFrame, right: DataFrame, key: str, hot: DataFrame | No
 
 def split_left_join(left: DataFrame, right: DataFrame, key: str,
                     salt_by: Sequence[str] | None = None,
-                    partitions: int | None = None) -> DataFrame:
-    """One left join with hot keys split: same rows as ``left.join(right, key, 'left')``."""
+                    partitions: int | None = None, how: str = "left") -> DataFrame:
+    """One left (or ``how``) join with hot keys split: same rows as ``left.join(right, key, how)``."""
     hot = hot_keys(left, key, partitions)
     if hot is None:
-        return left.join(right, key, "left")
-    return left_join(salt(left, key, hot, salt_by), right, key, hot).drop(SALT)
+        return left.join(right, key, how)
+    return left_join(salt(left, key, hot, salt_by), right, key, hot, how).drop(SALT)

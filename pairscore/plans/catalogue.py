@@ -15,10 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (cosine, euclidean, levenshtein_scores, remove_stop_words, split_space, term_length, tokenize, word_match,
-                         word_match_bag)
-from ..operators import catalog
-from ..operators import spelling, stemming
+from ..functions import (cosine, euclidean, levenshtein_scores, remove_stop_words, split_space, term_length, token_text, tokenize,
+                         word_match, word_match_bag, word_match_text)
+from ..operators import catalog, spelling, stemming
 from ..operators.embed import document_vectors, fit_word2vec, word_vectors
 from ..session import materialize, stage_root
 from ..sources import csv_io
@@ -318,14 +317,15 @@ def word_match_desc(spark, sf):
 SELECT id, {S.word_match(S.tokenize("search_term"), S.tokenize("product_description"))} AS match_score
 FROM doc_pairs""")
 def word_match_docs(spark, sf):
-    """T7 against whole documents (long text): the document side is reduced
-    to its bag of distinct tokens first, straight from the documents; the
-    pairs carry ids and search terms only."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("product_uid"), tokenize("text").alias("_tok"))
-    bags = catalog.token_bags(docs, "product_uid", "_tok", "doc_bag")
-    j = catalog.attach_description(fx.doc_terms(spark, sf).select("id", "product_uid", "search_term"), bags)
-    bag = F.coalesce(F.col("doc_bag"), F.array().cast("array<struct<t:string,n:int>>"))
-    return j.select("id", word_match_bag(tokenize("search_term"), bag).alias("match_score"))
+    """T7 against whole documents (long text): each document is scanned as one string, once a query word, with no loop over
+    its words; the pairs carry ids and search terms only until they meet it."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("product_uid"), token_text(tokenize("text")).alias("words"))
+    # the scans are the work, not the bytes: by the size of their files the pairs would be one task
+    terms = fx.doc_terms(spark, sf).select("id", "product_uid", "search_term")
+    terms = terms.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "product_uid")
+    j = catalog.attach_description(terms, docs)
+    score = F.when(F.col("search_term").isNotNull(), F.coalesce(word_match_text(tokenize("search_term"), "words"), F.lit(0)))
+    return j.select("id", score.alias("match_score"))
 
 
 # ------------------------------------------------- edit distance and spelling
@@ -786,6 +786,9 @@ def cv_tune(spark, sf):
     return t.predictions.select("id", "relevance", "prediction")
 
 
+from . import words  # noqa: E402,F401 -- registers its queries here
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

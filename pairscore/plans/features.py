@@ -1,6 +1,6 @@
 """Feature sets for (search term, product) pairs.
 
-Four sets, as the relevance pipeline evolved:
+The sets, as the relevance pipeline evolved:
 
   "3": cosines of the search-term vector with title, description and
        attribute vectors; literal-space tokens; attribute text of brand,
@@ -11,6 +11,8 @@ Four sets, as the relevance pipeline evolved:
   "8": "7" with the brand taken from the ``MFG Brand Name`` rows (join
        multiplicity kept, missing -> ``empty``), without the description
        cosine, plus the search-term length.
+  "8s", "8cs": "8" on stems, and on corrected search words and stems: a map
+       over the vocabulary rewrites every token before bags and vectors.
 
 Plan shape (what runs where):
 
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (cosine, euclidean, remove_stop_words, split_space, term_length,
                          tokenize, word_match, word_match_bag)
-from ..operators import catalog, skew
+from ..operators import catalog, rewrite, skew, spelling
 from ..operators.embed import W2VParams, document_vectors, fit_word2vec, word_vectors
 from ..session import materialize
 
@@ -101,6 +103,7 @@ class FeatureSet:
     missing_token: str | None = None          # None: missing text -> no tokens
     split_hot_products: bool = True           # salt products with a large share of pairs
     shared_space: bool = False                # one embedding over all columns instead of one per column
+    rewrite: tuple[str, ...] = ()             # steps over the vocabulary, in order: "correct" | "stem"
     w2v: W2VParams = field(default_factory=W2VParams)
 
     @property
@@ -121,6 +124,8 @@ FEATURE_SETS = {
                     attribute_source="text", attribute_names=("brand", "color", "material")),
     "7": FeatureSet("7", FEATURES_7, attribute_source="text", attribute_names=("brand",)),
     "8": FeatureSet("8", FEATURES_8),
+    "8s": FeatureSet("8s", FEATURES_8, rewrite=("stem",)),
+    "8cs": FeatureSet("8cs", FEATURES_8, rewrite=("correct", "stem")),
 }
 
 
@@ -154,14 +159,42 @@ def one_description(descriptions: DataFrame) -> DataFrame:
     return descriptions.groupBy("product_uid").agg(F.min("product_description").alias("product_description"))
 
 
+def word_changes(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame, attributes: DataFrame) -> DataFrame | None:
+    """The map (word, words) of ``fs.rewrite`` over the vocabulary of all four texts, or None without steps. Corrections are
+    towards the words of the titles; each step works on what the one before it leaves."""
+    if not fs.rewrite:
+        return None
+    desc, attrs = product_tables(replace(fs, features=FEATURES_3, rewrite=()), descriptions, attributes)
+    tokens = pairs.select(_tok(fs, "search_term").alias("s"), _tok(fs, "product_title").alias("t"))
+    columns = [(tokens, "s"), (tokens, "t"), (desc, TOKEN_COLS["description"]), (attrs, TOKEN_COLS["attributes"])]
+    words = materialize(rewrite.words_of(*columns), "vocabulary")
+    change = None
+    for step in fs.rewrite:
+        if step == "stem":
+            made = rewrite.stem_map(words)
+        elif step == "correct":
+            titles = pairs.select("product_uid", "product_title").distinct().select(_tok(fs, "product_title").alias("t"))
+            asked = rewrite.words_of((tokens, "s"))
+            made = rewrite.correction_map(asked, spelling.vocabulary(titles, "t"))
+        else:
+            raise ValueError(f"no such step: {step}")
+        change = made if change is None else rewrite.then(change, made)
+    return materialize(change, "changes")
+
+
+def _rewritten(df: DataFrame, column: str, change: DataFrame | None, salt_by=None) -> DataFrame:
+    return df if change is None else rewrite.rewrite(df, column, change, salt_by=salt_by)
+
+
 def product_tables(fs: FeatureSet, descriptions: DataFrame, attributes: DataFrame,
-                   description_tokens: bool = True):
+                   description_tokens: bool = True, change: DataFrame | None = None):
     """Per-product inputs: description side (tokens when a vector feature
     uses them and ``description_tokens``; the token bag when a word-match
     feature does; None when neither) and (product_uid, attribute tokens) --
     the latter may hold several rows per product for brand rows."""
     desc = one_description(descriptions).select("product_uid",
                                _description_tokens(fs).alias(TOKEN_COLS["description"]))
+    desc = _rewritten(desc, TOKEN_COLS["description"], change)
     want_tokens = description_tokens and "description" in fs.vector_inputs
     if fs.needs_description_bag:
         bags = catalog.token_bags(desc, "product_uid", TOKEN_COLS["description"], "desc_bag")
@@ -176,21 +209,27 @@ def product_tables(fs: FeatureSet, descriptions: DataFrame, attributes: DataFram
     else:
         a = catalog.attribute_text(attrs, list(fs.attribute_names or ()) or None)
     a = a.select("product_uid", _tok(fs, "product_attributes").alias(TOKEN_COLS["attributes"]))
-    return desc, a
+    return desc, _rewritten(a, TOKEN_COLS["attributes"], change)
 
 
 def token_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame,
-                attributes: DataFrame, description_tokens: bool = True) -> DataFrame:
+                attributes: DataFrame, description_tokens: bool = True, change: DataFrame | None = None) -> DataFrame:
     """Pairs joined to their product tokens; one row per pair (per brand row
     for feature set "8", where a product's brand rows multiply its pairs).
     ``description_tokens=False`` leaves each pair's copy of the description
     tokens out (``description_table`` provides them per product)."""
-    desc, attrs = product_tables(fs, descriptions, attributes, description_tokens)
+    if change is None:
+        change = word_changes(fs, pairs, descriptions, attributes)
+    desc, attrs = product_tables(fs, descriptions, attributes, description_tokens, change)
     keep = [c for c in ("id", "product_uid", "relevance") if c in pairs.columns]
     p = pairs.select(*keep,
                      _tok(fs, "search_term").alias(TOKEN_COLS["search"]),
                      _tok(fs, "product_title").alias(TOKEN_COLS["title"]),
                      term_length("search_term").alias("search_term_length"))
+    if change is not None:
+        for k in ("search", "title"):
+            p = _rewritten(p, TOKEN_COLS[k], change, ["id"] if "id" in pairs.columns else None)
+        p = materialize(p, "rewritten")
     # salt once; both joins are then on (product_uid, _salt), and the second
     # reuses the first one's partitioning
     hot = skew.hot_keys(pairs, "product_uid") if fs.split_hot_products else None
@@ -217,7 +256,7 @@ def token_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame,
     return out
 
 
-def description_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame) -> DataFrame:
+def description_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame, change: DataFrame | None = None) -> DataFrame:
     """(product_uid, description tokens): one row per product of ``pairs``
     (missing description -> the missing-text tokens). Document vectors of
     the description are computed on this table, once per product, and only
@@ -226,6 +265,7 @@ def description_table(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame)
     desc = one_description(descriptions).select(F.col("product_uid").alias("_uid"),
                                _description_tokens(fs).alias(TOKEN_COLS["description"]))
     col = TOKEN_COLS["description"]
+    desc = _rewritten(desc, col, change)
     return (products.join(desc, products["product_uid"].eqNullSafe(desc["_uid"]), "left")
                     .select("product_uid",
                             F.coalesce(F.col(col), _missing_description(fs)).alias(col)))
@@ -241,9 +281,10 @@ class TokenTables:
 
 def prepare(fs: FeatureSet, pairs: DataFrame, descriptions: DataFrame, attributes: DataFrame,
             checkpoint: bool = True) -> TokenTables:
+    change = word_changes(fs, pairs, descriptions, attributes)
     tokens = with_lexical(fs, token_table(fs, pairs, descriptions, attributes,
-                                          description_tokens=False))
-    products = (description_table(fs, pairs, descriptions)
+                                          description_tokens=False, change=change))
+    products = (description_table(fs, pairs, descriptions, change)
                 if "description" in fs.vector_inputs else None)
     if checkpoint:
         tokens = materialize(tokens, f"tokens{fs.name}")

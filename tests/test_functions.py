@@ -185,3 +185,36 @@ def test_word_match_additive_in_query(spark, cases):
     rows = df.select(word_match(F.concat("q1", "q2"), "d").alias("both"),
                      (word_match("q1", "d") + word_match("q2", "d")).alias("total")).collect()
     assert all(r.both == r.total for r in rows)
+
+
+def _score(q, d):
+    q, d = [x.lower() for x in q], [y.lower() for y in d]
+    return sum((x in y) + (y in x) for x in q for y in d)
+
+
+def test_word_match_over_a_text_equals_the_loop(spark):
+    """The scan of a text as one string gives the score of the nested loop, for any characters, empties and long words."""
+    import random
+    from pairscore.functions import token_text, word_match, word_match_text
+    rng = random.Random(8)
+    letters = ["a", "b", "B", ".", "*", "(", "[", "\\", "E", "Q", "$", "^", "|", "-", "\x01", "é", "ß", "İ", "日", "😀", "̈", "'", '"', "+", "?", "{"]
+    word = lambda: "".join(rng.choice(letters[:rng.choice([3, len(letters)])]) for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 30])))
+    rows = [(i, [word() for _ in range(rng.randrange(0, 5))], [word() for _ in range(rng.randrange(0, 25))]) for i in range(250)]
+    rows += [(900, [], ["x"]), (901, ["x"], []), (902, [""], [""]), (903, [""], []), (904, None, ["x"]), (905, ["x"], None), (906, ["\\E"], ["a\\Eb"]),
+             (907, ["aaaa"], ["aa", "a", "aaaa", "aaaaaaaa"])]
+    df = spark.createDataFrame(rows, "id int, q array<string>, d array<string>")
+    got = {r.id: (r.a, r.b) for r in df.select("id", word_match("q", "d").alias("a"), word_match_text("q", token_text("d")).alias("b")).collect()}
+    assert all(a == b for a, b in got.values()), [k for k, (a, b) in got.items() if a != b][:5]
+    for i, q, d in rows:
+        assert q is None or d is None or "İ" in "".join(q + d) or got[i][1] == _score(q, d)
+
+
+def test_word_match_over_a_long_text(spark):
+    from pyspark.sql import functions as F
+
+    from pairscore.functions import token_text, tokenize, word_match_text
+    text = " ".join(f"word{i % 977} {'<' * (i % 5)}" for i in range(100_000))
+    df = spark.createDataFrame([(text, "word9 <<< <<<<<<<<<< d " + "z" * 5000)], "t string, q string")
+    got = df.select(word_match_text(tokenize("q"), token_text(tokenize("t"))).alias("s")).first()[0]
+    words, query = text.split(" "), "word9 <<< <<<<<<<<<< d".split() + ["z" * 5000]
+    assert got == sum((x in y) + (y in x) for y in words for x in query)
