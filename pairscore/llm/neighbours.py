@@ -72,9 +72,12 @@ def block_search(query_ids, queries, ids, rows, k: int, tile: int = 4096, group:
 
 
 def _matrix(column) -> np.ndarray:
+    """The vectors as rows, each scaled by a power of two so that its largest component is near 1: squares then neither over-
+    nor underflow, and as such a factor is exact, cosines keep every digit."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+    rows = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1))[1][:, None])
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block_rows: int = 8192) -> DataFrame:
@@ -89,10 +92,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block_rows: int =
     usable = (F.col("vec_id").isNotNull() & (F.size(e) > 0)
               & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists(e, lambda x: x != 0))
-    square = F.aggregate(e, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     rows = store(vectors.withColumn("is_query", F.coalesce(is_query, F.lit(False)))
                  .select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "is_query").where(usable)
-                 .where((square > 0) & (square < float("inf")))
                  .groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.max("is_query").alias("is_query"))
                  .withColumn("dim", F.size("embedding")), "vectors")
     counts = rows.agg(F.count("*"), F.count_if("is_query")).first()
