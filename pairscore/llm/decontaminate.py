@@ -3,8 +3,10 @@
 A mask names the token positions of a seed that must agree and leaves out others, which may differ. Seeds of the
 benchmark and of the documents are joined on their hash; a hit fixes an alignment (document position minus item
 position), and along it the tokens are compared. An item overlaps a document where some ``overlap`` aligned tokens
-(all tokens of a shorter item) hold at most ``overlap // 6`` substitutions. Every placement of two substitutions in
-12 tokens leaves a seed of one of the three masks whole, so at the defaults no such overlap is missed.
+(all tokens of a shorter item) hold at most a sixth of their number in substitutions. Every placement of two substitutions
+in 12 tokens, and of one in 9 to 11, leaves a seed of one of the three masks whole. Items of up to 8 tokens have seeds of
+their own length besides: all their tokens, and from 6 tokens on, where one may differ, all but each single one. So at the
+defaults no such overlap is missed. Items under ``min_tokens`` are out of scope.
 
 Before the join the documents' seeds pass a bit table of fixed size that Spark fills from the benchmark: it only
 saves shuffling seeds that cannot join. The join itself has no limits on hits.
@@ -35,15 +37,22 @@ def token_hashes(column) -> tuple[np.ndarray, np.ndarray]:
     return hash_ranges(data, start, end), first
 
 
+def short_masks(length: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(number, mask) for items of ``length`` tokens: all of them, and where one may differ all but each single one."""
+    everything = tuple(range(length))
+    left_out = [everything[:j] + everything[j + 1:] for j in everything] if length >= 6 else []
+    return [(1000 + 64 * length + j, mask) for j, mask in enumerate([everything, *left_out])]
+
+
 def seeds(tokens: np.ndarray, first: np.ndarray, whole: list[int]):
-    """Yields (position, hash) arrays: the seeds of every mask, and the runs of tokens of each length in ``whole``."""
+    """Yields (position, hash) arrays: the seeds of every mask, and those for items of each length in ``whole``."""
     row_end = np.repeat(first[1:], np.diff(first))
-    for number, mask in enumerate([*MASKS, *[tuple(range(n)) for n in whole]]):
+    for number, mask in [*enumerate(MASKS), *[m for n in whole for m in short_masks(n)]]:
         n = len(tokens) - mask[-1]
         if n <= 0:
             continue
         at = np.flatnonzero(np.arange(n) + mask[-1] < row_end[:n])
-        h = np.full(len(at), number if number < len(MASKS) else 1000 + len(mask), np.uint64)
+        h = np.full(len(at), number, np.uint64)
         for offset in mask:
             h = mix(h * np.uint64(0xD6E8FEB86659FD93) + tokens[at + offset])
         yield at, h
