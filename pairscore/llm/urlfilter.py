@@ -4,7 +4,7 @@ active when it was fetched. DataFrame functions only.
 An entry (list_name, pattern, action, day) adds a pattern to a list or removes it, from that day on. A pattern is a
 host, which also covers its subdomains, or a host with a path prefix. The entries of one (list, pattern), in order of
 days, become intervals [from, until). Each capture offers the patterns that could cover it as join keys: the suffixes
-of its host and, for its host, the prefixes of its path that end at a slash. The as-of join is an equality join on the
+of its host and, for its host, the prefixes of its path that end at a slash, of the depths that occur in the lists. The as-of join is an equality join on the
 pattern and the calendar month with a check of the interval: intervals are exploded over the months they touch, so the
 captures of a hot host are dealt over months, and the rows of both sides stay in proportion to the input.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS
+from .common import BROADCAST_IDS, store
 
 FOREVER = "9999-12-31"
 
@@ -31,15 +31,29 @@ def url_path(url: Column) -> Column:
     return F.when(found == "", F.lit("/")).otherwise(found)
 
 
-def patterns(host: Column, path: Column) -> Column:
-    """The patterns that could cover a capture: host suffixes, and host with each path prefix that ends at a slash."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
-    steps = F.split(path, "/")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(steps) - 1),
-                           lambda i: F.concat(host, F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/")))
-    return F.array_distinct(F.concat(suffixes, prefixes))
+def labels_of(pattern: Column) -> Column:
+    """Number of labels of a host pattern; null for a pattern with a path."""
+    return F.when(~pattern.contains("/"), F.size(F.split(pattern, r"\.")))
+
+
+def slashes_of(pattern: Column) -> Column:
+    """Number of slashes of a pattern with a path; null for a host."""
+    n = F.length(pattern) - F.length(F.replace(pattern, F.lit("/")))
+    return F.when(n > 0, n)
+
+
+def patterns(host: Column, path: Column, labels: list[int], slashes: list[int]) -> Column:
+    """The patterns that could cover a capture: host suffixes of the given numbers of labels, and host with the path prefixes
+    that end at the given slashes. Only depths that occur in the lists are asked for, so a long url offers no more than
+    a short one."""
+    parts, steps = F.split(host, r"\."), F.split(path, "/")
+    suffix = lambda p, n: F.when(F.size(p) >= n, F.array_join(F.slice(p, F.size(p) - n + 1, n), "."))
+    prefix = lambda s, n: F.when(F.size(s) > n, F.concat(host, F.array_join(F.slice(s, F.lit(1), n), "/"), F.lit("/")))
+    none = F.array().cast("array<string>")
+    # the parts are cut once a row and bound to the lambdas
+    of_host = F.flatten(F.transform(F.array(parts), lambda p: F.transform(F.array(*map(F.lit, labels)), lambda n: suffix(p, n)))) if labels else none
+    of_path = F.flatten(F.transform(F.array(steps), lambda s: F.transform(F.array(*map(F.lit, slashes)), lambda n: prefix(s, n)))) if slashes else none
+    return F.array_distinct(F.filter(F.concat(of_host, of_path), lambda x: x.isNotNull()))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -63,7 +77,7 @@ def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id") -> Data
     and whether there is none.
 
     A url that is null, empty or not http, and a capture without day, is covered by nothing and kept, with a null host
-    in the first case. Rows that tie in key, url and day are judged alike, once each; a null key is a key. Other
+    in the first case; a url may be of any length. Rows that tie in key, url and day are judged alike, once each; a null key is a key. Other
     columns are ignored. Empty captures give an empty result; without entries all are kept."""
     rows = captures.select(F.col(key), "url", F.col("fetched").cast("date").alias("fetched"))
     host = url_host(F.col("url"))
@@ -73,10 +87,13 @@ def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id") -> Data
     lo, hi = (F.lit(d).cast("date") for d in rows.agg(F.min("fetched"), F.max("fetched")).first())
     months = F.sequence(F.trunc(F.greatest("valid_from", lo), "month"), F.trunc(F.least("valid_until", hi), "month"),
                         F.expr("interval 1 month"))
-    dated = (valid.where((F.col("valid_from") <= hi) & (F.col("valid_until") > lo))
-             .withColumn("month", F.explode(months)).select("list_name", "pattern", "valid_from", "valid_until", "month"))
+    dated = store(valid.where((F.col("valid_from") <= hi) & (F.col("valid_until") > lo))
+             .withColumn("month", F.explode(months)).select("list_name", "pattern", "valid_from", "valid_until", "month"), "url-lists")
     asked = rows.where("host is not null and fetched is not null").select("host", "path", "fetched").distinct()
-    probes = (asked.withColumn("pattern", F.explode(patterns(F.col("host"), F.col("path"))))
+    # one number for each depth that occurs in the lists
+    depths = lambda c: sorted(r[0] for r in dated.select(c.alias("n")).where("n is not null").distinct().collect())
+    pattern = F.col("pattern")
+    probes = (asked.withColumn("pattern", F.explode(patterns(F.col("host"), F.col("path"), depths(labels_of(pattern)), depths(slashes_of(pattern)))))
               .withColumn("month", F.trunc("fetched", "month")))
     if dated.count() <= BROADCAST_IDS // 10:  # about 100 bytes a row
         dated = F.broadcast(dated)

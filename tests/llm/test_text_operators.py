@@ -99,6 +99,30 @@ def test_masks_see_every_pair_of_substitutions():
         assert any(not set(hit) & {p + o for o in m} for m in decontaminate.MASKS for p in range(12 - m[-1]))
 
 
+def test_masks_see_every_allowed_substitution_in_short_items():
+    """Every length from 5 to 12 and every place: some seed of the item leaves the place out and lies within the item."""
+    for n in range(5, 13):
+        masks = list(decontaminate.MASKS) + ([m for _, m in decontaminate.short_masks(n)] if n < decontaminate.SPAN else [])
+        for hit in itertools.combinations(range(n), n // 6):
+            assert any(not set(hit) & {p + o for o in m} for m in masks for p in range(n - m[-1])), (n, hit)
+    numbers = [number for n in range(5, 9) for number, _ in decontaminate.short_masks(n)]
+    assert len(set(numbers)) == len(numbers) and min(numbers) >= len(decontaminate.MASKS)
+
+
+def test_planted_substitutions_in_short_items(spark):
+    items = [(n, " ".join(f"item{n}x{j}" for j in range(n))) for n in range(5, 13)]
+    docs = []
+    for n, text in items:
+        for j in range(n):
+            words = text.split()
+            words[j] = "other"
+            docs.append((100 * n + j, " ".join(["before", *words, "after"])))
+        docs.append((100 * n + 50, f"x {text}"))
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute.overlaps(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) == sum(range(6, 13)) + 8
+
+
 def test_decontamination_edge_cases(spark):
     items = spark.createDataFrame([(1, "z " * 30), (1, "z " * 30), (2, None), (None, "same " * 9), (3, "")], "item_id long, text string")
     rows = decontaminate.decontaminate(edge(spark), items).collect()
@@ -110,6 +134,19 @@ def test_decontamination_edge_cases(spark):
 
 # ---- url lists
 
+def test_very_long_urls(spark):
+    import time
+    entries = spark.createDataFrame([("l", "b.com/x/", "add", "2024-01-01"), ("l", "c.com", "add", "2024-01-01"), ("m", "b.com/x/x/x/", "add", "2024-01-01")],
+                                    "list_name string, pattern string, action string, day string")
+    rows = [(1, "http://b.com" + "/x" * 500_000, "2024-02-01"), (2, "http://" + "a." * 300_000 + "c.com/", "2024-02-01"),
+            (3, "http://b.com/x?" + "/x" * 500_000, "2024-02-01"), (4, "http://b.com/x/x/" + "y" * 1_000_000, "2024-02-01")]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched string")
+    began = time.time()
+    got = {r.page_id: (r.lists, r.n_entries) for r in urlfilter.judge(captures, entries).select("page_id", "lists", "n_entries").collect()}
+    assert got == {1: ("l,m", 2), 2: ("l", 1), 3: ("", 0), 4: ("l", 1)}
+    assert time.time() - began < 60
+
+
 def test_entries_hold_between_their_days(spark):
     entries = spark.createDataFrame([
         ("l", "b.com", "add", "2024-02-10"), ("l", "b.com", "remove", "2024-05-01"), ("l", "b.com", "add", "2024-04-01"),
