@@ -128,3 +128,34 @@ def test_as_coded_options(inputs):
     none = FE.description_table(FE.FEATURE_SETS["3"], inputs.pairs, inputs.descriptions) \
         .join(inputs.descriptions, "product_uid", "left_anti")
     assert {tuple(r[0]) for r in none.select(FE.TOKEN_COLS["description"]).collect()} == {()}
+
+
+def test_prefix_of_a_forest_is_the_forest_of_its_first_trees(feats8):
+    """The error of each prefix is that of the mean of these trees, each asked by itself."""
+    f, _ = feats8
+    rows = FE.assembler(FE.FEATURES_8).transform(f).select("features", "relevance")
+    model = M.random_forest(7, 4, seed=3).fit(rows)
+    got = M.prefix_errors(model, rows.limit(150), [1, 3, 7])
+    sample = rows.limit(150).collect()
+    each = [[t.predict(r.features) for t in model.trees] for r in sample]
+    for n, rmse in zip((1, 3, 7), got):
+        want = (sum((sum(e[:n]) / n - r.relevance) ** 2 for e, r in zip(each, sample)) / len(sample)) ** 0.5
+        assert abs(rmse - want) < 1e-9
+    assert abs(got[2] - EV.rmse(model.transform(rows.limit(150)))) < 1e-9
+
+
+def test_nested_grid_shares_fits(feats8, monkeypatch):
+    f, _ = feats8
+    train, _ = M.random_split(f)
+    fits = []
+    one = M.RandomForestRegressor._fit
+    monkeypatch.setattr(M.RandomForestRegressor, "_fit", lambda self, df: fits.append(self.getNumTrees()) or one(self, df))
+    cv = M.cross_validate(train, depths=(2, 3), trees=(6, 3), num_folds=2, parallelism=2, nested=True)
+    assert len(cv.avgMetrics) == len(cv.getEstimatorParamMaps()) == 8
+    assert len(fits) == 2 * 2 * 2 + 1 and fits.count(6) >= 8
+    best = min(cv.avgMetrics)
+    rf = cv.getEstimator().getStages()[1]
+    chosen = cv.getEstimatorParamMaps()[cv.avgMetrics.index(best)]
+    assert cv.bestModel.stages[1].getNumTrees == chosen[rf.numTrees]
+    apart = M.cross_validate(train, depths=(2, 3), trees=(6, 3), num_folds=2, parallelism=2)
+    assert max(abs(a - b) for a, b in zip(cv.avgMetrics, apart.avgMetrics)) < 0.1
