@@ -73,10 +73,8 @@ def page_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator over ``pages``: markup language from the html tag, address suffix and host from the url."""
     url, html = F.col("url"), F.col("html")
     host = urlfilter.url_host(url)
-    body = F.regexp_replace(F.regexp_replace(html, "(?s)<(script|style)[^>]*>.*?</(script|style)>", " "), "<[^>]*>", " ")
     pages = table(spark, sf_dir, "pages").select(
-        "page_id", body.alias("text"), host.alias("host"),
-        F.nullif(F.regexp_extract(html, r"(?i)<html[^>]*\blang=[\"']?([A-Za-z]+)", 1), F.lit("")).alias("declared"))
+        "page_id", language.page_text(html).alias("text"), host.alias("host"), language.page_language(html).alias("declared"))
     return language.identify(pages, key="page_id", declared="declared", host="host",
                              suffix=F.substring_index("host", ".", -1))
 

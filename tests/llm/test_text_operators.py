@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from pairscore.llm import decontaminate, language, mixing, pii, quality, urlfilter
 from tests.llm import brute
 
@@ -201,6 +203,109 @@ def test_rare_and_many_languages_are_known(spark):
     assert model.languages == sorted(x for _, _, x, _ in many)
 
 
+def _phrases(seed=6):
+    rng = random.Random(seed)
+    words = {x: ["".join(rng.choice(letters) for _ in range(5)) for _ in range(40)] for x, letters in
+             [("en", "abcdefg"), ("de", "mnopq"), ("fr", "rstuvwz")]}
+    return rng, lambda x, n=12: " ".join(rng.choice(words[x]) for _ in range(n))
+
+
+def test_declared_tags_are_compared_by_primary_subtag(spark):
+    _, text = _phrases()
+    rows = [(i, text("en"), x, "h") for i, x in enumerate(["EN", "en", "en-US", " En_gb "] * 20)] + [(100 + i, text("de"), "de", "h") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.language, r.declared) for r in language.identify(df).collect()}
+    assert got == {i: (x.strip()[:2].lower(), x) for i, _, x, _ in rows}
+
+
+def test_junk_declarations_are_one_class(spark):
+    _, text = _phrases()
+    rows = [(i, text("en"), "en", "h") for i in range(300)] + [(1000 + i, text("de"), "de", "h") for i in range(300)]
+    rows += [(10_000 + i, text("fr"), f"junk{i}", "h") for i in range(20_000)] + [(900_000, text("fr"), "en", "h"), (900_001, text("en"), "junk7", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language.fit_text_model(df.selectExpr("doc_id", "text", "lang"), "doc_id", "text", "lang")
+    assert len(model.languages) == language.MOST_LANGUAGES + 1 and {"en", "de", language.REST} < set(model.languages)
+    monkey = language.MOST_LANGUAGES
+    language.MOST_LANGUAGES = 2
+    try:
+        got = {r.doc_id: r.language for r in language.identify(df).collect()}
+    finally:
+        language.MOST_LANGUAGES = monkey
+    assert all(got[i] == x for i, _, x, _ in rows if i < 900_000)      # rare tags keep what they declare
+    assert got[900_001] == "en" and got[900_000] in ("en", language.UNKNOWN)
+
+
+def test_fusion_equals_the_posterior_by_hand(spark):
+    rng, text = _phrases()
+    rows = []
+    for i in range(240):
+        x = rng.choice(["en", "de", "fr"])
+        said = rng.choice([x, x, x.upper(), "en", None, "q1", "q2"])
+        host = rng.choice(["a.site.org", "b.site.org", "c.net", "", None, f"{x}.home.de"])
+        rows.append((i, rng.choice([text(x, n) for n in (1, 2, 8)] + ["", None, "123 456"]), said, host, None if host is None else host.rpartition(".")[2]))
+    rows += [rows[0], (None, text("fr"), "fr", "c.net", "net")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, tld string")
+    labelled = df.selectExpr("doc_id as key", "text", "nullif(lower(lang), '') as label")
+    model = language.fit_text_model(labelled, "key", "text", "label")
+    names = model.languages
+    ll = language.text_scores(df.selectExpr("doc_id as key", "text", "lang", "source", "tld"), model, "text", ["key", "lang", "source", "tld"]).collect()
+    seen = [dict(ll=r.ll, letters=r.letters, said=(r.lang or "").lower(), host=r.source or "", suffix=r.tld or "", key=r.key,
+                 guess=int(np.argmax(r.ll)) if r.letters else None) for r in ll]
+
+    def count(**at):
+        own = [s["guess"] for s in seen if s["guess"] is not None and all(s[k] == v for k, v in at.items())]
+        return np.array([own.count(i) for i in range(len(names))], float)
+    total = count()
+    overall = (total + 1) / (total.sum() + len(names))
+    shrunk = lambda n, prior: (n + language.PSEUDO * prior) / (n.sum() + language.PSEUDO)
+    want = {}
+    for s in seen:
+        if not s["letters"]:
+            continue
+        site = ".".join(s["host"].split(".")[-2:])
+        of_site = shrunk(sum(count(host=h) for h in {x["host"] for x in seen} if ".".join(h.split(".")[-2:]) == site), overall)
+        prior = shrunk(count(host=s["host"]), overall if site == s["host"] else of_site)
+        log = np.array(s["ll"]) + np.log(prior)
+        for factor in ("said", "suffix"):
+            log += np.log((count(**{factor: s[factor]}) + 0.5) / (total + 0.5 * len({x[factor] for x in seen})))
+        p = np.exp(log - log.max())
+        want.setdefault(s["key"], set()).add((names[int(log.argmax())], round(float(p.max() / p.sum()), 9)))
+    got = {}
+    for r in language.identify(df, suffix=F.col("tld")).where("letters > 0").collect():
+        got.setdefault(r.doc_id, set()).add((r.language, round(r.probability, 9)))
+    assert got == want and len(want) > 100
+
+
+def test_page_text_and_language(spark):
+    pages = ["<p>a</p>b", "x<script src='a>b'>var a = '<b>';</script>y<STYLE>p {}</style >z", "1 < 2 and <b>3", "<script>never closed <b>x", None, "",
+             "<html\nclass=a lang='EN-us'><body>t", '<HTML lang=de>', "<html><p lang=fr>", "no html", "<scripted>kept</scripted>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = {r.i: (r.t, r.n) for r in df.select("i", language.page_text(F.col("html")).alias("t"), language.page_language(F.col("html")).alias("n")).collect()}
+    words = {i: None if t is None else t.split() for i, (t, _) in got.items()}
+    assert words == {0: ["a", "b"], 1: ["x", "y", "z"], 2: ["1", "2", "and", "3"], 3: [], 4: None, 5: [], 6: ["t"], 7: [], 8: [], 9: ["no", "html"],
+                     10: ["kept"]}
+    assert [got[i][1] for i in (6, 7, 8, 9, 4)] == ["EN", "de", None, None, None]
+
+
+def test_long_pages_are_linear(spark):
+    import time
+    n = 1 << 20
+    pages = ["<" * n, "<script " * (n // 8), "<html " * (n // 6), "<html" + " lang" * (n // 5), "</style" * (n // 7), "<a>b" * (n // 4), " " * n]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").repartition(len(pages))
+    began = time.time()
+    got = df.select("i", F.length(language.page_text(F.col("html"))), language.page_language(F.col("html"))).collect()
+    assert len(got) == len(pages) and time.time() - began < 60
+
+
+def test_page_language_query(spark, sf):
+    from pairscore.llm import queries
+    rows = queries.page_language_fusion(spark, sf).collect()
+    pages = spark.read.parquet(f"{sf}/pages.parquet").count()
+    assert len(rows) == pages and all(0 <= r.probability <= 1 + 1e-9 for r in rows)
+    kept = [r for r in rows if r.kept and r.declared]
+    assert kept and sum(r.language == r.declared.lower() for r in kept) >= 0.9 * len(kept)
+
+
 def test_sample_takes_the_smallest_hashes_of_each_label(spark):
     df = spark.range(3000).selectExpr("if(id % 100 = 0, 'b', 'a') as label", "id as k")
     got = {(r.label, r.k) for r in language._sample(df.union(df), 20, {"a": 5940, "b": 60}).collect()}
