@@ -162,14 +162,14 @@ def build(turns: DataFrame, lengths: DataFrame) -> Trie:
     children = nodes.where("depth > 0").groupBy(*up).agg(F.count("*").alias("n_children"))
     nodes = nodes.join(totals, KEY).join(children, KEY, "left")
     nodes = store(nodes.withColumn("n_children", F.coalesce("n_children", F.lit(0))), "trie-counted")
-    # the root's children, which may be very many, get the root's one row by themselves
-    top = nodes.where("depth = 0").select(F.col("conv_id").alias("top"))
+    # the root's children, which may be very many, get the number of the root's one row
+    top = nodes.where("depth = 0").select("conv_id").first()
     parents = nodes.where("n_children > 0 and depth > 0").select(
         (F.col("depth") + 1).alias("depth"), *[F.col(k).alias(f"up_{k}") for k in SUMS], F.col("conv_id").alias("parent_conv_id"))
     shape = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", *SUMS]
     deep = nodes.where("depth > 1").join(parents, ["depth", *[f"up_{k}" for k in SUMS]], "left").select(shape)
-    flat = (nodes.where("depth <= 1").join(F.broadcast(top))
-            .withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.col("top"))).select(shape))
+    flat = (nodes.where("depth <= 1")
+            .withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.lit(top and top[0]).cast("long"))).select(shape))
     return Trie(deep.unionByName(flat), ends)
 
 
