@@ -13,15 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairscore.session import ensure_checkpoint_dir
+from pairscore.session import stage_root
 
 #: A frame of (id) rows is broadcast only when its counted rows are at most this many (16 MB of longs).
 BROADCAST_IDS = 2_000_000
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the folder that ``spark.checkpoint.dir`` names (``session.remove_stages``
+    deletes it), with its file system: what Spark resolves by the cluster's default, tasks must not resolve by their own."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/llm/{name}-{uuid.uuid4().hex}")
+    return path.getFileSystem(conf).makeQualified(path).toString()
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

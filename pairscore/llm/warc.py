@@ -264,12 +264,15 @@ def salvage(stream) -> Iterator[dict]:
 
 
 def open_stream(path: str, mode: str = "r"):
-    """A stream of a path that tasks share: a URI that pyarrow's file systems know, or a plain path. Its bytes are those
-    of the file: pyarrow would else compress and decompress a .gz itself, and end at damage."""
+    """A stream of a path that tasks share: a URI that pyarrow's file systems know, or a plain path of this machine (the
+    paths of ``common.shared_path`` always name their file system). Its bytes are those of the file: pyarrow would else
+    compress and decompress a .gz itself, and end at damage."""
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
-        else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    else:
+        system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
     if mode == "r":
         return system.open_input_file(inner)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
@@ -365,9 +368,17 @@ def salvage_bytes(data: bytes) -> list[dict]:
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back: page_id, payload_bytes, payload_digest,
-    record_type, refers_to (a page_id or null), with path and offset of the record. Gaps are not rows of it."""
+    record_type, refers_to (a page_id or null), with path and offset of the record.
+
+    The records read are counted against those written: a page must not be lost in silence, so a gap is an error here,
+    with what the reader logged of it."""
     files = write_archives(pages, shared_path(pages.sparkSession, "warc"), min_bytes)
     page = lambda c: F.expr(f"try_cast(substring({c}, 10) AS long)")
-    return (read_archives(files, payload=False).where("error is null")
+    found = store(read_archives(files, payload=False), "warc-records")
+    written, read = files.agg(F.sum("records")).first()[0] or 0, found.where("error is null").count()
+    if written != read:
+        gaps = found.where("error is not null").select("path", "offset", "length", "error").limit(20).collect()
+        raise RuntimeError(f"{written} records written, {read} read back; gaps: {[tuple(g) for g in gaps]}")
+    return (found.where("error is null")
             .select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                     page("refers_to").alias("refers_to"), "path", "offset"))

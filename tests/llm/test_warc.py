@@ -132,3 +132,27 @@ def test_payloads_come_back_whole(spark, sf):
     back = {r.record_id: bytes(r.payload).decode() for r in warc.read_archives(files).where("record_type = 'response'").collect()}
     want = {f"urn:page:{r.page_id}": r.html for r in pages.collect()}
     assert all(want[k] == v for k, v in back.items()) and len(back) >= len(set(want.values()))
+
+
+def test_shared_paths_name_their_file_system(spark):
+    from pairscore.llm.common import shared_path
+    from pairscore.session import stage_root
+    path = shared_path(spark, "x")
+    assert path.startswith("file:/") and stage_root(spark).replace("file:", "") in path
+
+
+def test_a_page_lost_to_damage_is_an_error(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"<p>{i} {'x' * 50}") for i in range(20)], "page_id long, url string, html string")
+    write = warc.write_archives
+
+    def damaged(*args):
+        files = write(*args)
+        name = files.first().path.replace("file:", "")
+        data = bytearray(open(name, "rb").read())
+        data[len(data) // 2: len(data) // 2 + 9] = b"\0" * 9
+        open(name, "wb").write(data)
+        return files
+    assert warc.round_trip(pages).count() == 20
+    monkeypatch.setattr(warc, "write_archives", damaged)
+    with pytest.raises(RuntimeError, match="20 records written"):
+        warc.round_trip(pages)
