@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import Row
 
 from pairscore.llm import warc
