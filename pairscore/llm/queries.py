@@ -69,6 +69,12 @@ def op13_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label))
 
 
+def warc_salvage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reader of operator 1 over damaged archives: one page in 37 and every page of one run of ids in 50 is damaged."""
+    page = F.col("page_id")
+    return warc.salvage_report(table(spark, sf_dir, "pages"), (page % 37 == 5) | ((page / 20).cast("long") % 50 == 7))
+
+
 def page_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator over ``pages``: markup language from the html tag, address suffix and host from the url."""
     url, html = F.col("url"), F.col("html")
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_log_bilinear": op11_log_bilinear,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_gnat_negatives": op13_gnat_negatives,
+    "warc_salvage_report": warc_salvage_report,
     "page_language_fusion": page_language_fusion,
     "pipeline": corpus_pipeline.run,
 }
@@ -110,6 +117,12 @@ SELECT page_id, CAST(octet_length(encode(d.p)) AS BIGINT) AS payload_bytes,
 FROM d JOIN g ON d.p = g.p
 """
 
+_WARC_REPORT = f"""
+WITH written AS ({_OP1})
+SELECT page_id, CASE WHEN hit THEN 'gap' ELSE 'recovered' END AS fate, CASE WHEN NOT hit THEN payload_digest END AS payload_digest
+FROM (SELECT *, page_id % 37 = 5 OR (page_id // 20) % 50 = 7 AS hit FROM written)
+"""
+
 _OP4 = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND list_aggregate(list_transform(embedding, lambda x: abs(x)), 'sum') > 0),
@@ -124,6 +137,7 @@ ORACLES: dict[str, str] = {
     "op3_poisson_mix": "WITH docs_in AS (SELECT * FROM documents)," + mixing.SQL,
     "op4_block_matrix": _OP4,
     "op7_url_lists": urlfilter.SQL,
+    "warc_salvage_report": _WARC_REPORT,
     "op12_prefix_trie": prefixes.SQL,
     "op13_gnat_negatives": negatives.SQL,
 }

@@ -22,7 +22,8 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as RowWindow
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -382,3 +383,52 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return (found.where("error is null")
             .select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                     page("refers_to").alias("refers_to"), "path", "offset"))
+
+
+# ------------------------------------------------------------- planted damage
+
+def damage_members(records: DataFrame, path: str, is_damaged: Column) -> DataFrame:
+    """(path, copy): copies under ``path`` of the archives that ``records`` (path, offset, length, ...) come from, in which
+    every record where ``is_damaged`` holds has eight inverted bytes in the middle of its gzip member. A task holds one
+    archive, and archives are closed at a bounded size."""
+    def work(group):
+        source = group.column("path")[0].as_py()
+        with open_stream(source) as stream:
+            data = bytearray(stream.read())
+        for offset, length, hit in zip(*[group.column(c).to_pylist() for c in ("offset", "length", "hit")]):
+            if hit:
+                middle = offset + length // 2
+                data[middle - 4: middle + 4] = bytes(b ^ 255 for b in data[middle - 4: middle + 4])
+        copy = f"{path}/{uuid.uuid4().hex}.warc.gz"
+        with open_stream(copy, "w") as out:
+            out.write(bytes(data))
+        return pa.table({"path": [source], "copy": [copy]})
+    return store(records.select("path", "offset", "length", is_damaged.alias("hit")).groupBy("path").applyInArrow(work, "path string, copy string"),
+                 "warc-damaged")
+
+
+def salvage_report(pages: DataFrame, is_damaged: Column, min_bytes: int = 0) -> DataFrame:
+    """(page_id, fate, payload_digest): writes ``pages`` to archives, damages the records of the pages where ``is_damaged`` (of
+    page_id) holds, reads the copies with the salvage reader, and says of every record written whether it is 'recovered' as
+    it was, lies within a logged 'gap', or is 'lost' without one; the digest is that of the record read back.
+
+    A record with a null page_id takes part; an empty table gives an empty result."""
+    spark = pages.sparkSession
+    page = F.expr("try_cast(substring(record_id, 10) AS long)")
+    files = write_archives(pages, shared_path(spark, "warc"), min_bytes)
+    written = store(read_archives(files, payload=False).where("error is null")
+                    .select("path", "offset", "length", page.alias("page_id"), "payload_digest"), "warc-written")
+    copies = damage_members(written, shared_path(spark, "warc"), is_damaged)
+    read = store(read_archives(copies.select(F.col("copy").alias("path")), payload=False).withColumnRenamed("path", "copy")
+                 .join(copies, "copy").select("path", "offset", "length", "error", "payload_digest"), "warc-read")
+    good = read.where("error is null").select("path", "offset", F.col("payload_digest").alias("digest"))
+    # along a file the gap that covers a record is the last one that starts at or before it
+    marks = written.select("path", "offset", "length", F.lit(1).alias("kind"), "page_id", "payload_digest").unionByName(
+        read.where("error is not null").select("path", "offset", "length", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("page_id"),
+                                               F.lit(None).cast("string").alias("payload_digest")))
+    along = RowWindow.partitionBy("path").orderBy("offset", "kind").rowsBetween(RowWindow.unboundedPreceding, 0)
+    end = F.last(F.when(F.col("kind") == 0, F.col("offset") + F.col("length")), ignorenulls=True).over(along)
+    covered = marks.withColumn("gap_end", end).where("kind = 1").join(good, ["path", "offset"], "left")
+    fate = (F.when(F.col("digest") == F.col("payload_digest"), "recovered")
+            .when(F.col("gap_end") >= F.col("offset") + F.col("length"), "gap").otherwise("lost"))
+    return covered.select("page_id", fate.alias("fate"), F.when(fate == "recovered", F.col("digest")).alias("payload_digest"))

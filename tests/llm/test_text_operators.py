@@ -340,6 +340,44 @@ def test_sparse_sites_shrink_to_the_rate_above(spark):
     assert p["a", "p"] > 0.95 and 0.45 < p["b", "p"] < 0.6 and 0.2 < p["c", "p"] < rate and p["a", "q"] > rate
 
 
+def test_posteriors_and_probabilities_by_hand(spark):
+    """Every level of the priors, and every probability, recomputed from the labels in plain Python."""
+    rng = random.Random(12)
+    docs = [(i, rng.choice(["fine text here", "bad text here", "", None, "plain words"]), rng.choice(["en", "de", None]),
+             rng.choice(["a", "a", "a", "b", "c", f"h{rng.randrange(9)}", None])) for i in range(400)]
+    marks = [(i, rng.choice([0, 1, None]), rng.choice([0, 0, 1])) for i in rng.sample(range(420), 250)]
+    marks += [marks[0], (None, 1, 1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = quality.fit(df, labels, ["quality", "toxic"])
+    odds = {r.doc_id: r for r in quality.evidence(df, model, ["doc_id"]).collect()}
+    place = {d: (host or "", path or "") for d, _, path, host in docs}
+    rows = {r.doc_id: r for r in quality.classify(df, labels, model=model).collect()}
+
+    def strength(groups):     # (n, k, rate above)
+        n, g = sum(x for x, _, _ in groups), len(groups)
+        var = sum(x * m * (1 - m) for x, _, m in groups)
+        if g < 2 or not var:
+            return 100.0
+        v = var / n
+        spread = (sum(x * (k / x - m) ** 2 for x, k, m in groups) - (g - 1) * v) / (n - sum(x * x for x, _, _ in groups) / n)
+        return min(1e4, max(2.0, v / spread - 1)) if spread > 0 else 1e4
+    for t, at in (("quality", 1), ("toxic", 2)):
+        own = [(place[m[0]], m[at] > 0) for m in marks if m[0] in place and m[at] is not None]
+        rate = (sum(y for _, y in own) + 1) / (len(own) + 2)
+        tally = lambda key: {x: (sum(key(p) == x for p, _ in own), sum(y for p, y in own if key(p) == x)) for x in {key(p) for p, _ in own}}
+        hosts, paths = tally(lambda p: p[0]), tally(lambda p: p)
+        a = strength([(n, k, rate) for n, k in hosts.values()])
+        of_host = {h: (k + a * rate) / (n + a) for h, (n, k) in hosts.items()}
+        b = strength([(n, k, of_host[p[0]]) for p, (n, k) in paths.items()])
+        of_path = {p: (k + b * of_host[p[0]]) / (n + b) for p, (n, k) in paths.items()}
+        for d, p in place.items():
+            prior = of_path.get(p, of_host.get(p[0], rate))
+            z = odds[d][f"e_{t}"] + math.log(prior / (1 - prior)) - math.log(rate / (1 - rate))
+            assert abs(rows[d][f"p_{t}"] - 1 / (1 + math.exp(-z))) < 1e-9, (t, d)
+    assert all(r.kept == (r.p_quality >= 0.5 and r.p_toxic < 0.5) for r in rows.values())
+
+
 def test_targets_are_fitted_on_their_own_labels(spark):
     rng = random.Random(6)
     say = lambda *own: " ".join([*own, *(f"w{rng.randrange(30)}" for _ in range(10))])

@@ -158,3 +158,16 @@ def test_a_page_lost_to_damage_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(warc, "write_archives", damaged)
     with pytest.raises(RuntimeError, match="20 records written"):
         warc.round_trip(pages)
+
+
+def test_every_damaged_record_lies_in_a_logged_gap(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    pages = [(i, f"http://a/{i}", rng.choice([None, "", "same", f"<p>{i} " + "".join(rng.choice("abcdef") for _ in range(rng.randrange(900)))])) for i in range(200)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    page = F.col("page_id")
+    got = warc.salvage_report(df, (page % 7 == 3) | page.between(50, 60) | (page >= 197)).collect()
+    hit = {i for i in range(200) if i % 7 == 3 or 50 <= i <= 60 or i >= 197}
+    assert sorted((r.page_id, r.fate) for r in got) == [(i, "gap" if i in hit else "recovered") for i in range(200)]
+    assert all((r.payload_digest is None) == (r.page_id in hit) for r in got)
+    assert warc.salvage_report(df.limit(0), F.lit(True)).count() == 0
