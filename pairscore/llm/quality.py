@@ -118,7 +118,19 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], sample: int = SA
     for t in targets:
         best = counts.where(score(t) > LEAST_SCORE).select("f")
         chosen_features = np.union1d(chosen_features, np.array([r["f"] for r in best.collect()], np.int64))
-    rows = table.orderBy("doc_id", *targets).toArrow()
+
+    def pick(batches):  # only the chosen features of a text come to the driver, however long it is
+        for batch in batches:
+            lists = batch.column("features")
+            own = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            place = np.minimum(np.searchsorted(chosen_features, own), max(0, len(chosen_features) - 1))
+            hit = chosen_features[place] == own if len(chosen_features) else np.zeros(len(own), bool)
+            bounds = np.searchsorted(row[hit], np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *targets)], pa.ListArray.from_arrays(bounds, pa.array(own[hit]))],
+                                             ["doc_id", *targets, "features"])
+    kept = ", ".join(f"`{c}` {kinds[c]}" for c in ["doc_id", *targets]) + ", features array<int>"
+    rows = table.select("doc_id", *targets, "features").mapInArrow(pick, kept).orderBy("doc_id", *targets).toArrow()
     n = len(rows)
     lists = rows.column("features").combine_chunks()
     row, own = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().astype(np.int64)
