@@ -129,8 +129,12 @@ def write_single_csv(df: DataFrame, path: str, order_by: str, encoding: str = "U
 
 
 def write_predictions(predictions: DataFrame, path: str, single_file: bool = False) -> None:
-    """(id, prediction) as CSV: a folder of parts, or with ``single_file`` one file in the order of the ids."""
+    """(id, prediction) as CSV in the folder ``path``: one file a task, or with ``single_file`` one file in the order of the
+    ids. What the folder held before is replaced."""
+    rows = predictions.select("id", "prediction")
     if single_file:
-        write_single_csv(predictions.select("id", "prediction"), path, "id")
+        folder = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        write_single_csv(rows, f"{path.rstrip('/')}/part-00000.csv", "id")
     else:
-        write_csv(predictions.select("id", "prediction"), path)
+        write_csv(rows, path)

@@ -194,13 +194,16 @@ def test_quarantine_keeps_every_record(spark, tmp_path):
 def test_single_file_in_order(spark, tmp_path):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.col("id").cast("double").alias("prediction")).repartition(6)
     path = str(tmp_path / "out.csv")
-    csv_io.write_predictions(df, path, single_file=True)
+    csv_io.write_single_csv(df, path, "id")
     lines = open(path).read().splitlines()
     assert lines[0] == "id,prediction" and [int(x.split(",")[0]) for x in lines[1:]] == list(range(5000))
     assert sorted(csv_io.read_csv(spark, path, csv_io.PREDICTIONS_SCHEMA).collect()) == sorted(df.collect())
     assert [p.name for p in tmp_path.iterdir() if "parts" in p.name] == []
-    csv_io.write_predictions(df.limit(0), path, single_file=True)
+    csv_io.write_single_csv(df.limit(0), path, "id")
     assert open(path).read() == "id,prediction\n"
+    csv_io.write_predictions(df, str(tmp_path / "folder"), single_file=True)
+    assert [p.name for p in (tmp_path / "folder").iterdir() if p.suffix == ".csv"] == ["part-00000.csv"]
+    assert open(tmp_path / "folder" / "part-00000.csv").read().splitlines() == lines
 
 
 def test_file_order(spark, sf):
