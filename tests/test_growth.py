@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from pairscore.functions import cosine, euclidean, word_match_bag
 from pairscore.functions import vectors as V
 from pairscore.operators import embed, skew
-from pairscore.plans import catalogue, features as FE
+from pairscore.plans import catalogue
+from pairscore.plans import features as FE
+from pairscore.plans import models as M
 
 
 def _joins(df):
@@ -51,3 +53,55 @@ def test_bag_match_weighs_only_words_that_match(spark):
     score = lambda q, bag: sum(n * ((x in t) + (t in x)) for x in q for t, n in bag)
     got = df.select(word_match_bag("q", "b").alias("s"), word_match_bag("q", F.array(F.struct(F.lit(None).cast("string").alias("t"), F.lit(1).alias("n")))).alias("none")).first()
     assert got.s == score(["red", "ring", ""], [("red", 2), ("rings", 1), ("x", 3), ("r", 1)]) and got.none is None
+
+
+def _rows(spark, n=400):
+    x = F.col("id")
+    return spark.range(0, n, 1, 3).select("id", (x % 7).cast("double").alias("a"), (x % 11).cast("double").alias("b"),
+                                          (x % 2).cast("int").alias("fold"), ((x % 7) * 2 + x % 11).cast("double").alias("relevance"))
+
+
+def test_forest_grown_in_parts_is_one_forest(spark, monkeypatch):
+    df = _rows(spark).localCheckpoint()
+    monkeypatch.setattr(M, "TREES_A_FIT", 3)
+    assert M.fit_pipeline(df, ["a", "b"], M.random_forest(2, 2)).stages[1].getCacheNodeIds()
+    monkeypatch.setattr(M, "NODE_ID_BYTES", 1000)
+    model = M.fit_pipeline(df, ["a", "b"], M.random_forest(8, 3, seed=5))
+    parts = [s for s in model.stages if isinstance(s, M.RandomForestRegressionModel)]
+    assert [p.getNumTrees for p in parts] == [3, 3, 2] and not any(p.getCacheNodeIds() for p in parts)
+    out = model.transform(df)
+    assert out.columns == [*df.columns, "features", "prediction"]
+    for r in out.limit(20).collect():
+        each = [t.predict(r.features) for p in parts for t in p.trees]
+        assert r.prediction == pytest.approx(sum(each) / 8)
+    assert len({str(t.toDebugString) for p in parts for t in p.trees}) > 3
+    sample = out.select("features", "relevance").limit(30)
+    got = M.prefix_errors(parts, sample, [2, 5, 8])
+    rows = sample.collect()
+    each = [[t.predict(r.features) for p in parts for t in p.trees] for r in rows]
+    for n, rmse in zip((2, 5, 8), got):
+        assert rmse == pytest.approx((sum((sum(e[:n]) / n - r.relevance) ** 2 for e, r in zip(each, rows)) / len(rows)) ** 0.5)
+
+
+def test_fits_hold_bounded_partitions(spark, monkeypatch):
+    df = _rows(spark).localCheckpoint()
+    with M.spread(df, ["a", "relevance"], 20) as rows:
+        assert rows is df
+    monkeypatch.setattr(M, "PARTITION_BYTES", 400 * 256 // 10)
+    with M.spread(df, ["a", "relevance"], 20) as rows:
+        assert rows.rdd.getNumPartitions() >= 10 and sorted(rows.collect()) == sorted(df.select("a", "relevance").collect())
+        assert max(rows.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 80
+    same = [M.fit_pipeline(df, ["a", "b"], M.random_forest(4, 3)).transform(df).orderBy("id").select("prediction").collect() for _ in range(2)]
+    assert same[0] == same[1]
+    cv = M.cross_validate(df, depths=(2,), trees=(2, 4), feature_lists=(("a",), ("a", "b")), parallelism=2, fold_col="fold", nested=True)
+    assert len(cv.avgMetrics) == 4 and cv.bestModel.transform(df).count() == 400
+
+
+def test_word2vec_partitions_follow_the_sentences(spark, monkeypatch):
+    df = spark.createDataFrame([(["a", "b"],)] * 50, "t array<string>").localCheckpoint()
+    seen = []
+    real = embed.Word2Vec
+    monkeypatch.setattr(embed, "Word2Vec", lambda **k: seen.append(k["numPartitions"]) or real(**k))
+    embed.fit_word2vec(df, "t", "v", embed.W2VParams(num_partitions=2, partition_rows=10))
+    embed.fit_word2vec(df, "t", "v", embed.W2VParams(num_partitions=2))
+    assert seen == [5, 2]
