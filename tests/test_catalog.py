@@ -231,6 +231,46 @@ def test_stem_tokens_with_a_hot_word(spark):
     assert got == {k: [stem(w) for w in t] for k, t in rows}
 
 
+def test_python_stems_equal_the_built_in_ones(spark):
+    """Every word of up to four of some letters with some endings, long runs of y, capitals and marks."""
+    import itertools
+    from pairscore.functions.porter import STEP2, STEP3, STEP4, stem, stem_words
+    heads = ["".join(t) for n in range(4) for t in itertools.product("bwyae", repeat=n)]
+    ends = ["", "s", "sses", "ies", "ed", "eed", "ing", "y", "e", "ll", "yy", *(s for s, _ in STEP2 + STEP3), *STEP4]
+    words = sorted({h + e for h in heads for e in ends} | {"y" * 3000, "Running", "running\u0085", "cat-s", "cafés"})
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    assert {r.word: r.stem for r in stem_words(table, "word", "stem").collect()} == {w: stem(w) for w in words}
+
+
+def test_stem_tokens_shuffles_no_words(spark):
+    """What is shuffled is one row per array, however many words it has."""
+    from pairscore.operators.stemming import stem_tokens
+    df = spark.range(4).select(F.col("id").alias("k"), F.transform(F.sequence(F.lit(1), F.lit(500)), lambda i: F.concat(
+        F.lit("running"), F.when(i % 2 == 0, i.cast("string")).otherwise(""))).alias("t"))
+    out = stem_tokens(df, "k", "t", "s")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan and "Join" not in plan
+    assert {r.k: r.s for r in out.collect()} == {k: ["run", *(w for i in range(2, 501, 2) for w in (f"running{i}", "run"))][:500]
+                                                 for k in range(4)}
+
+
+def test_stem_tokens_of_repeated_and_null_keys(spark):
+    """Arrays of one key are merged by position, NULL words stay, NULL is a key, and a NULL array makes the whole NULL."""
+    from pairscore.operators.stemming import stem_tokens
+    rows = [(1, ["cats", None]), (1, ["ponies"]), (2, ["cats"]), (2, None), (3, []), (3, ["cats"]), (None, ["running"]), (None, ["a", "dogs"])]
+    df = spark.createDataFrame(rows, "k long, t array<string>")
+    got = {r.k: r.s for r in stem_tokens(df, "k", "t", "s").collect()}
+    assert got == {1: ["cat", "poni", None], 2: None, 3: ["cat"], None: ["a", "run", "dog"]}
+
+
+def test_stem_tokens_with_words_longer_than_are_kept(spark):
+    from pairscore.functions.porter import stem
+    from pairscore.operators.stemming import KEPT_LENGTH, stem_tokens
+    words = ["b" * n + "ations" for n in (KEPT_LENGTH - 7, KEPT_LENGTH, 5000)] + ["y" * 3000]
+    df = spark.createDataFrame([(1, words)], "k long, t array<string>")
+    assert stem_tokens(df, "k", "t", "s").first().s == [stem(w) for w in words]
+
+
 def test_spelling_with_hot_segments_matches_brute_force(spark):
     """Many short words sharing segments, and enough shuffle partitions that
     the shared segment keys count as hot: the split join finds the same
