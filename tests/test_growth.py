@@ -41,6 +41,20 @@ def test_means_of_every_column_come_from_the_token_table(spark, monkeypatch):
     assert out[2].searchAndTitle == 0.0 and out[2].searchAndTitleED == pytest.approx(10 ** 0.5)
 
 
+@pytest.mark.parametrize("name", ["3", "6", "7", "8"])
+def test_term_length_is_counted_only_where_it_is_a_feature(spark, name):
+    pairs = spark.createDataFrame([(1, 5, "red  fox", "fox \tred ox", 2.0), (2, 6, None, None, 1.0)],
+                                  "id long, product_uid long, product_title string, search_term string, relevance double")
+    descriptions = spark.createDataFrame([(5, "a fox")], "product_uid long, product_description string")
+    attributes = spark.createDataFrame([(5, "MFG Brand Name", "Ox")], "product_uid long, name string, value string")
+    tokens = FE.prepare(FE.FEATURE_SETS[name], pairs, descriptions, attributes, checkpoint=False).pairs
+    plan = tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert ("search_term_length" in tokens.columns) == ("regexp_" in plan) == (name == "8")
+    assert tokens.count() == 2 and all(c in tokens.columns for c in ("id", "product_uid", "relevance", FE.TOKEN_COLS["search"]))
+    if name == "8":
+        assert {r.id: r.search_term_length for r in tokens.collect()} == {1: 3, 2: 0}
+
+
 def test_written_out_vector_sums_equal_the_general_ones(spark):
     df = spark.createDataFrame([([0.1, -2.0, 3e5], [7.0, 0.3, 1e-9]), ([0.0] * 3, [1.0, 2.0, 3.0]), ([1.0, float("nan"), 2.0], [1.0] * 3)], "a array<double>, b array<double>")
     cos = V.cosine_of(V.dot("a", "b", 3), V.dot("a", "a", 3), V.dot("b", "b", 3))
