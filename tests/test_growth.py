@@ -97,6 +97,21 @@ def test_forest_grown_in_parts_is_one_forest(spark, monkeypatch):
         assert rmse == pytest.approx((sum((sum(e[:n]) / n - r.relevance) ** 2 for e, r in zip(each, rows)) / len(rows)) ** 0.5)
 
 
+def test_forest_on_many_rows_keeps_node_ids_of_fewer_trees(spark, monkeypatch):
+    df = _rows(spark).localCheckpoint()
+    rows = FE.assembler(["a", "b"]).transform(df).select("features", "relevance")
+    monkeypatch.setattr(M, "TREES_A_FIT", 8)
+    monkeypatch.setattr(M, "NODE_ID_BYTES", 1000)
+    rf = M.random_forest(5, 3, seed=5)
+    parts = M.fit_trees(rf, rows)
+    assert [p.getNumTrees for p in parts] == [2, 2, 1]
+    assert all(p.getCacheNodeIds() and p.getCheckpointInterval() == -1 for p in parts)
+    for done, p in zip((0, 2, 4), parts):
+        walked = rf.copy({rf.numTrees: p.getNumTrees, rf.seed: 5 + done, rf.cacheNodeIds: False}).fit(rows)
+        assert [t.toDebugString.split(chr(10))[1:] for t in walked.trees] == [t.toDebugString.split(chr(10))[1:] for t in p.trees]
+    assert not any(p.getCacheNodeIds() for p in M.fit_trees(rf.copy({rf.cacheNodeIds: False}), rows))
+
+
 def test_fits_hold_bounded_partitions(spark, monkeypatch):
     df = _rows(spark).localCheckpoint()
     with M.spread(df, ["a", "relevance"], 20) as rows:
