@@ -55,6 +55,28 @@ def test_term_length_is_counted_only_where_it_is_a_feature(spark, name):
         assert {r.id: r.search_term_length for r in tokens.collect()} == {1: 3, 2: 0}
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_product_arrays_are_not_broadcast(spark, monkeypatch, hot):
+    """However small the planner believes them to be; the bags of a part table of 5 MB are 500 MB."""
+    pairs = spark.createDataFrame([(i, i % 3 if i else None, "red fox", "fox", 1.0) for i in range(30)],
+                                  "id long, product_uid long, product_title string, search_term string, relevance double").localCheckpoint()
+    descriptions = spark.createDataFrame([(0, "a fox"), (1, None)], "product_uid long, product_description string")
+    attributes = spark.createDataFrame([(0, "MFG Brand Name", "Ox"), (0, "MFG Brand Name", "Fox"), (2, "Brand", "x")], "product_uid long, name string, value string")
+    monkeypatch.setattr(skew, "hot_keys", lambda df, key, *a: None if not hot else spark.createDataFrame([(1, 2), (2, 2)], "_hot_key long, _n_salts int")
+                        .withColumn("_hot_key", F.col("_hot_key").cast(df.schema[key].dataType)))
+    plans = {}
+    for name in ("7", "8"):
+        out = FE.token_table(FE.FEATURE_SETS[name], pairs, descriptions, attributes)
+        plans[name] = out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == 30 + (9 if name == "8" else 0)
+        assert out.where("size(desc_bag) > 0").select("product_uid").distinct().collect() == [(0,)]
+        assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+    assert all(p.count("rightHint=(strategy=merge)") == 2 for p in plans.values())
+    tokens = FE._by_product(pairs.select("id", "product_uid"), descriptions)
+    assert "rightHint=(strategy=merge)" in tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.id, r.product_description) for r in tokens.collect() if r.product_description) == [(i, "a fox") for i in range(3, 30, 3)]
+
+
 def test_written_out_vector_sums_equal_the_general_ones(spark):
     df = spark.createDataFrame([([0.1, -2.0, 3e5], [7.0, 0.3, 1e-9]), ([0.0] * 3, [1.0, 2.0, 3.0]), ([1.0, float("nan"), 2.0], [1.0] * 3)], "a array<double>, b array<double>")
     cos = V.cosine_of(V.dot("a", "b", 3), V.dot("a", "a", 3), V.dot("b", "b", 3))
