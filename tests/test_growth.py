@@ -134,6 +134,28 @@ def test_forest_on_many_rows_keeps_node_ids_of_fewer_trees(spark, monkeypatch):
     assert not any(p.getCacheNodeIds() for p in M.fit_trees(rf.copy({rf.cacheNodeIds: False}), rows))
 
 
+def test_nested_grid_on_many_rows_holds_one_forest_at_a_time(spark, monkeypatch):
+    df = _rows(spark).localCheckpoint()
+    real, now, most = M.fit_trees, [], []
+
+    def counted(rf, rows):
+        now.append(rf)
+        most.append(len(now))
+        try:
+            return real(rf, rows)
+        finally:
+            now.pop()
+    monkeypatch.setattr(M, "fit_trees", counted)
+    grid = dict(depths=(1, 2), trees=(2, 4), feature_lists=(("a",), ("a", "b")), parallelism=4, fold_col="fold", nested=True)
+    small = M.cross_validate(df, **grid)
+    assert max(most) > 1
+    most.clear()
+    monkeypatch.setattr(M, "NODE_ID_BYTES", 1000)
+    large = M.cross_validate(df, **grid)
+    assert len(most) == 9 and max(most) == 1
+    assert len(large.avgMetrics) == 8 and max(abs(a - b) for a, b in zip(small.avgMetrics, large.avgMetrics)) < 1
+
+
 def test_fits_hold_bounded_partitions(spark, monkeypatch):
     df = _rows(spark).localCheckpoint()
     with M.spread(df, ["a", "relevance"], 20) as rows:
